@@ -1,0 +1,286 @@
+"""Raw retail feeds derived from a TPC-H-like star schema with an event log.
+
+Gives every feed its own spellings and nesting, so that the builders have
+something to harmonise. All work is joins and projections over whole tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bazaarlake.fixed_values import PAYMENT_GATEWAYS
+from bazaarlake.functions.names import FEED_POSITION
+
+_MONTHS_LATER = "interval 344 month"  # moves 1990s orders next to the 2024 events
+
+
+class SampleFeeds:
+    """Lazy raw frames over the parquet tables of one folder."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    # -- orders -------------------------------------------------------------
+    def _orders(self) -> DataFrame:
+        k = F.col("o_orderkey")
+        status = F.when(F.col("o_orderstatus") == "F", "completed").when(
+            F.col("o_orderstatus") == "O", "pending")
+        return self.table("orders").select(
+            k.alias("k"), F.col("o_custkey").alias("customer"),
+            F.when(k % 50 != 0, F.concat(F.lit("TXN-"), k.cast("string"))).alias("txn"),
+            (F.col("o_orderdate") + F.expr(_MONTHS_LATER)).cast("timestamp").alias("at"),
+            F.col("o_totalprice").alias("total"),
+            (F.floor(F.col("o_totalprice") / 250) / 100).alias("usd"),
+            F.concat(F.lit("City "), (k % 10).cast("string")).alias("city"),
+            F.concat(F.lit("Street "), (k % 100).cast("string")).alias("street"),
+            status.alias("state"),
+            F.when(k % 7 != 0, F.lit("paid")).alias("paid"),
+        )
+
+    def _channel(self, rows: DataFrame, channel: int) -> DataFrame:
+        """One channel's spelling of order rows; extra columns pass through."""
+        extra = [c for c in ("line_items", FEED_POSITION) if c in rows.columns]
+        position = [] if FEED_POSITION in extra else [
+            F.struct(F.col("k").alias("order")).alias(FEED_POSITION)]
+        own = rows.filter(F.col("k") % 3 == channel)
+        key, store = F.col("k").cast("string"), F.col("k") % 20
+        if channel == 0:
+            columns = [
+                key.alias("id"), F.col("txn").alias("transactionCode"),
+                F.struct(F.col("customer").alias("id")).alias("customer"),
+                F.col("at").alias("createdAt"),
+                F.struct(F.col("city").alias("cityName"), F.col("street").alias("address1"))
+                .alias("shippingAddress"),
+                F.col("state").alias("status"), F.col("paid").alias("financial_status"),
+                F.col("total").alias("amountVND"), F.col("usd").alias("amount_usd"),
+            ]
+        elif channel == 1:
+            columns = [
+                key.alias("code"), F.col("txn").alias("txn_id"),
+                F.col("customer").alias("customerId"), F.col("at").alias("created_on"),
+                F.struct(F.col("city").alias("provinceName"), F.col("street").alias("fullAddress"))
+                .alias("delivery_address"),
+                F.col("state").alias("order_status"), F.col("total").alias("total"),
+            ]
+        else:
+            named = F.col("k") % 4 != 0
+            columns = [
+                key.alias("order_id"), F.col("txn").alias("transaction_id"),
+                F.col("customer").alias("customer_id"), F.col("at").alias("order_date"),
+                F.col("city").alias("shipping_city"), F.col("street").alias("shipping_address_1"),
+                F.col("state").alias("status"), F.col("paid").alias("payment_status"),
+                F.col("total").alias("grand_total_vnd"), F.col("usd").alias("grand_total_usd"),
+                F.when(named, 1000 + store).alias("location_id"),
+                F.when(named, F.concat(F.lit("LC"), store.cast("string"))).alias("location_code"),
+                F.when(named, F.concat(F.lit("Store "), store.cast("string")))
+                .alias("location_name"),
+                F.when(named, F.concat(F.lit("City "), store.cast("string")))
+                .alias("location_city"),
+            ]
+        return own.select(*columns, *extra, *position)
+
+    def shopify_orders(self) -> DataFrame:
+        return self._channel(self._orders(), 0)
+
+    def sapo_orders(self) -> DataFrame:
+        return self._channel(self._orders(), 1)
+
+    def online_orders(self) -> DataFrame:
+        return self._channel(self._orders(), 2)
+
+    def _lines(self) -> DataFrame:
+        """Order headers, each with one line: lists stay short whatever an order holds."""
+        order = ("l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
+        price = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
+        line = F.struct(
+            F.col("l_partkey").alias("variantId"), F.col("l_quantity").alias("qty"),
+            price.alias("price"),
+            F.when(F.col("l_linenumber") != 1, F.col("l_extendedprice")).alias("lineTotal"),
+        )
+        lines = self.table("lineitem").select(
+            F.col("l_orderkey").alias("k"), F.array(line).alias("line_items"),
+            F.struct(*order).alias(FEED_POSITION),
+        )
+        return self._orders().join(lines, "k")
+
+    def order_lines(self) -> dict[str, DataFrame]:
+        lines = self._lines()
+        return {
+            "shopify_orders": self._channel(lines, 0),
+            "sapo_orders": self._channel(lines, 1),
+            "online_orders": self._channel(lines, 2),
+        }
+
+    # -- payments -----------------------------------------------------------
+    def payments(self, gateway: str) -> DataFrame:
+        k = F.col("k")
+        orders = self._orders()
+        number = PAYMENT_GATEWAYS.index(gateway)
+        own = (k % 4 != 0) & (k % 5 == number)
+        if gateway == "odoo":
+            own = own | (k % 22 == 2)  # second payments of orders paid elsewhere
+        priority = self.table("orders").select(
+            F.col("o_orderkey").alias("k"), F.col("o_orderpriority").substr(1, 1).alias("p"))
+        word = F.element_at(
+            F.array(*[F.lit(w) for w in (" Success ", "completed", "pending", "error",
+                                         "refunded")]), F.col("p").cast("int"))
+        at = F.when(k % 17 != 0, F.col("at") + F.make_interval(hours=(k % 200).cast("int")))
+        amount = F.when(k % 3 == 0, F.col("total")).otherwise(F.floor(F.col("total") * 50) / 100)
+        txn = F.coalesce("txn", F.concat(F.lit("PAY-"), k.cast("string")))
+        rows = orders.filter(own).join(priority, "k").select(
+            k, "customer", txn.alias("txn"), word.alias("word"), at.alias("at"),
+            amount.alias("amount"), F.struct(k.alias("order")).alias(FEED_POSITION))
+        order = k.cast("string")
+        columns = {
+            "momo": [
+                F.col("txn").alias("transId"), F.col("txn").alias("transactionId"),
+                order.alias("orderId"), F.col("customer").alias("customer_id"),
+                F.col("amount"), F.when(k % 10 == 0, 0).when(k % 3 != 0, 49).alias("resultCode"),
+                F.lit("pending").alias("message"), F.lit("wallet").alias("payType"),
+                F.col("at").alias("response_time_iso"),
+            ],
+            "odoo": [
+                F.col("txn").alias("txn_id"), order.alias("reference_id"),
+                F.struct(F.col("customer").alias("id")).alias("customer"),
+                F.lit("odoo").alias("gateway"), F.lit("card").alias("method"),
+                F.col("amount"), F.col("word").alias("status"), F.col("at").alias("paid_at"),
+            ],
+            "paypal": [
+                F.col("txn").alias("paypal_transaction_id"), order.alias("order_code"),
+                F.struct(F.col("customer").alias("customerId")).alias("customer"),
+                F.col("amount").alias("transaction_amount_vnd"),
+                F.col("word").alias("transaction_status"),
+                F.col("at").alias("transaction_initiation_date"),
+            ],
+            "sapo": [
+                F.col("txn").alias("transaction_id"), order.alias("order_id"),
+                F.col("customer").alias("customer_id"), F.lit("counter").alias("channel"),
+                F.col("amount").alias("amount_vnd"), F.col("word").alias("payment_status"),
+                F.col("at").alias("created_at"),
+            ],
+            "zalopay": [
+                F.col("txn").alias("app_trans_id"), order.alias("order_code"),
+                F.col("customer").alias("customer_id"), F.col("amount"),
+                F.when(k % 2 == 0, 1).when(k % 3 == 0, 2).alias("returnCode"),
+                F.col("word").alias("message"),
+                F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss").alias("server_time_iso"),
+            ],
+        }[gateway]
+        return rows.select(*columns, FEED_POSITION)
+
+    def all_payments(self) -> dict[str, DataFrame]:
+        return {gateway: self.payments(gateway) for gateway in PAYMENT_GATEWAYS}
+
+    # -- the rest -----------------------------------------------------------
+    @staticmethod
+    def _days_after(day: str, days: Column) -> Column:
+        return F.date_add(F.to_date(F.lit(day)), days.cast("int")).cast("timestamp")
+
+    def bank_transactions(self) -> DataFrame:
+        k = F.col("c_custkey")
+        return self.table("customer").select(
+            k.cast("string").alias("id"), F.col("c_nationkey").alias("account_id"),
+            F.when(F.col("c_acctbal") < 0, "transfer").alias("kind"),
+            F.col("c_acctbal").alias("amount"),
+            F.when(k % 5 != 0, "settled").alias("status"),
+            F.when(k % 97 != 0, self._days_after("2023-09-01", k % 365)).alias("createdAt"),
+            F.struct(k.alias("row")).alias(FEED_POSITION),
+        )
+
+    def cart_events(self) -> DataFrame:
+        e = F.col("event_id")
+        pick = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 4
+        return self.table("events").select(
+            e.cast("string").alias("id"),
+            F.concat(F.col("user_id").cast("string"), F.lit("-"),
+                     F.date_format("ts", "yyyyMMdd")).alias("session"),
+            F.when(e % 13 != 0, F.col("user_id")).alias("customer_id"),
+            F.col("event_type").alias("type"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+            (e % 100).alias("item_id"),
+            F.when(pick == 0, "ads").when(pick == 1, "email").when(pick == 2, "organic")
+            .alias("channel"),
+            F.when(e % 2 == 0, "mobile").alias("deviceType"),
+            F.lit("chrome").alias("browser"),
+            F.when(pick == 0, "spring").alias("utmCampaign"),
+            F.struct(e.alias("row")).alias(FEED_POSITION),
+        )
+
+    def customers(self) -> DataFrame:
+        k = F.col("c_custkey")
+        nations = self.table("nation").select("n_nationkey", "n_name")
+        return self.table("customer").join(
+            nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        ).select(
+            k.cast("string").alias("id"),
+            F.when(k % 9 != 0, F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")))
+            .alias("email"),
+            F.col("c_name").alias("name"), F.col("n_name").alias("country"),
+            self._days_after("2023-01-01", k % 700).alias("createdAt"),
+            F.when(k % 3 != 0, F.lower("c_mktsegment")).alias("customerSegment"),
+            F.struct(k.alias("row")).alias(FEED_POSITION),
+        )
+
+    def products(self) -> DataFrame:
+        k = F.col("p_partkey")
+        return self.table("part").select(
+            k.alias("id"), F.col("p_name").alias("name"),
+            F.concat(F.lit("SKU-"), k.cast("string")).alias("sku"),
+            F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
+            F.when(k % 11 != 0, F.col("p_retailprice")).alias("priceVND"),
+            F.when(k % 7 != 0, F.col("p_size")).alias("stock_quantity"),
+            F.when(k % 5 == 0, " No ").when(k % 5 == 1, "yes").alias("isActive"),
+            F.struct(k.alias("row")).alias(FEED_POSITION),
+        )
+
+    def _suppliers(self) -> DataFrame:
+        nations = self.table("nation").select("n_nationkey", "n_name")
+        return self.table("supplier").join(
+            nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+
+    def sapo_locations(self) -> DataFrame:
+        k = F.col("s_suppkey")
+        return self._suppliers().select(
+            k.cast("string").alias("id"),
+            F.concat(F.lit("S"), k.cast("string")).alias("code"), F.col("s_name").alias("name"),
+            F.when(k % 3 == 0, "warehouse").alias("type"), F.col("n_name").alias("city"),
+            F.when(F.col("s_acctbal") < 0, "no").alias("active"),
+            F.struct(k.alias("order")).alias(FEED_POSITION),
+        )
+
+    def staff(self) -> DataFrame:
+        k = F.col("s_suppkey")
+        return self._suppliers().select(
+            k.alias("id"), F.col("s_name").alias("name"),
+            F.when(k % 4 != 0, "clerk").alias("role"),
+            F.struct((k % 10).alias("id")).alias("location"),
+            self._days_after("2022-01-01", k % 500).alias("joinedAt"),
+            F.when(k % 6 == 0, "0").alias("active"),
+            F.struct(k.alias("row")).alias(FEED_POSITION),
+        )
+
+    def raw_sources(self) -> dict[str, object]:
+        """The frames ``scan_sources`` would give, orders without their lines."""
+        return {
+            "customers": self.customers(), "products": self.products(),
+            "sapo_locations": self.sapo_locations(), "shopify_orders": self.shopify_orders(),
+            "sapo_orders": self.sapo_orders(), "online_orders": self.online_orders(),
+            "cart_events": self.cart_events(), "bank_transactions": self.bank_transactions(),
+            "payments_by_gateway": self.all_payments(),
+        }
+
+
+def write_feed(
+    df: DataFrame, path: str, key: str, name: str = "part", rows_per_document: int = 2_000
+) -> None:
+    """Write envelope documents, one gzip file each, of a bounded number of rows."""
+    rows = df.drop(FEED_POSITION).withColumn(
+        "_document", F.floor(F.monotonically_increasing_id() / rows_per_document))
+    columns = [c for c in rows.columns if c != "_document"]
+    documents = rows.groupBy("_document").agg(F.collect_list(F.struct(*columns)).alias(key))
+    documents.select(key).write.mode("append").option("maxRecordsPerFile", 1).option(
+        "mapreduce.output.basename", name).json(path, compression="gzip")
