@@ -1,61 +1,69 @@
-"""Tolerant casts: a value that does not fit its type becomes null, never an error."""
+"""Tolerant casts: a value that does not fit its type becomes null, never an error.
+
+Each cast maps SQL text to SQL text, so a builder hands Spark one expression
+per column.
+"""
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.fixed_values import FALSE_TOKENS, TRUE_TOKENS
+from bazaarlake.functions.names import quoted
 
 log = logging.getLogger(__name__)
 
-MONEY = T.DecimalType(18, 2)
-_EXACT = T.DecimalType(38, 6)
+MONEY = "decimal(18,2)"
+
+
+def _words(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def cast_int(value: Column, source: T.DataType) -> Column:
+def cast_int(value: str, source: T.DataType) -> str:
     """Whole numbers only: ``10`` and ``10.0`` pass, ``10.5`` gives null."""
     if isinstance(source, T.IntegralType):
-        return value.cast("bigint")
-    exact = value.try_cast(_EXACT)
-    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+        return f"cast({value} as bigint)"
+    exact = f"try_cast({value} as decimal(38,6))"
+    return f"case when {exact} = floor({exact}) then try_cast({exact} as bigint) end"
 
 
-def cast_double(value: Column, source: T.DataType) -> Column:
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+def cast_double(value: str, source: T.DataType) -> str:
+    return f"nullif(try_cast({value} as double), double('NaN'))"
 
 
-def cast_money(value: Column, source: T.DataType) -> Column:
-    return value.try_cast(MONEY)
+def cast_money(value: str, source: T.DataType) -> str:
+    return f"try_cast({value} as {MONEY})"
 
 
-def cast_string(value: Column, source: T.DataType) -> Column:
-    return value if isinstance(source, T.StringType) else value.cast("string")
+def cast_string(value: str, source: T.DataType) -> str:
+    return value if isinstance(source, T.StringType) else f"cast({value} as string)"
 
 
-def cast_bool(value: Column, source: T.DataType) -> Column:
+def cast_bool(value: str, source: T.DataType) -> str:
     if isinstance(source, T.BooleanType):
         return value
-    token = F.lower(F.trim(value.cast("string")))
-    return F.when(token.isin(*TRUE_TOKENS), True).when(token.isin(*FALSE_TOKENS), False)
+    token = f"lower(trim(cast({value} as string)))"
+    return (f"case when {token} in ({_words(TRUE_TOKENS)}) then true "
+            f"when {token} in ({_words(FALSE_TOKENS)}) then false end")
 
 
-def cast_timestamp(value: Column, source: T.DataType) -> Column:
+def cast_timestamp(value: str, source: T.DataType) -> str:
     if isinstance(source, T.TimestampType):
         return value
     if isinstance(source, T.NumericType):
-        value = value.cast("string")
-    return value.try_cast("timestamp")
+        value = f"cast({value} as string)"
+    return f"try_cast({value} as timestamp)"
 
 
-def cast_date(value: Column, source: T.DataType) -> Column:
+def cast_date(value: str, source: T.DataType) -> str:
     if isinstance(source, T.DateType):
         return value
-    return F.to_date(cast_timestamp(value, source))
+    return f"to_date({cast_timestamp(value, source)})"
 
 
 _BY_NAME = {
@@ -69,7 +77,7 @@ _BY_NAME = {
 }
 
 
-def cast_to(value: Column, source: T.DataType, type_name: str) -> Column:
+def cast_to(value: str, source: T.DataType, type_name: str) -> str:
     try:
         caster = _BY_NAME[type_name.lower()]
     except KeyError:
@@ -84,5 +92,5 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
         if name not in df.columns:
             log.warning("column %r not found for type casting", name)
             continue
-        casts[name] = cast_to(F.col(name), df.schema[name].dataType, type_name)
+        casts[name] = F.expr(cast_to(quoted(name), df.schema[name].dataType, type_name))
     return df.withColumns(casts) if casts else df

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Where a row stood in its feed. Orders duplicates; never part of an output table.
@@ -21,6 +20,11 @@ def snake(name: object) -> str:
     return "_".join(words).lower()
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _by_snake_name(names: list[str]) -> dict[str, list[str]]:
     groups: dict[str, list[str]] = {}
     for name in names:
@@ -37,25 +41,28 @@ def _has_foreign_name(dtype: T.DataType) -> bool:
     return False
 
 
-def _snake_value(value: Column, dtype: T.DataType) -> Column:
-    """Rename the fields inside a nested value; scalars pass through untouched."""
+def _first_value(values: list[str], types: list[T.DataType]) -> str:
+    if len(values) == 1:
+        return values[0]
+    if any(t != types[0] for t in types):
+        values = [f"cast({v} as string)" for v in values]
+    return f"coalesce({', '.join(values)})"
+
+
+def _snake_value(value: str, dtype: T.DataType, depth: int = 0) -> str:
+    """SQL that renames the fields inside a nested value; scalars pass through untouched."""
     if not _has_foreign_name(dtype):
         return value
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda item: _snake_value(item, dtype.elementType))
+        item = f"item{depth}"
+        return f"transform({value}, {item} -> {_snake_value(item, dtype.elementType, depth + 1)})"
     fields = []
     for name, spellings in _by_snake_name(dtype.names).items():
-        found = [_snake_value(value.getField(s), dtype[s].dataType) for s in spellings]
-        fields.append(_first_value(found, [dtype[s].dataType for s in spellings]).alias(name))
-    return F.when(value.isNotNull(), F.struct(*fields))
-
-
-def _first_value(values: list[Column], types: list[T.DataType]) -> Column:
-    if len(values) == 1:
-        return values[0]
-    if any(t != types[0] for t in types):
-        values = [v.cast("string") for v in values]
-    return F.coalesce(*values)
+        types = [dtype[s].dataType for s in spellings]
+        found = [_snake_value(f"{value}.{quoted(s)}", t, depth)
+                 for s, t in zip(spellings, types)]
+        fields.append(f"'{name}', {_first_value(found, types)}")
+    return f"if({value} is null, null, named_struct({', '.join(fields)}))"
 
 
 def standardize_names(df: DataFrame) -> DataFrame:
@@ -66,9 +73,9 @@ def standardize_names(df: DataFrame) -> DataFrame:
     columns = []
     for name, spellings in _by_snake_name(df.columns).items():
         types = [df.schema[s].dataType for s in spellings]
-        values = [_snake_value(F.col(f"`{s}`"), t) for s, t in zip(spellings, types)]
-        columns.append(_first_value(values, types).alias(name))
-    return df.select(*columns)
+        values = [_snake_value(quoted(s), t) for s, t in zip(spellings, types)]
+        columns.append(f"{_first_value(values, types)} as {quoted(name)}")
+    return df.selectExpr(*columns)
 
 
 def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:

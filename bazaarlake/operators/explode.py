@@ -5,20 +5,19 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from bazaarlake.functions.names import FEED_POSITION
+from bazaarlake.functions.names import FEED_POSITION, quoted
 from bazaarlake.operators.dedupe import with_position
 
 log = logging.getLogger(__name__)
 
 
-def _flat(value: Column, dtype: T.StructType, path: str = "") -> Iterator[tuple[str, Column]]:
+def _flat(value: str, dtype: T.StructType, path: str = "") -> Iterator[tuple[str, str]]:
     """Leaf fields of a struct; a field ``y`` inside ``x`` is named ``x_y``."""
     for field in dtype:
-        name, inner = path + field.name, value.getField(field.name)
+        name, inner = path + field.name, f"{value}.{quoted(field.name)}"
         if isinstance(field.dataType, T.StructType):
             yield from _flat(inner, field.dataType, name + "_")
         else:
@@ -33,22 +32,25 @@ def explode_items(
     An empty or null list gives no row. The place in the list extends the feed
     position, so later "first row wins" rules stay deterministic.
     """
-    parents = [F.col(c).alias(prefix + c) for c in keep]
+    parents = [f"{quoted(c)} as {quoted(prefix + c)}" for c in keep]
     if list_column not in df.columns:
         log.warning("list column %r not found", list_column)
-        return df.select(*parents).limit(0)
+        return df.selectExpr(*parents).limit(0)
     placed = with_position(df)
     item_type = df.schema[list_column].dataType.elementType
-    rows = placed.select(*keep, FEED_POSITION, F.posexplode(list_column).alias("_at", "_item"))
+    rows = placed.selectExpr(
+        *[quoted(c) for c in keep], FEED_POSITION,
+        f"posexplode({quoted(list_column)}) as (_at, _item)")
+    found: dict[str, list[str]] = {}
     if isinstance(item_type, T.StructType):
-        found: dict[str, list[Column]] = {}
-        for name, value in _flat(F.col("_item"), item_type):
+        for name, value in _flat("_item", item_type):
             found.setdefault(name, []).append(value)
-        items = [
-            (vs[0] if len(vs) == 1 else F.coalesce(*[v.cast("string") for v in vs])).alias(n)
-            for n, vs in found.items()
-        ]
     else:
-        items = [F.col("_item").alias(list_column)]
-    position = F.struct(F.col(FEED_POSITION).alias("row"), F.col("_at").alias("item"))
-    return rows.select(*parents, *items, position.alias(FEED_POSITION))
+        found[list_column] = ["_item"]
+    items = []
+    for name, values in found.items():
+        texts = ", ".join(f"cast({v} as string)" for v in values)
+        value = values[0] if len(values) == 1 else f"coalesce({texts})"
+        items.append(f"{value} as {quoted(name)}")
+    position = f"named_struct('row', {FEED_POSITION}, 'item', _at) as {FEED_POSITION}"
+    return rows.selectExpr(*parents, *items, position)

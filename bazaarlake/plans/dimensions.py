@@ -66,7 +66,7 @@ _STAFF_FIELDS = (
 def _dimension(raw: DataFrame, table: str, fields: tuple[Field, ...]) -> DataFrame:
     spec = TABLES[table]
     df = with_position(standardize_names(raw))
-    rows = df.select(*[f.read(df) for f in fields], FEED_POSITION)
+    rows = df.selectExpr(*[f.read(df) for f in fields], FEED_POSITION)
     return keep_first(conform(rows, spec.schema, keep=[FEED_POSITION]), [spec.key])
 
 

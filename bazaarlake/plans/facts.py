@@ -15,8 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import fixed_values as fixed
-from bazaarlake.functions.columns import coalesce_columns, conform, default_literal, line_total
-from bazaarlake.functions.keys import date_key, surrogate_key
+from bazaarlake.functions.columns import (
+    coalesce_sql,
+    conform,
+    default_sql,
+    line_total_sql,
+    literal,
+)
+from bazaarlake.functions.keys import joined_sql, surrogate_key
 from bazaarlake.functions.names import FEED_POSITION, standardize_names
 from bazaarlake.operators.dedupe import combine_frames, keep_first, with_position
 from bazaarlake.operators.explode import explode_items
@@ -33,9 +39,9 @@ class Field:
     nested: tuple[tuple[str, str], ...] = ()
     default: object = None
 
-    def read(self, df: DataFrame) -> Column:
-        value = coalesce_columns(df, self.candidates, self.type_name, self.nested, self.default)
-        return value.alias(self.name)
+    def read(self, df: DataFrame) -> str:
+        value = coalesce_sql(df, self.candidates, self.type_name, self.nested, self.default)
+        return f"{value} as {self.name}"
 
 
 _ORDER_FIELDS = (
@@ -95,24 +101,28 @@ _EVENT_FIELDS = (
 )
 
 
-def _finish(rows: DataFrame, table: str, unique: bool) -> DataFrame:
-    rows = conform(rows, TABLES[table].schema, keep=[FEED_POSITION])
-    return keep_first(rows, [TABLES[table].key]) if unique else rows
+def _finish(
+    rows: DataFrame, table: str, day_of: str, key_of: tuple[str, ...], unique: bool
+) -> DataFrame:
+    """Add day and surrogate key, take the table's shape, keep the first row per key."""
+    spec = TABLES[table]
+    keyed = rows.selectExpr(
+        "*", f"to_date({day_of}) as {spec.day}", f"{joined_sql(key_of)} as {spec.key}")
+    shaped = conform(keyed, spec.schema, keep=[FEED_POSITION])
+    return keep_first(shaped, [spec.key]) if unique else shaped
 
 
 def fact_orders(
     raw: DataFrame, channel: str | None = None, source: str | None = None, unique: bool = True
 ) -> DataFrame:
     df = with_position(standardize_names(raw))
-    rows = df.select(
+    rows = df.selectExpr(
         *[f.read(df) for f in _ORDER_FIELDS],
-        default_literal(df, "channel", channel).alias("channel"),
-        default_literal(df, "source", source).alias("source"),
+        f"{default_sql(df, 'channel', channel)} as channel",
+        f"{default_sql(df, 'source', source)} as source",
         FEED_POSITION,
     )
-    rows = surrogate_key(date_key(rows, "order_date", "order_date_key"),
-                         ["order_id", "transaction_id"], "order_key")
-    return _finish(rows, "fact_orders", unique)
+    return _finish(rows, "fact_orders", "order_date", ("order_id", "transaction_id"), unique)
 
 
 def fact_order_items(raw: DataFrame, unique: bool = True) -> DataFrame:
@@ -120,71 +130,71 @@ def fact_order_items(raw: DataFrame, unique: bool = True) -> DataFrame:
     if "line_items" not in df.columns:
         empty = df.sparkSession.createDataFrame([], TABLES["fact_order_items"].schema)
         return with_position(empty)
-    parents = df.select(*[f.read(df) for f in _ITEM_PARENT_FIELDS], "line_items", FEED_POSITION)
+    parents = df.selectExpr(
+        *[f.read(df) for f in _ITEM_PARENT_FIELDS], "line_items", FEED_POSITION)
     parents = surrogate_key(parents, ["order_id", "transaction_id"], "order_key")
     items = explode_items(
         parents, "line_items", ["order_key", "order_id", "transaction_id", "order_date"]
     )
-    rows = items.select(*[f.read(items) for f in _ITEM_FIELDS], FEED_POSITION)
-    total = line_total(F.col("line_total_vnd"), F.col("quantity"), F.col("unit_price_vnd"))
-    rows = rows.withColumns({
-        "line_total_vnd": total,
-        "quantity": F.coalesce("quantity", F.lit(0.0)),
-        "unit_price_vnd": F.coalesce("unit_price_vnd", F.lit(0)),
-    })
-    rows = surrogate_key(date_key(rows, "order_date", "order_date_key"),
-                         ["order_key", "product_id", "transaction_id"], "order_item_key")
-    return _finish(rows, "fact_order_items", unique)
+    rows = items.selectExpr(*[f.read(items) for f in _ITEM_FIELDS], FEED_POSITION)
+    rows = rows.selectExpr(
+        "order_key", "transaction_id", "order_date", "product_id", FEED_POSITION,
+        "coalesce(quantity, 0D) as quantity", "coalesce(unit_price_vnd, 0) as unit_price_vnd",
+        f"{line_total_sql('line_total_vnd', 'quantity', 'unit_price_vnd')} as line_total_vnd",
+    )
+    key = ("order_key", "product_id", "transaction_id")
+    return _finish(rows, "fact_order_items", "order_date", key, unique)
 
 
-def derive_payment_status(df: DataFrame) -> Column:
+def payment_status_sql(df: DataFrame) -> str:
     """One status from status text and gateway codes; the return code rules last."""
-    status = F.lower(F.trim(coalesce_columns(df, fixed.PAYMENT_STATUS, "string")))
+    status = f"lower(trim({coalesce_sql(df, fixed.PAYMENT_STATUS, 'string')}))"
     for column, good in (("result_code", 0), ("return_code", 1)):
         if column in df.columns:
-            code = F.col(column).try_cast("double")
-            status = (
-                F.when(code == good, "paid")
-                .when(F.col(column).isNotNull(), "failed")
-                .otherwise(status)
-            )
-    return (
-        F.when(status.isin(*fixed.STATUS_TO_PAID), "paid")
-        .when(status.isin(*fixed.STATUS_TO_PENDING), "pending")
-        .when(status.isin(*fixed.STATUS_TO_FAILED), "failed")
-        .otherwise(status)
-    )
+            status = (f"case when try_cast({column} as double) = {good} then 'paid' "
+                      f"when {column} is not null then 'failed' else {status} end")
+
+    def words(values: tuple[str, ...]) -> str:
+        return ", ".join(literal(v) for v in values)
+
+    # ``said`` is bound once, so the status expression is not repeated per branch.
+    return (f"element_at(transform(array({status}), said -> case "
+            f"when said in ({words(fixed.STATUS_TO_PAID)}) then 'paid' "
+            f"when said in ({words(fixed.STATUS_TO_PENDING)}) then 'pending' "
+            f"when said in ({words(fixed.STATUS_TO_FAILED)}) then 'failed' "
+            "else said end), 1)")
+
+
+def derive_payment_status(df: DataFrame) -> Column:
+    return F.expr(payment_status_sql(df))
 
 
 def fact_payments(raw: DataFrame, gateway: str | None = None, unique: bool = True) -> DataFrame:
     df = with_position(standardize_names(raw))
     fallback = gateway or fixed.UNKNOWN
-    rows = df.select(
+    rows = df.selectExpr(
         *[f.read(df) for f in _PAYMENT_FIELDS],
-        coalesce_columns(df, fixed.PAYMENT_GATEWAY, "string", default=fallback)
-        .alias("payment_gateway"),
-        F.coalesce(derive_payment_status(df), F.lit(fixed.UNKNOWN)).alias("payment_status"),
+        f"{coalesce_sql(df, fixed.PAYMENT_GATEWAY, 'string', default=fallback)} "
+        "as payment_gateway",
+        f"coalesce({payment_status_sql(df)}, {literal(fixed.UNKNOWN)}) as payment_status",
         FEED_POSITION,
     )
-    rows = surrogate_key(date_key(rows, "payment_date", "payment_date_key"),
-                         ["transaction_id", "payment_gateway", "order_id"], "payment_key")
-    return _finish(rows, "fact_payments", unique)
+    key = ("transaction_id", "payment_gateway", "order_id")
+    return _finish(rows, "fact_payments", "payment_date", key, unique)
 
 
 def fact_bank_transactions(raw: DataFrame, unique: bool = True) -> DataFrame:
     df = with_position(standardize_names(raw))
-    rows = df.select(*[f.read(df) for f in _BANK_FIELDS], FEED_POSITION)
-    rows = surrogate_key(date_key(rows, "transaction_date", "transaction_date_key"),
-                         ["transaction_id", "account_id"], "transaction_key")
-    return _finish(rows, "fact_bank_transactions", unique)
+    rows = df.selectExpr(*[f.read(df) for f in _BANK_FIELDS], FEED_POSITION)
+    key = ("transaction_id", "account_id")
+    return _finish(rows, "fact_bank_transactions", "transaction_date", key, unique)
 
 
 def fact_cart_events(raw: DataFrame, unique: bool = True) -> DataFrame:
     df = with_position(standardize_names(raw))
-    rows = df.select(*[f.read(df) for f in _EVENT_FIELDS], FEED_POSITION)
-    rows = surrogate_key(date_key(rows, "event_timestamp", "event_date_key"),
-                         ["event_id", "session_id"], "event_key")
-    return _finish(rows, "fact_cart_events", unique)
+    rows = df.selectExpr(*[f.read(df) for f in _EVENT_FIELDS], FEED_POSITION)
+    key = ("event_id", "session_id")
+    return _finish(rows, "fact_cart_events", "event_timestamp", key, unique)
 
 
 def _union(table: str, frames: list[DataFrame]) -> DataFrame:

@@ -227,6 +227,13 @@ def payment_status_sql(schema: str, as_of: str | None = None) -> str:
     today = f"date'{as_of}'" if as_of else "current_date()"
     payment = "payment_key, payment_gateway, payment_method, payment_status, payment_date"
     order = "order_key, order_id, transaction_id, customer_id, order_date, order_status"
+    every = f"{order}, order_total_vnd, {payment}, payment_amount_vnd"
+    alone = (
+        f"{order}, order_total_vnd, string(NULL) AS payment_key, "
+        "string(NULL) AS payment_gateway, string(NULL) AS payment_method, "
+        "string(NULL) AS payment_status, timestamp(NULL) AS payment_date, "
+        "NULL AS payment_amount_vnd"
+    )
     return f"""
     WITH orders AS (
         SELECT order_key, order_id, transaction_id, customer_id, order_date,
@@ -238,12 +245,12 @@ def payment_status_sql(schema: str, as_of: str | None = None) -> str:
         FROM {schema}.fact_payments WHERE transaction_id IS NOT NULL
     ),
     joined AS (
-        SELECT * FROM orders JOIN payments USING (transaction_id)
-        UNION ALL BY NAME
-        SELECT * FROM orders LEFT ANTI JOIN (SELECT DISTINCT transaction_id FROM payments)
+        SELECT {every} FROM orders JOIN payments USING (transaction_id)
+        UNION ALL
+        SELECT {alone} FROM orders LEFT ANTI JOIN (SELECT DISTINCT transaction_id FROM payments)
         USING (transaction_id) WHERE transaction_id IS NOT NULL
-        UNION ALL BY NAME
-        SELECT * FROM orders WHERE transaction_id IS NULL
+        UNION ALL
+        SELECT {alone} FROM orders WHERE transaction_id IS NULL
     )
     SELECT {order}, order_total_vnd, {payment}, payment_amount_vnd,
            timestampdiff(HOUR, order_date, payment_date) AS payment_delay_hours,

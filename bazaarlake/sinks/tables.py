@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from bazaarlake.schemas import TABLES
 
 log = logging.getLogger(__name__)
 
+# Below this average a folder per day would hold files too small to be worth opening.
+ROWS_PER_DAY_FOLDER = 10_000
 WRITE_MODES = ("WRITE_APPEND", "WRITE_EMPTY", "WRITE_TRUNCATE")
 
 
@@ -53,16 +55,18 @@ def lay_out(
     return df.repartitionByRange(*spread).sortWithinPartitions(*order)
 
 
-def write_table(
+def _write(
     df: DataFrame,
     schema: str,
     table: str,
-    mode: str = "WRITE_APPEND",
-    partition_by: str | None = None,
-    cluster_by: Sequence[str] = (),
-    spread_by: str | None = None,
-) -> int:
-    """Write and return the number of rows, counted by the write job itself."""
+    mode: str,
+    partition_by: str | None,
+    cluster_by: Sequence[str],
+    spread_by: str | None,
+    metrics: dict[str, Column],
+    helpers: Sequence[str] = (),
+) -> dict[str, int]:
+    """Write without the helper columns; returns the metrics, taken by the write job itself."""
     spark, mode = df.sparkSession, write_mode(mode)
     missing = [c for c in cluster_by if c not in df.columns]
     if partition_by and partition_by not in df.columns:
@@ -76,16 +80,37 @@ def write_table(
     exists = spark.catalog.tableExists(target)
     if mode == "WRITE_EMPTY" and exists and not spark.table(target).isEmpty():
         raise ValueError(f"{target} holds rows already")
-    counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    day = None
+    rows, day = df, None
     if partition_by:
         rows, day = day_column(rows, partition_by)
-    writer = lay_out(rows, day, cluster_by, spread_by).write.format("parquet")
+    # Observed behind the range exchange: the exchange reads its input twice, once to
+    # sample it, and metrics taken before it would count both.
+    taken = Observation()
+    rows = lay_out(rows, day, cluster_by, spread_by)
+    rows = rows.observe(taken, *[m.alias(n) for n, m in metrics.items()]).drop(*helpers)
+    writer = rows.write.format("parquet")
     if day:
         writer = writer.partitionBy(day)
     writer.mode("overwrite" if mode == "WRITE_TRUNCATE" else "append").saveAsTable(target)
-    return counted.get["rows"]
+    return taken.get
+
+
+def write_table(
+    df: DataFrame,
+    schema: str,
+    table: str,
+    mode: str = "WRITE_APPEND",
+    partition_by: str | None = None,
+    cluster_by: Sequence[str] = (),
+    spread_by: str | None = None,
+) -> int:
+    """Write a table by mode, day partition and clustering; returns the rows written.
+
+    ``spread_by`` names a column of many values that lets one day with one
+    cluster value still be cut into several files.
+    """
+    rows = {"rows": F.count(F.lit(1))}
+    return _write(df, schema, table, mode, partition_by, cluster_by, spread_by, rows)["rows"]
 
 
 def run_sql(
@@ -97,18 +122,38 @@ def run_sql(
     return result if to_dataframe else result.toLocalIterator()
 
 
+def day_folders(df: DataFrame, day: str | None, target: str, mode: str) -> bool:
+    """Whether a table deserves a folder per day.
+
+    With few rows per day, folders only make thousands of tiny files; the rows
+    are then kept in day order instead, and file statistics do the pruning. An
+    append follows the table it goes to.
+    """
+    if day is None:
+        return False
+    spark = df.sparkSession
+    if mode != "WRITE_TRUNCATE" and spark.catalog.tableExists(target):
+        return any(c.isPartition for c in spark.catalog.listColumns(target))
+    rows, days = df.agg(F.count(F.lit(1)), F.count_distinct(F.to_date(day))).first()
+    return rows >= ROWS_PER_DAY_FOLDER * max(days, 1)
+
+
 def load_tables(
     tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE"
 ) -> dict[str, int]:
     """Write each table by its layout in ``schemas.TABLES``; empty ones count 0."""
-    summary = {}
+    summary, mode = {}, write_mode(mode)
     for name, df in tables.items():
         spec = TABLES[name]
         if df.isEmpty():
             log.warning("%s is empty, not loaded", name)
             summary[name] = 0
             continue
-        summary[name] = write_table(df, schema, name, mode, spec.day, spec.cluster, spec.key)
+        if day_folders(df, spec.day, f"{schema}.{name}", mode):
+            day, cluster = spec.day, spec.cluster
+        else:
+            day, cluster = None, tuple(c for c in (spec.day, *spec.cluster) if c)
+        summary[name] = write_table(df, schema, name, mode, day, cluster, spec.key)
     return summary
 
 
@@ -138,12 +183,14 @@ def update_customer_aggregates(spark: SparkSession, schema: str) -> int:
         else:
             spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
     merged = merge_customer_aggregates(spark.table(target), spark.table(f"{schema}.fact_orders"))
-    matched = Observation()
-    rows = merged.observe(matched, F.count_if("is_matched").alias("rows")).drop("is_matched")
     spec = TABLES["dim_customers"]
-    write_table(rows, schema, "dim_customers__ready", "WRITE_TRUNCATE", spec.day, spec.cluster,
-                spec.key)
+    folders = any(c.isPartition for c in spark.catalog.listColumns(target))
+    done = _write(
+        merged, schema, "dim_customers__ready", "WRITE_TRUNCATE", spec.day if folders else None,
+        () if folders else (spec.day,), spec.key, {"matched": F.count_if("is_matched")},
+        helpers=["is_matched"],
+    )
     spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {ready} RENAME TO {target}")
     spark.sql(f"DROP TABLE {old}")
-    return matched.get["rows"]
+    return done["matched"]

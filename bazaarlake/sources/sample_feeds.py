@@ -6,7 +6,7 @@ something to harmonise. All work is joins and projections over whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.fixed_values import PAYMENT_GATEWAYS
@@ -20,68 +20,68 @@ class SampleFeeds:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- orders -------------------------------------------------------------
     def _orders(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        status = F.when(F.col("o_orderstatus") == "F", "completed").when(
-            F.col("o_orderstatus") == "O", "pending")
-        return self.table("orders").select(
-            k.alias("k"), F.col("o_custkey").alias("customer"),
-            F.when(k % 50 != 0, F.concat(F.lit("TXN-"), k.cast("string"))).alias("txn"),
-            (F.col("o_orderdate") + F.expr(_MONTHS_LATER)).cast("timestamp").alias("at"),
-            F.col("o_totalprice").alias("total"),
-            (F.floor(F.col("o_totalprice") / 250) / 100).alias("usd"),
-            F.concat(F.lit("City "), (k % 10).cast("string")).alias("city"),
-            F.concat(F.lit("Street "), (k % 100).cast("string")).alias("street"),
-            status.alias("state"),
-            F.when(k % 7 != 0, F.lit("paid")).alias("paid"),
+        return self.table("orders").selectExpr(
+            "o_orderkey as k", "o_custkey as customer",
+            "if(o_orderkey % 50 <> 0, concat('TXN-', string(o_orderkey)), null) as txn",
+            f"timestamp(o_orderdate + {_MONTHS_LATER}) as at",
+            "o_totalprice as total", "floor(o_totalprice / 250) / 100 as usd",
+            "concat('City ', string(o_orderkey % 10)) as city",
+            "concat('Street ', string(o_orderkey % 100)) as street",
+            "case o_orderstatus when 'F' then 'completed' when 'O' then 'pending' end as state",
+            "if(o_orderkey % 7 <> 0, 'paid', null) as paid",
+            "int(substr(o_orderpriority, 1, 1)) as priority",
         )
 
     def _channel(self, rows: DataFrame, channel: int) -> DataFrame:
-        """One channel's spelling of order rows; extra columns pass through."""
+        """One channel's share of the order rows, in its spelling."""
+        return self.spelled(rows.filter(f"k % 3 = {channel}"), channel)
+
+    def orders_as(self, channel: int) -> DataFrame:
+        """All orders in the spelling of one channel."""
+        return self.spelled(self._orders(), channel)
+
+    @staticmethod
+    def spelled(rows: DataFrame, channel: int) -> DataFrame:
+        """Order rows in the column names and nesting of a channel."""
+        store = "string(k % 20)"
+        columns = (
+            (
+                "string(k) as id", "txn as transactionCode",
+                "named_struct('id', customer) as customer", "at as createdAt",
+                "named_struct('cityName', city, 'address1', street) as shippingAddress",
+                "state as status", "paid as financial_status", "total as amountVND",
+                "usd as amount_usd",
+            ),
+            (
+                "string(k) as code", "txn as txn_id", "customer as customerId",
+                "at as created_on",
+                "named_struct('provinceName', city, 'fullAddress', street) as delivery_address",
+                "state as order_status", "total",
+            ),
+            (
+                "string(k) as order_id", "txn as transaction_id", "customer as customer_id",
+                "at as order_date", "city as shipping_city", "street as shipping_address_1",
+                "state as status", "paid as payment_status", "total as grand_total_vnd",
+                "usd as grand_total_usd",
+                "if(k % 4 <> 0, 1000 + k % 20, null) as location_id",
+                f"if(k % 4 <> 0, concat('LC', {store}), null) as location_code",
+                f"if(k % 4 <> 0, concat('Store ', {store}), null) as location_name",
+                f"if(k % 4 <> 0, concat('City ', {store}), null) as location_city",
+            ),
+        )[channel]
         extra = [c for c in ("line_items", FEED_POSITION) if c in rows.columns]
-        position = [] if FEED_POSITION in extra else [
-            F.struct(F.col("k").alias("order")).alias(FEED_POSITION)]
-        own = rows.filter(F.col("k") % 3 == channel)
-        key, store = F.col("k").cast("string"), F.col("k") % 20
-        if channel == 0:
-            columns = [
-                key.alias("id"), F.col("txn").alias("transactionCode"),
-                F.struct(F.col("customer").alias("id")).alias("customer"),
-                F.col("at").alias("createdAt"),
-                F.struct(F.col("city").alias("cityName"), F.col("street").alias("address1"))
-                .alias("shippingAddress"),
-                F.col("state").alias("status"), F.col("paid").alias("financial_status"),
-                F.col("total").alias("amountVND"), F.col("usd").alias("amount_usd"),
-            ]
-        elif channel == 1:
-            columns = [
-                key.alias("code"), F.col("txn").alias("txn_id"),
-                F.col("customer").alias("customerId"), F.col("at").alias("created_on"),
-                F.struct(F.col("city").alias("provinceName"), F.col("street").alias("fullAddress"))
-                .alias("delivery_address"),
-                F.col("state").alias("order_status"), F.col("total").alias("total"),
-            ]
-        else:
-            named = F.col("k") % 4 != 0
-            columns = [
-                key.alias("order_id"), F.col("txn").alias("transaction_id"),
-                F.col("customer").alias("customer_id"), F.col("at").alias("order_date"),
-                F.col("city").alias("shipping_city"), F.col("street").alias("shipping_address_1"),
-                F.col("state").alias("status"), F.col("paid").alias("payment_status"),
-                F.col("total").alias("grand_total_vnd"), F.col("usd").alias("grand_total_usd"),
-                F.when(named, 1000 + store).alias("location_id"),
-                F.when(named, F.concat(F.lit("LC"), store.cast("string"))).alias("location_code"),
-                F.when(named, F.concat(F.lit("Store "), store.cast("string")))
-                .alias("location_name"),
-                F.when(named, F.concat(F.lit("City "), store.cast("string")))
-                .alias("location_city"),
-            ]
-        return own.select(*columns, *extra, *position)
+        if FEED_POSITION not in extra:
+            extra.append(f"named_struct('order', k) as {FEED_POSITION}")
+        return rows.selectExpr(*columns, *extra)
 
     def shopify_orders(self) -> DataFrame:
         return self._channel(self._orders(), 0)
@@ -92,23 +92,19 @@ class SampleFeeds:
     def online_orders(self) -> DataFrame:
         return self._channel(self._orders(), 2)
 
-    def _lines(self) -> DataFrame:
+    def lines(self) -> DataFrame:
         """Order headers, each with one line: lists stay short whatever an order holds."""
-        order = ("l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
-        price = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
-        line = F.struct(
-            F.col("l_partkey").alias("variantId"), F.col("l_quantity").alias("qty"),
-            price.alias("price"),
-            F.when(F.col("l_linenumber") != 1, F.col("l_extendedprice")).alias("lineTotal"),
-        )
-        lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("k"), F.array(line).alias("line_items"),
-            F.struct(*order).alias(FEED_POSITION),
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey as k",
+            "array(named_struct('variantId', l_partkey, 'qty', l_quantity, "
+            "'price', floor(l_extendedprice * 100 / l_quantity) / 100, "
+            "'lineTotal', if(l_linenumber <> 1, l_extendedprice, null))) as line_items",
+            f"struct(l_linenumber, l_suppkey, l_extendedprice, l_quantity) as {FEED_POSITION}",
         )
         return self._orders().join(lines, "k")
 
     def order_lines(self) -> dict[str, DataFrame]:
-        lines = self._lines()
+        lines = self.lines()
         return {
             "shopify_orders": self._channel(lines, 0),
             "sapo_orders": self._channel(lines, 1),
@@ -117,150 +113,116 @@ class SampleFeeds:
 
     # -- payments -----------------------------------------------------------
     def payments(self, gateway: str) -> DataFrame:
-        k = F.col("k")
-        orders = self._orders()
-        number = PAYMENT_GATEWAYS.index(gateway)
-        own = (k % 4 != 0) & (k % 5 == number)
+        own = f"k % 4 <> 0 and k % 5 = {PAYMENT_GATEWAYS.index(gateway)}"
         if gateway == "odoo":
-            own = own | (k % 22 == 2)  # second payments of orders paid elsewhere
-        priority = self.table("orders").select(
-            F.col("o_orderkey").alias("k"), F.col("o_orderpriority").substr(1, 1).alias("p"))
-        word = F.element_at(
-            F.array(*[F.lit(w) for w in (" Success ", "completed", "pending", "error",
-                                         "refunded")]), F.col("p").cast("int"))
-        at = F.when(k % 17 != 0, F.col("at") + F.make_interval(hours=(k % 200).cast("int")))
-        amount = F.when(k % 3 == 0, F.col("total")).otherwise(F.floor(F.col("total") * 50) / 100)
-        txn = F.coalesce("txn", F.concat(F.lit("PAY-"), k.cast("string")))
-        rows = orders.filter(own).join(priority, "k").select(
-            k, "customer", txn.alias("txn"), word.alias("word"), at.alias("at"),
-            amount.alias("amount"), F.struct(k.alias("order")).alias(FEED_POSITION))
-        order = k.cast("string")
+            own = f"({own}) or k % 22 = 2"  # second payments of orders paid elsewhere
+        rows = self._orders().filter(own).selectExpr(
+            "k", "string(k) as order", "customer",
+            "coalesce(txn, concat('PAY-', string(k))) as txn",
+            "element_at(array(' Success ', 'completed', 'pending', 'error', 'refunded'), "
+            "priority) as word",
+            "if(k % 17 <> 0, at + make_interval(0, 0, 0, 0, int(k % 200)), null) as at",
+            "if(k % 3 = 0, total, floor(total * 50) / 100) as amount",
+        )
         columns = {
-            "momo": [
-                F.col("txn").alias("transId"), F.col("txn").alias("transactionId"),
-                order.alias("orderId"), F.col("customer").alias("customer_id"),
-                F.col("amount"), F.when(k % 10 == 0, 0).when(k % 3 != 0, 49).alias("resultCode"),
-                F.lit("pending").alias("message"), F.lit("wallet").alias("payType"),
-                F.col("at").alias("response_time_iso"),
-            ],
-            "odoo": [
-                F.col("txn").alias("txn_id"), order.alias("reference_id"),
-                F.struct(F.col("customer").alias("id")).alias("customer"),
-                F.lit("odoo").alias("gateway"), F.lit("card").alias("method"),
-                F.col("amount"), F.col("word").alias("status"), F.col("at").alias("paid_at"),
-            ],
-            "paypal": [
-                F.col("txn").alias("paypal_transaction_id"), order.alias("order_code"),
-                F.struct(F.col("customer").alias("customerId")).alias("customer"),
-                F.col("amount").alias("transaction_amount_vnd"),
-                F.col("word").alias("transaction_status"),
-                F.col("at").alias("transaction_initiation_date"),
-            ],
-            "sapo": [
-                F.col("txn").alias("transaction_id"), order.alias("order_id"),
-                F.col("customer").alias("customer_id"), F.lit("counter").alias("channel"),
-                F.col("amount").alias("amount_vnd"), F.col("word").alias("payment_status"),
-                F.col("at").alias("created_at"),
-            ],
-            "zalopay": [
-                F.col("txn").alias("app_trans_id"), order.alias("order_code"),
-                F.col("customer").alias("customer_id"), F.col("amount"),
-                F.when(k % 2 == 0, 1).when(k % 3 == 0, 2).alias("returnCode"),
-                F.col("word").alias("message"),
-                F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss").alias("server_time_iso"),
-            ],
+            "momo": (
+                "txn as transactionId", "order as orderId", "customer as customer_id", "amount",
+                "case when k % 10 = 0 then 0 when k % 3 <> 0 then 49 end as resultCode",
+                "'pending' as message", "'wallet' as payType", "at as response_time_iso",
+            ),
+            "odoo": (
+                "txn as txn_id", "order as reference_id",
+                "named_struct('id', customer) as customer", "'odoo' as gateway",
+                "'card' as method", "amount", "word as status", "at as paid_at",
+            ),
+            "paypal": (
+                "txn as paypal_transaction_id", "order as order_code",
+                "named_struct('customerId', customer) as customer",
+                "amount as transaction_amount_vnd", "word as transaction_status",
+                "at as transaction_initiation_date",
+            ),
+            "sapo": (
+                "txn as transaction_id", "order as order_id", "customer as customer_id",
+                "'counter' as channel", "amount as amount_vnd", "word as payment_status",
+                "at as created_at",
+            ),
+            "zalopay": (
+                "txn as app_trans_id", "order as order_code", "customer as customer_id",
+                "amount", "case when k % 2 = 0 then 1 when k % 3 = 0 then 2 end as returnCode",
+                "word as message",
+                "date_format(at, \"yyyy-MM-dd'T'HH:mm:ss\") as server_time_iso",
+            ),
         }[gateway]
-        return rows.select(*columns, FEED_POSITION)
+        return rows.selectExpr(*columns, f"named_struct('order', k) as {FEED_POSITION}")
 
     def all_payments(self) -> dict[str, DataFrame]:
         return {gateway: self.payments(gateway) for gateway in PAYMENT_GATEWAYS}
 
     # -- the rest -----------------------------------------------------------
-    @staticmethod
-    def _days_after(day: str, days: Column) -> Column:
-        return F.date_add(F.to_date(F.lit(day)), days.cast("int")).cast("timestamp")
-
     def bank_transactions(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            k.cast("string").alias("id"), F.col("c_nationkey").alias("account_id"),
-            F.when(F.col("c_acctbal") < 0, "transfer").alias("kind"),
-            F.col("c_acctbal").alias("amount"),
-            F.when(k % 5 != 0, "settled").alias("status"),
-            F.when(k % 97 != 0, self._days_after("2023-09-01", k % 365)).alias("createdAt"),
-            F.struct(k.alias("row")).alias(FEED_POSITION),
+        return self.table("customer").selectExpr(
+            "string(c_custkey) as id", "c_nationkey as account_id",
+            "if(c_acctbal < 0, 'transfer', null) as kind", "c_acctbal as amount",
+            "if(c_custkey % 5 <> 0, 'settled', null) as status",
+            "if(c_custkey % 97 <> 0, "
+            "timestamp(date_add(date'2023-09-01', int(c_custkey % 365))), null) as createdAt",
+            f"named_struct('row', c_custkey) as {FEED_POSITION}",
         )
 
     def cart_events(self) -> DataFrame:
-        e = F.col("event_id")
-        pick = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 4
-        return self.table("events").select(
-            e.cast("string").alias("id"),
-            F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                     F.date_format("ts", "yyyyMMdd")).alias("session"),
-            F.when(e % 13 != 0, F.col("user_id")).alias("customer_id"),
-            F.col("event_type").alias("type"),
-            F.col("ts").cast("timestamp").alias("timestamp"),
-            (e % 100).alias("item_id"),
-            F.when(pick == 0, "ads").when(pick == 1, "email").when(pick == 2, "organic")
-            .alias("channel"),
-            F.when(e % 2 == 0, "mobile").alias("deviceType"),
-            F.lit("chrome").alias("browser"),
-            F.when(pick == 0, "spring").alias("utmCampaign"),
-            F.struct(e.alias("row")).alias(FEED_POSITION),
+        pick = "int(regexp_extract(props, '([0-9]+)', 1)) % 4"
+        return self.table("events").selectExpr(
+            "string(event_id) as id",
+            "concat(string(user_id), '-', date_format(ts, 'yyyyMMdd')) as session",
+            "if(event_id % 13 <> 0, user_id, null) as customer_id", "event_type as type",
+            "timestamp(ts) as timestamp", "event_id % 100 as item_id",
+            f"case {pick} when 0 then 'ads' when 1 then 'email' when 2 then 'organic' end "
+            "as channel",
+            "if(event_id % 2 = 0, 'mobile', null) as deviceType", "'chrome' as browser",
+            f"if({pick} = 0, 'spring', null) as utmCampaign",
+            f"named_struct('row', event_id) as {FEED_POSITION}",
         )
 
-    def customers(self) -> DataFrame:
-        k = F.col("c_custkey")
+    def _with_nation(self, table: str, key: str) -> DataFrame:
         nations = self.table("nation").select("n_nationkey", "n_name")
-        return self.table("customer").join(
-            nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        ).select(
-            k.cast("string").alias("id"),
-            F.when(k % 9 != 0, F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")))
-            .alias("email"),
-            F.col("c_name").alias("name"), F.col("n_name").alias("country"),
-            self._days_after("2023-01-01", k % 700).alias("createdAt"),
-            F.when(k % 3 != 0, F.lower("c_mktsegment")).alias("customerSegment"),
-            F.struct(k.alias("row")).alias(FEED_POSITION),
+        return self.table(table).join(nations, F.col(key) == F.col("n_nationkey"), "left")
+
+    def customers(self) -> DataFrame:
+        return self._with_nation("customer", "c_nationkey").selectExpr(
+            "string(c_custkey) as id",
+            "if(c_custkey % 9 <> 0, concat('user', string(c_custkey), '@example.com'), null) "
+            "as email",
+            "c_name as name", "n_name as country",
+            "timestamp(date_add(date'2023-01-01', int(c_custkey % 700))) as createdAt",
+            "if(c_custkey % 3 <> 0, lower(c_mktsegment), null) as customerSegment",
+            f"named_struct('row', c_custkey) as {FEED_POSITION}",
         )
 
     def products(self) -> DataFrame:
-        k = F.col("p_partkey")
-        return self.table("part").select(
-            k.alias("id"), F.col("p_name").alias("name"),
-            F.concat(F.lit("SKU-"), k.cast("string")).alias("sku"),
-            F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
-            F.when(k % 11 != 0, F.col("p_retailprice")).alias("priceVND"),
-            F.when(k % 7 != 0, F.col("p_size")).alias("stock_quantity"),
-            F.when(k % 5 == 0, " No ").when(k % 5 == 1, "yes").alias("isActive"),
-            F.struct(k.alias("row")).alias(FEED_POSITION),
+        return self.table("part").selectExpr(
+            "p_partkey as id", "p_name as name", "concat('SKU-', string(p_partkey)) as sku",
+            "p_type as category", "p_brand as brand",
+            "if(p_partkey % 11 <> 0, p_retailprice, null) as priceVND",
+            "if(p_partkey % 7 <> 0, p_size, null) as stock_quantity",
+            "case p_partkey % 5 when 0 then ' No ' when 1 then 'yes' end as isActive",
+            f"named_struct('row', p_partkey) as {FEED_POSITION}",
         )
 
-    def _suppliers(self) -> DataFrame:
-        nations = self.table("nation").select("n_nationkey", "n_name")
-        return self.table("supplier").join(
-            nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-
     def sapo_locations(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        return self._suppliers().select(
-            k.cast("string").alias("id"),
-            F.concat(F.lit("S"), k.cast("string")).alias("code"), F.col("s_name").alias("name"),
-            F.when(k % 3 == 0, "warehouse").alias("type"), F.col("n_name").alias("city"),
-            F.when(F.col("s_acctbal") < 0, "no").alias("active"),
-            F.struct(k.alias("order")).alias(FEED_POSITION),
+        return self._with_nation("supplier", "s_nationkey").selectExpr(
+            "string(s_suppkey) as id", "concat('S', string(s_suppkey)) as code",
+            "s_name as name", "if(s_suppkey % 3 = 0, 'warehouse', null) as type",
+            "n_name as city", "if(s_acctbal < 0, 'no', null) as active",
+            f"named_struct('order', s_suppkey) as {FEED_POSITION}",
         )
 
     def staff(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        return self._suppliers().select(
-            k.alias("id"), F.col("s_name").alias("name"),
-            F.when(k % 4 != 0, "clerk").alias("role"),
-            F.struct((k % 10).alias("id")).alias("location"),
-            self._days_after("2022-01-01", k % 500).alias("joinedAt"),
-            F.when(k % 6 == 0, "0").alias("active"),
-            F.struct(k.alias("row")).alias(FEED_POSITION),
+        return self.table("supplier").selectExpr(
+            "s_suppkey as id", "s_name as name", "if(s_suppkey % 4 <> 0, 'clerk', null) as role",
+            "named_struct('id', s_suppkey % 10) as location",
+            "timestamp(date_add(date'2022-01-01', int(s_suppkey % 500))) as joinedAt",
+            "if(s_suppkey % 6 = 0, '0', null) as active",
+            f"named_struct('row', s_suppkey) as {FEED_POSITION}",
         )
 
     def raw_sources(self) -> dict[str, object]:
@@ -274,6 +236,33 @@ class SampleFeeds:
         }
 
 
+def write_all_feeds(feeds: SampleFeeds, root: str) -> None:
+    """Every feed under ``root`` in the layout ``scan_sources`` reads.
+
+    Orders are written twice over: their headers, and a header per order line.
+    """
+    lines = feeds.order_lines()
+    for raw, more, path, name in (
+        (feeds.shopify_orders(), lines["shopify_orders"], "shopify/orders_batch", "part"),
+        (feeds.sapo_orders(), lines["sapo_orders"], "sapo/batches", "orders"),
+        (feeds.online_orders(), lines["online_orders"], "online_orders/online_orders.json.gz",
+         "part"),
+    ):
+        write_feed(raw, f"{root}/{path}", "orders", name)
+        write_feed(more, f"{root}/{path}", "orders", name)
+    for raw, path, key in (
+        (feeds.customers(), "shared/customers/customer_batch", "customers"),
+        (feeds.products(), "shared/products.json.gz", "products"),
+        (feeds.sapo_locations(), "shared/sapo_locations.json.gz", "locations"),
+        (feeds.staff(), "shopify/staff.json.gz", "staff"),
+        (feeds.cart_events(), "cart_tracking/cart_events.json.gz", "events"),
+        (feeds.bank_transactions(), "mercury/transactions.json.gz", "transactions"),
+    ):
+        write_feed(raw, f"{root}/{path}", key)
+    for gateway, raw in feeds.all_payments().items():
+        write_feed(raw, f"{root}/{gateway}/transactions.json.gz", "transactions", "transactions")
+
+
 def write_feed(
     df: DataFrame, path: str, key: str, name: str = "part", rows_per_document: int = 2_000
 ) -> None:
