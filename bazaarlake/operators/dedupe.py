@@ -105,11 +105,16 @@ def combine_frames(
     The rank of the frame leads the feed position, so the outcome does not
     depend on how the union is partitioned. Without ``schema`` all columns stay.
     """
+    placed = [with_position(frame) for frame in frames]
+    types = [frame.schema[FEED_POSITION].dataType.simpleString() for frame in placed]
     ranked = []
-    for rank, frame in enumerate(frames):
-        placed = with_position(frame)
-        position = F.struct(F.lit(rank).alias("rank"), F.col(FEED_POSITION).alias("at"))
-        ranked.append(placed.withColumn(FEED_POSITION, position))
+    for rank, frame in enumerate(placed):
+        # Feeds may count positions in different types: each type has a field of its own.
+        places = ", ".join(
+            f"'at_{n}', " + (FEED_POSITION if t == types[rank] else f"cast(null as {t})")
+            for n, t in enumerate(dict.fromkeys(types)))
+        position = F.expr(f"named_struct('rank', {rank}, {places})")
+        ranked.append(frame.withColumn(FEED_POSITION, position))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
     if dedupe_on:
         missing = [c for c in dedupe_on if c not in rows.columns]

@@ -198,7 +198,8 @@ def _scan(
             T.StructField("file", T.StringType()), T.StructField("document", T.LongType()),
             T.StructField("row", T.IntegerType()),
         ])
-        return spark.createDataFrame([], row.add(FEED_POSITION, position))
+        empty = T.StructType([*row.fields, T.StructField(FEED_POSITION, position)])
+        return spark.createDataFrame([], empty)
 
 
 def scan_customers(

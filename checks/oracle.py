@@ -325,7 +325,9 @@ SANKEY = """
     JOIN node_totals s ON e.source_stage_number = s.source_stage_number
                        AND e.source_node = s.source_node
     CROSS JOIN (SELECT count(DISTINCT customer_id) AS total_customers FROM ordered) t
-    GROUP BY ALL"""
+    GROUP BY e.source_stage_number, source_stage_label, target_stage_number, target_stage_label,
+             e.source_node, target_node, source_channel, target_channel, edge_type,
+             s.source_stage_customer_count, t.total_customers"""
 CASHFLOW = """
     SELECT d.activity_date::VARCHAR AS activity_date,
            coalesce(sales_revenue_vnd, 0)::DOUBLE AS sales_revenue_vnd,

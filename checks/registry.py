@@ -91,7 +91,12 @@ class Data:
         }
 
     def raw(self) -> dict[str, object]:
-        return {**self.feeds.raw_sources(), **self.feeds.order_lines()}
+        """All sources, orders as headers followed by a header per line."""
+        found = self.feeds.raw_sources()
+        for feed, lines in self.feeds.order_lines().items():
+            found[feed] = found[feed].drop(FEED_POSITION).unionByName(
+                lines.drop(FEED_POSITION), allowMissingColumns=True)
+        return found
 
     def new_schema(self) -> str:
         """A fresh catalog schema below the shared folder."""
@@ -388,7 +393,7 @@ def date_bounds_from_tables(d: Data) -> DataFrame:
 
 @query
 def build_dimensions(d: Data) -> DataFrame:
-    return _count(dimensions.build_dimensions(d.raw(), d.dated_facts()))
+    return _count(dimensions.build_dimensions(d.feeds.raw_sources(), d.dated_facts()))
 
 
 # -- facts -------------------------------------------------------------------
