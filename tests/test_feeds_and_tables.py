@@ -132,7 +132,7 @@ def test_whole_run(spark, put, schema):
     assert load.summary == {
         "dim_customers": 2, "dim_products": 2, "dim_locations": 0, "dim_date": 6,
         "fact_orders": 2, "fact_order_items": 3, "fact_payments": 1, "fact_cart_events": 1,
-        "fact_bank_transactions": 0, "dim_customers_aggregate_updates": 1, "analysis_views": 2}
+        "fact_bank_transactions": 0, "dim_customers_aggregate_updates": 1, "analysis_views": 3}
     customers = {r.customer_id: r for r in spark.table(f"{schema}.dim_customers").collect()}
     assert (customers[501].customer_segment, customers[501].total_orders) == ("loyal", 2)
     assert customers[502].customer_segment == "new"
