@@ -117,112 +117,118 @@ def date_range_profile(
 
 
 def _distinct_amounts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, cents, copies): each value of each column once, counted map-side.
+    """(c, cents, copies): each value of the c-th column once, counted map-side.
 
     Everything below reads this one exchange again, so the table is read once.
     """
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("column_name"),
-                 (F.col(c).try_cast("decimal(18,2)") * 100).cast("bigint").alias("cents"))
-        for c in columns
+        F.struct(F.lit(c).alias("c"),
+                 (F.col(name).try_cast("decimal(18,2)") * 100).cast("bigint").alias("cents"))
+        for c, name in enumerate(columns)
     ])
     rows = df.select(F.explode(pairs).alias("r")).select("r.*")
     # Not nullable on purpose: no reader adds its own null filter, all share the exchange.
     known = rows.filter(F.col("cents").isNotNull()).select(
-        "column_name", F.coalesce("cents", F.lit(0)).alias("cents"))
-    return known.groupBy("column_name", "cents").agg(F.count(F.lit(1)).alias("copies"))
+        "c", F.coalesce("cents", F.lit(0)).alias("cents"))
+    return known.groupBy("c", "cents").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _blocks_of(size: int) -> Column:
     return F.coalesce(F.expr(f"cents div {size}"), F.lit(0))
 
 
+def _coarse_blocks(amounts: DataFrame) -> DataFrame:
+    """Counts and sums per block of the coarsest step; two million blocks at most."""
+    total = F.col("cents").cast("decimal(19,0)") * F.col("copies").cast("decimal(19,0)")
+    return amounts.groupBy("c", _blocks_of(_STEPS[0]).alias("next")).agg(
+        F.sum("copies").alias("copies"),
+        F.sum(total).alias("total"),
+        F.sum(F.when(F.col("cents") < 0, F.col("copies")).otherwise(0)).alias("negative"),
+        F.min("cents").alias("min"),
+        F.max("cents").alias("max"),
+    )
+
+
 def _wanted_ranks(counts: DataFrame) -> DataFrame:
-    """(column_name, block, asked): the ranks around each quartile, all in one block."""
-    at = {q: F.lit(p) * (F.col("n") - 1) for q, p in _QUARTILES.items()}
-    asked = F.array(*[
-        F.struct(F.lit(q).alias("quartile"), F.lit(end).alias("end"),
-                 (where - F.floor(where)).alias("part"), rank.alias("rank"))
-        for q, where in at.items()
-        for end, rank in (("low", F.floor(where)), ("high", F.ceil(where)))
-    ])
-    return counts.select("column_name", F.lit(0).cast("bigint").alias("block"),
-                         asked.alias("asked"))
+    """(c, block, asked): the ranks around each quartile, all in one block."""
+    asked = ", ".join(
+        f"named_struct('quartile', '{name}', 'end', '{end}', "
+        f"'part', {p}D * (n - 1) - floor({p}D * (n - 1)), 'rank', {side}({p}D * (n - 1)))"
+        for name, p in _QUARTILES.items() for end, side in (("low", "floor"), ("high", "ceil"))
+    )
+    return counts.selectExpr("c", "0L as block", f"array({asked}) as asked")
 
 
-def quantiles(amounts: DataFrame, counts: DataFrame) -> DataFrame:
-    """Exact quartiles with linear interpolation: (column_name, q1, median, q3).
+def quantiles(amounts: DataFrame, coarse: DataFrame, counts: DataFrame) -> DataFrame:
+    """Exact quartiles with linear interpolation: (c, q1, median, q3).
 
-    ``amounts`` holds each distinct value with its copies, ``counts`` the number
-    ``n`` of values per column. A wanted rank is located first among blocks of
-    10**12 cents, then among blocks of 10**6 inside that block, then among
-    single values. Money of 18 digits has at most two million blocks per step,
-    so each numbering window is bounded, whatever the data holds.
+    ``amounts`` holds each distinct value with its copies, ``coarse`` its coarsest
+    blocks, ``counts`` the number ``n`` of values per column. A wanted rank is
+    located first among blocks of 10**12 cents, then among blocks of 10**6
+    inside that block, then among single values. Money of 18 digits has at most
+    two million blocks per step, so each numbering window is bounded, whatever
+    the data holds.
     """
-    wanted, outer = _wanted_ranks(counts), None
+    wanted, outer, keys = _wanted_ranks(counts), None, ["c", "block"]
     for step in _STEPS:
-        block = F.lit(0).cast("bigint") if outer is None else _blocks_of(outer)
-        parts = amounts.select("column_name", block.alias("block"),
-                               _blocks_of(step).alias("next"), "copies")
         # Six ranks per profiled column, whatever the rows: a fixed bound for broadcasting.
         few = F.broadcast(wanted)
-        keys = ["column_name", "block"]
         if outer is None:
-            sums = parts.groupBy(*keys, "next").agg(F.sum("copies").alias("copies"))
-            sums = sums.join(few, keys)
+            sums = coarse.select("c", F.lit(0).cast("bigint").alias("block"), "next", "copies")
         else:
-            sums = parts.join(few, keys).groupBy(*keys, "asked", "next").agg(
-                F.sum("copies").alias("copies"))
+            parts = amounts.select(
+                "c", _blocks_of(outer).alias("block"), _blocks_of(step).alias("next"), "copies")
+            # Keys alone go with the many rows; the ranks join the few sums below.
+            inside = parts.join(F.broadcast(wanted.select(*keys)), keys)
+            sums = inside.groupBy(*keys, "next").agg(F.sum("copies").alias("copies"))
         order = Window.partitionBy(*keys).orderBy("next")
         until = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0))
-        placed = sums.withColumn("before", until - F.col("copies"))
-        inside = F.filter("asked", lambda t: (t.rank >= F.col("before"))
-                          & (t.rank < F.col("before") + F.col("copies")))
-        moved = F.transform(inside, lambda t: t.withField("rank", t.rank - F.col("before")))
-        wanted = placed.filter(F.size(inside) > 0).select(
-            "column_name", F.col("next").alias("block"), moved.alias("asked"))
+        placed = sums.withColumn("before", until - F.col("copies")).join(few, keys)
+        inside = "filter(asked, t -> t.rank >= before and t.rank < before + copies)"
+        moved = (f"transform({inside}, t -> named_struct('quartile', t.quartile, 'end', t.end, "
+                 "'part', t.part, 'rank', t.rank - before))")
+        wanted = placed.filter(f"size({inside}) > 0").selectExpr(
+            "c", "next as block", f"{moved} as asked")
         outer = step
-    found = wanted.select("column_name", (F.col("block") / 100).alias("value"),
-                          F.explode("asked").alias("t"))
+    found = wanted.selectExpr("c", "block / 100 as value", "inline(asked)")
 
-    def at(quartile: str) -> Column:
-        mine = F.col("t.quartile") == quartile
+    def pick(quartile: str) -> str:
         low, high = (
-            F.max(F.when(mine & (F.col("t.end") == end), F.col("value")))
-            for end in ("low", "high")
-        )
-        part = F.max(F.when(mine, F.col("t.part")))
-        return (low + (high - low) * part).alias(quartile)
+            f"max(value) filter (where quartile = '{quartile}' and end = '{end}')"
+            for end in ("low", "high"))
+        part = f"max(part) filter (where quartile = '{quartile}')"
+        return f"{low} + ({high} - {low}) * {part}"
 
-    return found.groupBy("column_name").agg(*[at(q) for q in _QUARTILES])
+    return found.groupBy("c").agg(*[F.expr(pick(q)).alias(q) for q in _QUARTILES])
 
 
 def amount_profile(df: DataFrame, amount_columns: Sequence[str]) -> DataFrame:
     """Per amount column: negatives, outliers beyond 1.5 quartile ranges, mean, spread."""
     wanted = [c for c in amount_columns if c in df.columns]
     amounts = _distinct_amounts(df, wanted)
-    copies, cents, value = F.col("copies"), F.col("cents"), F.col("cents") / 100
-    total = F.sum(cents.cast("decimal(19,0)") * copies.cast("decimal(19,0)"))
-    stats = amounts.groupBy("column_name").agg(
-        F.sum(copies).alias("n"),
-        (total.cast("double") / F.sum(copies) / 100).alias("mean"),
-        F.sum(F.when(cents < 0, copies).otherwise(0)).alias("negative_count"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    coarse = _coarse_blocks(amounts)
+    stats = coarse.groupBy("c").agg(
+        F.sum("copies").alias("n"),
+        (F.sum("total").cast("double") / F.sum("copies") / 100).alias("mean"),
+        F.sum("negative").alias("negative_count"),
+        (F.min("min") / 100).alias("min"),
+        (F.max("max") / 100).alias("max"),
     )
-    known = stats.join(quantiles(amounts, stats.select("column_name", "n")), "column_name")
+    known = stats.join(quantiles(amounts, coarse, stats.select("c", "n")), "c")
+    copies, value = F.col("copies"), F.col("cents") / 100
     reach = (F.col("q3") - F.col("q1")) * 1.5
     outside = (value < F.col("q1") - reach) | (value > F.col("q3") + reach)
     # One row of statistics per profiled column: as small as the table is wide.
-    profiled = amounts.join(F.broadcast(known), "column_name").groupBy(*known.columns).agg(
+    few = F.broadcast(known)
+    profiled = amounts.join(few, "c").groupBy(*known.columns).agg(
         F.sum(F.when(outside, copies).otherwise(0)).alias("outlier_count"),
         F.sum(copies * F.pow(value - F.col("mean"), 2)).alias("squares"),
     )
     spread = F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1))).otherwise(
         F.when(F.col("n") == 1, 0.0))
     names = F.array(*[F.lit(c) for c in wanted])
-    every = df.sparkSession.range(1).select(F.explode(names).alias("column_name"))
-    return every.join(profiled, "column_name", "left").select(
+    every = df.sparkSession.range(1).select(F.posexplode(names).alias("c", "column_name"))
+    return every.join(profiled, "c", "left").select(
         "column_name",
         F.coalesce("negative_count", F.lit(0)).alias("negative_count"),
         F.coalesce("outlier_count", F.lit(0)).alias("outlier_count"),
