@@ -80,11 +80,13 @@ def join_order_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     Written as matches plus orders without a match, both sides can be split:
     the match is an inner join, and the rest is an anti join against distinct
     transactions (pre-aggregated, so at most one row per key and map task).
-    Orders without a transaction never match and skip both shuffles.
+    Orders without a transaction never match and skip both shuffles. Columns are
+    renamed last: both joins then ask for the same exchange of orders, which
+    Spark reuses.
     """
     left = orders.select(
-        "order_key", "order_id", "transaction_id", "customer_id", "order_date",
-        F.col("status").alias("order_status"), F.col("total_vnd").alias("order_total_vnd"),
+        "order_key", "order_id", "transaction_id", "customer_id", "order_date", "status",
+        "total_vnd",
     )
     right = payments.filter(F.col("transaction_id").isNotNull()).select(
         "transaction_id", *_PAYMENT_COLUMNS, F.col("amount_vnd").alias("payment_amount_vnd")
@@ -93,9 +95,10 @@ def join_order_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     paid = named.join(right, "transaction_id", "inner")
     unpaid = named.join(right.select("transaction_id").distinct(), "transaction_id", "left_anti")
     unnamed = left.filter(F.col("transaction_id").isNull())
-    return paid.unionByName(unpaid, allowMissingColumns=True).unionByName(
+    joined = paid.unionByName(unpaid, allowMissingColumns=True).unionByName(
         unnamed, allowMissingColumns=True
     )
+    return joined.withColumnsRenamed({"status": "order_status", "total_vnd": "order_total_vnd"})
 
 
 def payment_status(

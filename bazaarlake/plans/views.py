@@ -226,19 +226,17 @@ def cashflow_sql(schema: str) -> str:
 def payment_status_sql(schema: str, as_of: str | None = None) -> str:
     today = f"date'{as_of}'" if as_of else "current_date()"
     payment = "payment_key, payment_gateway, payment_method, payment_status, payment_date"
-    order = "order_key, order_id, transaction_id, customer_id, order_date, order_status"
-    every = f"{order}, order_total_vnd, {payment}, payment_amount_vnd"
+    order = "order_key, order_id, transaction_id, customer_id, order_date, status"
+    every = f"{order}, total_vnd, {payment}, payment_amount_vnd"
     alone = (
-        f"{order}, order_total_vnd, string(NULL) AS payment_key, "
+        f"{order}, total_vnd, string(NULL) AS payment_key, "
         "string(NULL) AS payment_gateway, string(NULL) AS payment_method, "
         "string(NULL) AS payment_status, timestamp(NULL) AS payment_date, "
         "NULL AS payment_amount_vnd"
     )
     return f"""
     WITH orders AS (
-        SELECT order_key, order_id, transaction_id, customer_id, order_date,
-               status AS order_status, total_vnd AS order_total_vnd
-        FROM {schema}.fact_orders
+        SELECT {order}, total_vnd FROM {schema}.fact_orders
     ),
     payments AS (
         SELECT transaction_id, {payment}, amount_vnd AS payment_amount_vnd
@@ -252,9 +250,9 @@ def payment_status_sql(schema: str, as_of: str | None = None) -> str:
         UNION ALL
         SELECT {alone} FROM orders WHERE transaction_id IS NULL
     )
-    SELECT {order}, order_total_vnd, {payment}, payment_amount_vnd,
+    SELECT {order} AS order_status, total_vnd AS order_total_vnd, {payment}, payment_amount_vnd,
            timestampdiff(HOUR, order_date, payment_date) AS payment_delay_hours,
-           greatest(coalesce(order_total_vnd, 0) - coalesce(payment_amount_vnd, 0), 0)
+           greatest(coalesce(total_vnd, 0) - coalesce(payment_amount_vnd, 0), 0)
                AS outstanding_amount,
            CASE WHEN lower(coalesce(payment_status, '')) IN ({_words(fixed.VIEW_PAID)})
                     THEN 'Paid'
