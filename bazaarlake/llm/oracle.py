@@ -2,6 +2,159 @@
 
 from __future__ import annotations
 
+from bazaarlake.llm import queries, warc
+from bazaarlake.llm.reputation import LEAST_STRENGTH, MAX_BAD, MOST_STRENGTH, Z
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _share(level: int) -> str:
+    """One level of budgets: children of a parent filled in the order of cap / weight."""
+    parent = "p" + str(level - 1)
+    return f"""
+    r{level} AS (SELECT n.*, b.budget AS given,
+        coalesce(sum(cap) OVER (PARTITION BY n.{parent} ORDER BY cap::DOUBLE / w, n.p{level}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS taken,
+        sum(w) OVER (PARTITION BY n.{parent} ORDER BY cap::DOUBLE / w, n.p{level}
+            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS open
+      FROM n{level} n JOIN b{level - 1} b ON b.{parent} = n.{parent}),
+    f{level} AS (SELECT *, cap * open <= (given - taken) * w AS full_node FROM r{level}),
+    s{level} AS (SELECT *, given - coalesce(sum(CASE WHEN full_node THEN cap END)
+          OVER (PARTITION BY {parent}), 0)::HUGEINT AS rest,
+        (sum(CASE WHEN NOT full_node THEN w END) OVER (PARTITION BY {parent}))::HUGEINT AS all_w
+      FROM f{level}),
+    t{level} AS (SELECT *, rest * w // all_w AS part, rest * w % all_w AS odd FROM s{level}),
+    u{level} AS (SELECT *, rest - (sum(CASE WHEN NOT full_node THEN part END)
+          OVER (PARTITION BY {parent}))::HUGEINT AS spare,
+        row_number() OVER (PARTITION BY {parent}, full_node ORDER BY odd DESC, p{level}) AS nth
+      FROM t{level}),
+    b{level} AS (SELECT p{level}, CASE WHEN full_node THEN cap
+        ELSE part + (nth <= spare)::INT END AS budget FROM u{level})"""
+
+
+def _mixing() -> str:
+    domain = " ".join(f"WHEN '{k}' THEN {v}" for k, v in queries.DOMAIN_WEIGHTS.items())
+    language = " ".join(f"WHEN '{k}' THEN {v}" for k, v in queries.LANGUAGE_WEIGHTS.items())
+    return rf"""
+    WITH docs AS (SELECT doc_id, len(regexp_extract_all(text, '{_WORD}')) AS tokens,
+        CASE WHEN num = 0 THEN 'crawl' WHEN num < 10 THEN 'reference' ELSE 'forum' END AS domain,
+        coalesce('=' || lang, '-') AS l, coalesce('=' || source, '-') AS s
+      FROM (SELECT *, try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT) AS num
+            FROM documents)),
+    d AS (SELECT doc_id, tokens, '' AS p0, domain AS p1, domain || '/' || l AS p2,
+        domain || '/' || l || '/' || s AS p3, l FROM docs WHERE tokens > 0),
+    leaves AS (SELECT p0, p1, p2, p3, any_value(l) AS l, sum(tokens)::HUGEINT AS available
+      FROM d GROUP BY ALL),
+    n3 AS (SELECT p2, p3, 1 AS w, available * 4 AS cap FROM leaves),
+    n2 AS (SELECT p1, p2, CASE substr(any_value(l), 2) {language} ELSE 1 END AS w,
+        (sum(available) * 4)::HUGEINT AS cap FROM leaves GROUP BY ALL),
+    n1 AS (SELECT p0, p1, CASE p1 {domain} ELSE 1 END AS w,
+        (sum(available) * 4)::HUGEINT AS cap FROM leaves GROUP BY ALL),
+    b0 AS (SELECT '' AS p0, least(floor(sum(available) * 0.5::DOUBLE)::HUGEINT,
+        (sum(available) * 4)::HUGEINT) AS budget FROM leaves),
+    {_share(1)}, {_share(2)}, {_share(3)},
+    plan AS (SELECT p3, budget // available AS whole, budget % available AS rest
+      FROM b3 JOIN leaves USING (p3) WHERE budget > 0),
+    placed AS (SELECT d.doc_id, tokens, plan.*, coalesce(sum(tokens) OVER (PARTITION BY p3
+        ORDER BY md5('17|' || whole::VARCHAR || '|' || d.doc_id::VARCHAR), d.doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN plan USING (p3))
+    SELECT doc_id, unnest(range(whole::BIGINT))::INT AS epoch, tokens, tokens AS tokens_taken
+      FROM placed WHERE whole > 0
+    UNION ALL
+    SELECT doc_id, whole::INT, tokens, least(tokens, rest - before)::BIGINT
+      FROM placed WHERE before < rest"""
+
+
+def _strength(name: str, groups: str) -> str:
+    return f"""
+    {name} AS (SELECT CASE WHEN t > 0 THEN b / t ELSE 0 END AS mean,
+        CASE WHEN g < 2 OR b = 0 OR b = t THEN {MOST_STRENGTH} ELSE least({MOST_STRENGTH},
+          greatest({LEAST_STRENGTH}, (t - nn / t - (g - 1)) / greatest(1e-9,
+            (bb - b * (b / t)) / ((b / t) * (1 - b / t)) - (g - 1)) - 1)) END AS strength
+      FROM (SELECT count(*) AS g, sum(n)::DOUBLE AS t, sum(bad)::DOUBLE AS b,
+          sum(n * n)::DOUBLE AS nn, sum(bad * bad / n) AS bb FROM {groups} WHERE n > 0))"""
+
+
+def _reputation() -> str:
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') "
+        f"THEN '{{}}'" for h, p, _ in sorted(
+            queries.URL_RULES, key=lambda r: -len(r[0] + r[1])))
+    ordered = sorted(queries.URL_RULES, key=lambda r: -len(r[0] + r[1]))
+    rule = fits.format(*[h + p for h, p, _ in ordered])
+    verdict = fits.format(*[v for *_, v in ordered])
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+    WITH page AS (SELECT page_id, translate(coalesce(regexp_extract(url,
+          '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{upper}', '{upper.lower()}') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+    outcome AS (SELECT host, (quality = 0 OR toxic = 1)::INT AS bad FROM page JOIN labels
+      ON doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})([^0-9].*)?$', 1) AS BIGINT)),
+    hosts AS (SELECT host, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.')
+        AS domain, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad
+      FROM (SELECT DISTINCT host FROM page) LEFT JOIN outcome USING (host) GROUP BY host),
+    domains AS (SELECT domain, string_split(domain, '.')[-1] AS suffix, sum(n) AS n,
+        sum(bad) AS bad FROM hosts GROUP BY ALL),
+    suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
+    {_strength("k0", "suffixes")}, {_strength("k1", "domains")}, {_strength("k2", "hosts")},
+    s AS (SELECT suffix, (bad + strength * mean) / (n + strength) AS sm FROM suffixes, k0),
+    d AS (SELECT domain, (bad + strength * sm) / (n + strength) AS dm
+      FROM domains JOIN s USING (suffix), k1),
+    h AS (SELECT host, n, bad, (bad + strength * dm) / (n + strength) AS hm, strength
+      FROM hosts JOIN d USING (domain), k2)
+    SELECT page_id, host, path, CASE {rule} END AS rule, coalesce(CASE {verdict} END,
+        CASE WHEN hm - {Z} * sqrt(hm * (1 - hm) / (n + strength + 1)) > {MAX_BAD}
+             THEN 'block' ELSE 'allow' END) AS verdict, n AS n_labelled, bad AS n_bad
+    FROM page JOIN h USING (host)"""
+
+
+def _warc() -> str:
+    names = ", ".join("'{}': '{}'".format(name, sign.replace("'", "''"))
+                      for name, sign in warc.REFERENCES.items())
+    uuid = ("'urn:uuid:' || x[1:8] || '-' || x[9:12] || '-' || x[13:16] || '-' || x[17:20] "
+            "|| '-' || x[21:32]")
+    return rf"""
+    WITH source AS (SELECT page_id, url, coalesce(html, '') AS html,
+        'Content-Type: text/html; charset=utf-8' || coalesce(chr(13) || chr(10)
+          || 'Content-Length: ' || octet_length(encode(html)), '') AS headers,
+        sha256('response' || chr(10) || page_id || chr(10) || coalesce(url, '')) AS x FROM pages),
+    named AS (SELECT *, {uuid} AS id FROM source),
+    meta AS (SELECT * EXCLUDE x, sha256('metadata' || chr(10) || id) AS x FROM named),
+    both_ids AS (SELECT * EXCLUDE x, {uuid} AS mid, sha256('conversion' || chr(10) || id) AS x
+      FROM meta),
+    a AS (SELECT * EXCLUDE x, {uuid} AS cid, regexp_replace(regexp_replace(regexp_replace(
+        regexp_replace(html, '{warc.HIDDEN_PATTERN}', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g'),
+        '{warc.BREAK_PATTERN}', chr(10), 'g'), '{warc.TAG_PATTERN}', '', 'g') AS raw
+      FROM both_ids),
+    b AS (SELECT *, list_transform(string_split(raw, '&'), lambda part, i: CASE WHEN i = 1
+        THEN part ELSE '&' || part END) AS parts FROM a),
+    c AS (SELECT *, list_aggregate(list_transform(parts, lambda part: coalesce(
+        map {{{names}}}[regexp_extract(part, '^&([A-Za-z]+);', 1)]
+          || substr(part, length(regexp_extract(part, '^&([A-Za-z]+);', 1)) + 3),
+        CASE WHEN regexp_matches(part, '^&#[0-9]{{1,7}};') THEN
+          chr(try_cast(regexp_extract(part, '^&#([0-9]+);', 1) AS INT))
+            || regexp_replace(part, '^&#[0-9]+;', '') END, part)), 'string_agg', '') AS decoded
+      FROM b),
+    t AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(coalesce(decoded, ''),
+        ' *\n[ \n]*', chr(10), 'g'), ' +', ' ', 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS txt FROM c),
+    m AS (SELECT *, 'source-record: ' || id || chr(13) || chr(10)
+        || 'source-payload-digest: sha256:' || sha256(html) || chr(13) || chr(10)
+        || 'source-payload-bytes: ' || octet_length(encode(html)) || chr(13) || chr(10)
+        || 'conversion-record: ' || cid || chr(13) || chr(10)
+        || 'conversion-digest: sha256:' || sha256(txt) || chr(13) || chr(10)
+        || 'conversion-chars: ' || length(txt) || chr(13) || chr(10)
+        || headers || chr(13) || chr(10) AS facts FROM t),
+    records AS (
+      SELECT *, 'metadata' AS record_type, mid AS record_id, cid AS linked_id,
+        'application/warc-fields' AS content_type, facts AS block FROM m
+      UNION ALL
+      SELECT *, 'conversion', cid, mid, 'text/plain; charset=utf-8', txt FROM m)
+    SELECT page_id, record_type, record_id, id AS refers_to, '{queries.FETCHED}' AS refers_to_date,
+      url AS target_uri, linked_id, headers AS source_headers, 'sha256:' || sha256(html)
+        AS source_digest, content_type, block, octet_length(encode(block))::BIGINT
+        AS content_length, 'sha256:' || sha256(block) AS block_digest FROM records"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": _mixing(), "op8_url_filters": _reputation(), "op9_warc": _warc()}

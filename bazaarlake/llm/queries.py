@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import compression, language, pieces, shards
+from bazaarlake.llm import compression, language, mixing, pieces, reputation, shards, warc
 
 SHARDS = 16
+# Target weights of the mix; sources have equal weights.
+DOMAIN_WEIGHTS = {"crawl": 30, "reference": 45, "forum": 25}
+LANGUAGE_WEIGHTS = {"en": 40, "de": 20, "fr": 20, "es": 20}
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
+             ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+             ("net", "/fr/", "block")]
+FETCHED = "2024-01-01T00:00:00Z"  # the table has no fetch times
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +29,25 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def source_domain() -> Column:
+    """The top level of the mix, from the source's name."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
+    return F.when(number == 0, "crawl").when(number < 10, "reference").otherwise("forum")
+
+
+def mix_weights(spark: SparkSession) -> DataFrame:
+    rows = [([d], w) for d, w in DOMAIN_WEIGHTS.items()]
+    rows += [([d, x], w) for d in DOMAIN_WEIGHTS for x, w in LANGUAGE_WEIGHTS.items()]
+    return spark.createDataFrame(rows, "path array<string>, weight long")
+
+
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix_documents(
+        docs, "doc_id", "text", [source_domain(), "lang", "source"], mix_weights(spark),
+        fraction=0.5, max_epochs=4, seed=17).withColumnRenamed("key", "doc_id")
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     sharded = shards.shuffle_into_shards(docs, "doc_id", "text", SHARDS, seed=2024)
@@ -47,6 +73,29 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_texts(docs, "text", tokenizer_path(), keep=["doc_id"])
 
 
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels")
+    # A page shows the document whose number ends its path; a document is labelled.
+    shown = F.regexp_extract(reputation.url_path(F.col("url")), "/([0-9]{1,18})(?:[^0-9].*)?$", 1)
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    outcomes = pages.select("url", shown.try_cast("long").alias("doc_id")).join(
+        labels, "doc_id").select("url", bad.alias("bad"))
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return reputation.judge_urls(pages, "url", outcomes, rules).drop("url")
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    headers = warc.header_lines(("Content-Type", F.lit("text/html; charset=utf-8")),
+                                ("Content-Length", F.octet_length("html")))
+    responses = pages.withColumns({
+        "id": warc.record_uuid(F.lit("response"), F.col("page_id").cast("string"),
+                               F.coalesce("url", F.lit(""))),
+        "date": F.lit(FETCHED), "headers": headers})
+    return warc.derive_records(responses, "id", "url", "date", "headers", "html", ["page_id"])
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return compression.compression_rules(docs, "text", keep=["doc_id"])
