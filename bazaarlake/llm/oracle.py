@@ -66,6 +66,19 @@ def _mixing() -> str:
       FROM placed WHERE before < rest"""
 
 
+def _top_k() -> str:
+    return """
+    WITH vectors AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE))
+        AS v FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, d.vec_id,
+        list_inner_product(q.v, d.v)::BIGINT AS score
+      FROM vectors q JOIN vectors d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+    ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id
+        ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
+    SELECT * FROM ranked WHERE rank <= 5"""
+
+
 def _strength(name: str, groups: str) -> str:
     return f"""
     {name} AS (SELECT CASE WHEN t > 0 THEN b / t ELSE 0 END AS mean,
@@ -157,4 +170,5 @@ def _warc() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _mixing(), "op8_url_filters": _reputation(), "op9_warc": _warc()}
+    return {"op1_mixing": _mixing(), "op2_top_k": _top_k(),
+            "op8_url_filters": _reputation(), "op9_warc": _warc()}

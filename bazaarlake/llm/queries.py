@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import compression, language, mixing, pieces, reputation, shards, warc
+from bazaarlake.llm import compression, covertree, language, mixing, pieces
+from bazaarlake.llm import reputation, shards, warc
 
 SHARDS = 16
 # Target weights of the mix; sources have equal weights.
@@ -48,6 +49,11 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
         fraction=0.5, max_epochs=4, seed=17).withColumnRenamed("key", "doc_id")
 
 
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return covertree.top_k(vectors, "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     sharded = shards.shuffle_into_shards(docs, "doc_id", "text", SHARDS, seed=2024)
