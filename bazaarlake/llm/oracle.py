@@ -79,6 +79,28 @@ def _top_k() -> str:
     SELECT * FROM ranked WHERE rank <= 5"""
 
 
+def _near_duplicates() -> str:
+    """Word windows of all texts, all pairs that share one, then the closure of the links."""
+    return rf"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+      FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM
+      (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words
+       WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a
+      JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION
+      SELECT reach.a, edges.b FROM reach JOIN edges ON edges.a = reach.b)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.c AS component_id, r.c = d.doc_id AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id)
+    JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id"""
+
+
 def _strength(name: str, groups: str) -> str:
     return f"""
     {name} AS (SELECT CASE WHEN t > 0 THEN b / t ELSE 0 END AS mean,
@@ -171,4 +193,5 @@ def _warc() -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_mixing": _mixing(), "op2_top_k": _top_k(),
+            "op3_near_duplicates": _near_duplicates(),
             "op8_url_filters": _reputation(), "op9_warc": _warc()}

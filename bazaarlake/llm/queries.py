@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import compression, covertree, language, mixing, pieces
+from bazaarlake.llm import compression, covertree, language, mixing, neardup, pieces
 from bazaarlake.llm import reputation, shards, warc
 
 SHARDS = 16
@@ -54,6 +54,10 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return covertree.top_k(vectors, "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), "doc_id", "text", 85)
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     sharded = shards.shuffle_into_shards(docs, "doc_id", "text", SHARDS, seed=2024)
