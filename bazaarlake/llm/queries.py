@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import compression, covertree, language, mixing, neardup, pieces
-from bazaarlake.llm import reputation, shards, warc
+from bazaarlake.llm import reputation, shards, warc, wrappers
 
 SHARDS = 16
 # Target weights of the mix; sources have equal weights.
@@ -68,6 +68,11 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return wrappers.extract_main_text(pages, "url", "html")
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
