@@ -55,8 +55,9 @@ def with_text_columns(
     added = T.StructType.fromDDL(schema)
     taken = {f.name.lower() for f in added}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
-    source = df.select(*[F.col(quoted(c)) for c in kept],
-                       F.col(quoted(text)).cast("string").alias("__text"))
+    # Positional names on the way, as names with dots cannot pass to Python tasks.
+    source = df.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(kept)],
+                       F.col(quoted(text)).cast("string").alias("text"))
     result = T.StructType([*source.schema.fields[:-1], *added.fields])
     kinds = [pa.field(f.name, to_arrow_type(f.dataType)) for f in added]
 
@@ -71,4 +72,4 @@ def with_text_columns(
                     schema=pa.schema([*[part.schema.field(i)
                                         for i in range(part.num_columns - 1)], *kinds]))
 
-    return source.mapInArrow(work, result)
+    return source.mapInArrow(work, result).toDF(*kept, *added.names)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,23 +40,24 @@ def shuffle_into_shards(
         F.count(F.lit(1)).alias("rows"))
     offsets = counts.select(F.col("bucket").alias("__b"), (F.sum("rows").over(
         Window.orderBy("bucket")) - F.col("rows")).alias("__offset"))
-    scattered = df.select(*[F.col(quoted(c)) for c in kept], hashed.alias("__hash"),
-                          F.xxhash64(quoted(text)).alias("__text"),
-                          bucket.alias("__bucket"))
-    placed = scattered.join(offsets, F.col("__bucket") == F.col("__b")).drop("__b")
-    result = T.StructType([*df.select(*[quoted(c) for c in kept]).schema.fields,
+    carried = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(kept)]
+    scattered = df.select(*carried, hashed.alias("hash"), F.xxhash64(quoted(text)).alias("content"),
+                          bucket.alias("bucket"))
+    placed = scattered.join(offsets, F.col("bucket") == F.col("__b")).drop("__b")
+    result = T.StructType([*df.select(*carried).schema.fields,
                            T.StructField("shard", T.IntegerType()),
                            T.StructField("slot", T.LongType())])
 
-    def shuffle(records: pd.DataFrame) -> pd.DataFrame:
-        records = records.sort_values(["__hash", "__text"], kind="stable")
-        rng = np.random.default_rng([seed & 0xFFFFFFFF, int(records["__bucket"].iloc[0])])
-        place = int(records["__offset"].iloc[0]) + np.arange(len(records))
-        records = records.iloc[rng.permutation(len(records))]  # numpy's is Fisher-Yates
-        return records[kept].assign(shard=(place % shards).astype("int32"),
-                                    slot=place // shards)
+    def shuffle(records: pa.Table) -> pa.Table:
+        records = records.sort_by([("hash", "ascending"), ("content", "ascending")])
+        rng = np.random.default_rng([seed & 0xFFFFFFFF, records["bucket"][0].as_py()])
+        place = records["__offset"][0].as_py() + np.arange(len(records))
+        records = records.take(rng.permutation(len(records)))  # numpy's is Fisher-Yates
+        return records.select([f"c{i}" for i in range(len(kept))]).append_column(
+            "shard", pa.array((place % shards).astype("int32"))).append_column(
+            "slot", pa.array(place // shards))
 
-    return placed.groupBy("__bucket").applyInPandas(shuffle, result)
+    return placed.groupBy("bucket").applyInArrow(shuffle, result).toDF(*kept, "shard", "slot")
 
 
 def crc32_text(text: Column) -> Column:

@@ -13,7 +13,7 @@ BREAKING = ("address article aside blockquote body br dd div dl dt fieldset figu
             "h1 h2 h3 h4 h5 h6 head header hr html li main nav ol option p pre section table td "
             "th title tr ul").split()
 REFERENCES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0",
     "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•", "hellip": "…",
     "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
     "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "sect": "§", "deg": "°",
