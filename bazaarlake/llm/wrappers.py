@@ -375,7 +375,8 @@ def extract_main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
     ``n_chars`` are replaced.
     """
     kept = [c for c in pages.columns if c.lower() not in ("text", "n_chars", html.lower())]
-    wrappers = infer_wrappers(pages, url, html).select(F.col("host").alias("__host"), "roots")
+    wrappers = infer_wrappers(pages, url, html).select(
+        F.col("host").alias("__host"), F.col("roots").alias("__roots"))
     source = pages.select(*[F.col(quoted(c)) for c in kept],
                           F.col(quoted(html)).cast("string").alias("__html"),
                           url_host(F.col(quoted(url)).cast("string")).alias("__at"))
@@ -387,5 +388,5 @@ def extract_main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
                           for p, r in zip(page, roots)], dtype=object)
 
     return joined.select(*[F.col(quoted(c)) for c in kept],
-                         extract("__html", "roots").alias("text")).withColumn(
+                         extract("__html", "__roots").alias("text")).withColumn(
         "n_chars", F.length("text").cast("long"))
