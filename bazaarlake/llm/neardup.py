@@ -14,12 +14,14 @@ from bazaarlake.llm.batches import WORD, lower_ascii, quoted, with_text_columns
 from bazaarlake.session import write_and_read
 
 WORDS = 5  # per shingle
-BANDS, ROWS = 24, 5  # a pair at 0.85 shares no band with a chance below 1e-6
+BANDS, ROWS = 32, 7  # a pair at 0.85 shares no band with a chance of 4e-6
+SKETCH_WORDS = 16  # of 64 bits, in a document's bitmap of shingles
 # Buckets with more unlinked members first drop those that provably link to nobody.
 CROWDED = 50
-# Remaining pairs are checked at once when there are at most so many for each document.
-PAIRS_PER_DOC = 2
-CENTERS = 8  # of a crowded bucket in each later round
+# Remaining pairs meet at once when there are at most so many for each document. Few of
+# them pass their bitmaps and have their texts compared.
+PAIRS_PER_DOC = 32
+CENTERS = 32  # of a bucket in each later round
 WORD_TABLE = 500_000
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -92,15 +94,25 @@ class OnePermutation:
         return ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)).view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Bits named by the shingles' lowest bits, as signed 64-bit words."""
+    bits = np.zeros(64 * SKETCH_WORDS, dtype=np.uint8)
+    bits[(shingles % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def signatures(docs: DataFrame, text: str) -> DataFrame:
-    """Add n_shingles, set_hash (of the whole shingle set) and bands; both null for no words."""
+    """Add n_shingles, set_hash (of the whole shingle set), bands and sketch (a bitmap).
+
+    All but the size are null for texts without words.
+    """
     def make():
         import xxhash
 
         words, permutation = WordHashes(), OnePermutation()
 
         def compute(texts):
-            out = {"n_shingles": [], "set_hash": [], "bands": []}
+            out = {"n_shingles": [], "set_hash": [], "bands": [], "sketch": []}
             for text in texts:
                 shingles = shingle_hashes(text, words)
                 out["n_shingles"].append(len(shingles))
@@ -108,12 +120,14 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
                     xxhash.xxh3_128_hexdigest(shingles.tobytes()) if len(shingles) else None)
                 out["bands"].append(
                     permutation.band_hashes(shingles) if len(shingles) else None)
+                out["sketch"].append(bitmap(shingles) if len(shingles) else None)
             return out
 
         return compute
 
-    return with_text_columns(docs, text, "n_shingles long, set_hash string, bands array<long>",
-                             make, keep=[c for c in docs.columns if c != text])
+    return with_text_columns(
+        docs, text, "n_shingles long, set_hash string, bands array<long>, sketch array<long>",
+        make, keep=[c for c in docs.columns if c != text])
 
 
 def links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -169,30 +183,45 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _comparable(percent: int) -> Column:
-    """Sizes that allow the similarity: the smaller set has percent of the larger."""
-    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+def _possible(percent: int) -> Column:
+    """Whether sizes and bitmaps of a pair allow the similarity asked for.
+
+    The smaller set must have ``percent`` of the larger. Each bit that differs stands
+    for at least one shingle that only one of the sets has, and a link allows
+    (100 - percent) / (100 + percent) of both sizes together to be such shingles. So no
+    link is ruled out, and few other pairs have their texts fetched.
+    """
+    differing = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(
+        x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+    return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (
+        (100 + percent) * differing <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
 
 
 def _pairs(rows: DataFrame, is_center: Column, percent: int) -> DataFrame:
     """Pairs of a center and another member of its bucket, of different components."""
-    center = rows.filter(is_center).select(
-        "bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    other = rows.select(
-        "bucket", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"),
-        is_center.alias("both"))
+    side = lambda x: [F.col("doc").alias(x), *[
+        F.col(c).alias(f"{c}_{x}") for c in ("n", "comp", "sketch")]]
+    center = rows.filter(is_center).select("bucket", *side("b"))
+    other = rows.select("bucket", *side("a"), is_center.alias("both"))
     return other.join(center, "bucket").filter(
-        (F.col("comp_a") != F.col("comp_b")) & _comparable(percent)
-        & (~F.col("both") | (F.col("a") < F.col("b")))).select("a", "b").distinct()
+        (F.col("comp_a") != F.col("comp_b")) & (~F.col("both") | (F.col("a") < F.col("b")))
+        & _possible(percent)).select("a", "b").distinct()
 
 
 def _open(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows of buckets that still hold different components, with sizes of the bucket."""
-    known = rows.drop("comp", "m").join(comps, "doc", "left").withColumn(
+    """Rows of buckets that still hold different components.
+
+    ``main`` is the bucket's largest component, ``m`` the bucket's rows and ``open``
+    its pairs of different components. Each of those has a member outside ``main``.
+    """
+    known = rows.drop("comp", "main", "m", "open").join(comps, "doc", "left").withColumn(
         "comp", F.coalesce("comp", "doc"))
-    mixed = known.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    return known.join(mixed.filter("low <> high").select("bucket", "m"), "bucket")
+    sizes = known.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
+    mixed = sizes.groupBy("bucket").agg(
+        F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"), F.sum("c").alias("m"),
+        F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("kinds"))
+    return known.join(mixed.filter("kinds > 1").selectExpr(
+        "bucket", "main", "m", "(m * m - squares) / 2 AS open"), "bucket")
 
 
 def _can_link(crowd: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -230,9 +259,10 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 85) ->
     its center (the member that shares most buckets with others, as an original does
     with its copies) is compared with every member on full sets. Later rounds take
     the buckets that still hold different components: in crowded ones, documents
-    that provably link to nobody are dropped, and further stars are checked; the rest
-    is compared pair by pair once those pairs are few against the documents. So no
-    candidate is left out, and pairs grow with documents, not with a bucket's square.
+    that provably link to nobody are dropped, and members outside a bucket's largest
+    component become the centers of further stars, all of them once those pairs are few
+    against the documents. So no candidate is left out, and pairs grow with
+    documents, not with a bucket's square.
 
     Null and empty texts have no shingles and link with nothing. Rows with a null key
     take no part (component null, kept). Repeated rows are members of one class.
@@ -241,35 +271,40 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 85) ->
                          F.col(quoted(text)).cast("string").alias("text"))
     signed = write_and_read(signatures(source, "text"), "signatures")
     classes = signed.filter("id IS NOT NULL AND set_hash IS NOT NULL").groupBy("set_hash").agg(
-        F.min(F.struct("id", "n_shingles", "bands")).alias("first"))
+        F.min(F.struct("id", "n_shingles", "bands", "sketch")).alias("first"))
     banded = classes.select(
         F.col("first.id").alias("doc"), F.col("first.n_shingles").alias("n"),
         F.posexplode("first.bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "doc", "n")
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     rows = write_and_read(banded.join(shared, "bucket"), "buckets")
-    texts = write_and_read(source.join(
-        rows.select(F.col("doc").alias("id")).distinct(), "id", "left_semi").dropDuplicates(
-        ["id"]), "candidates")
+    candidates = write_and_read(rows.select("doc").distinct(), "candidates")
+    sketches = classes.select(F.col("first.id").alias("doc"), F.col(
+        "first.sketch").alias("sketch")).join(candidates, "doc", "left_semi")
+    texts = write_and_read(source.join(candidates.withColumnRenamed(
+        "doc", "id"), "id", "left_semi").dropDuplicates(["id"]), "texts")
 
     popular = rows.groupBy("doc").agg(F.sum("m").alias("popular"))
-    ranked = rows.join(popular, "doc").withColumn("comp", F.col("doc"))
+    ranked = rows.join(popular.join(sketches, "doc"), "doc").withColumn("comp", F.col("doc"))
     first = ranked.groupBy("bucket").agg(F.max_by(
         "doc", F.struct("popular", -F.col("doc"))).alias("center"))
     rows = write_and_read(ranked.join(first, "bucket").withColumn(
         "center", F.col("doc") == F.col("center")), "stars")
-    found = write_and_read(links(_pairs(rows, F.col("center"), percent), texts, percent), "links")
+    found = write_and_read(
+        links(_pairs(rows, F.col("center"), percent), texts, percent), "links")
     comps = components(found)
     documents = signed.count()
     rows, pruned = rows.filter(~F.col("center")).drop("center"), False
     while True:
         rows = write_and_read(_open(rows, comps), "open")
-        size = rows.agg(F.sum((F.col("m") - 1) / 2).alias("pairs"), F.max("m").alias("m")).first()
-        if size["m"] is None:
+        left = rows.agg(F.sum(F.col("open") / F.col("m")).alias("pairs"), F.max("m").alias(
+            "m")).first()
+        if left["m"] is None:
             break
-        if size["pairs"] <= PAIRS_PER_DOC * documents:
+        minor = F.col("comp") != F.col("main")
+        if left["pairs"] <= PAIRS_PER_DOC * documents:
             found = found.union(write_and_read(
-                links(_pairs(rows, F.lit(True), percent), texts, percent), "links"))
+                links(_pairs(rows, minor, percent), texts, percent), "links"))
             comps = components(found)
             break
         if not pruned:
@@ -280,14 +315,16 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 85) ->
             pruned = True
             continue
         order = Window.partitionBy("bucket").orderBy(F.desc("popular"), "doc")
-        center = write_and_read(rows.select("bucket", "doc", F.row_number().over(order).alias(
-            "nth")).filter(F.col("nth") <= CENTERS).drop("nth"), "centers")
-        rows = rows.join(center.withColumn("center", F.lit(True)), ["bucket", "doc"], "left")
-        rows = rows.withColumn("center", F.coalesce("center", F.lit(False)))
-        found = found.union(write_and_read(
-            links(_pairs(rows, F.col("center"), percent), texts, percent), "links"))
-        comps = components(found)
+        center = rows.filter(minor).select("bucket", "doc", F.row_number().over(order).alias(
+            "nth")).filter(F.col("nth") <= CENTERS).drop("nth").withColumn("center", F.lit(True))
+        rows = write_and_read(rows.join(center, ["bucket", "doc"], "left").withColumn(
+            "center", F.coalesce("center", F.lit(False))), "stars")
+        new = write_and_read(
+            links(_pairs(rows, F.col("center"), percent), texts, percent), "links")
         rows = rows.filter(~F.col("center")).drop("center")
+        if not new.isEmpty():
+            found = found.union(new)
+            comps = components(found)
 
     named = classes.select("set_hash", F.col("first.id").alias("doc")).join(
         comps, "doc", "left").select("set_hash", F.coalesce("comp", "doc").alias("comp"))
