@@ -43,6 +43,10 @@ ORDER_STATUS = ("status", "order_status")
 ORDER_PAYMENT_STATUS = ("payment_status", "financial_status")
 ORDER_TOTAL_VND = ("total_vnd", "amount_vnd", "grand_total_vnd", "total", "transaction_amount_vnd")
 ORDER_TOTAL_USD = ("total_usd", "amount_usd", "grand_total_usd")
+ORDER_STORE = (
+    "location_id", "location_code", "location_name", "location_city", "location_address",
+    "location_phone",
+)
 
 # --- order line spellings --------------------------------------------------
 ITEM_PRODUCT = ("product_id", "id", "item_id", "variant_id")
@@ -61,6 +65,7 @@ PAYMENT_DATE = (
     "payment_date", "created_at", "paid_at", "timestamp", "transaction_initiation_date",
     "response_time_iso", "server_time_iso", "createdat",
 )
+PAYMENT_CODES = ("result_code", "return_code")
 
 # --- bank spellings --------------------------------------------------------
 BANK_TRANSACTION = ("transaction_id", "id")
@@ -92,6 +97,16 @@ STAFF_LOCATION = ("location_id", "store_id")
 STAFF_LOCATION_NESTED = (("location", "id"),)
 STAFF_HIRED = ("hire_date", "created_at", "joined_at")
 
+CUSTOMER_NAMES = (
+    "customer_id", "id", "email", "full_name", "name", "phone", "city", "country", "created_at",
+    "customer_segment", "lifetime_value_vnd", "total_orders", "first_order_date",
+    "last_order_date",
+)
+PRODUCT_NAMES = (
+    "product_id", "id", "product_name", "name", "sku", "barcode", "category", "brand",
+    "price_vnd", "price_usd", "stock_quantity", "is_active",
+)
+
 # --- text tokens -----------------------------------------------------------
 TRUE_TOKENS = ("true", "1", "yes")
 FALSE_TOKENS = ("false", "0", "no")

@@ -57,12 +57,17 @@ def flag_duplicates(
 ) -> DataFrame:
     """Mark every row of a key but the first.
 
-    The first positions are aggregated map-side and joined back, so the rows of
-    a hot key stay spread (AQE splits the probe side) instead of meeting in one
-    window partition.
+    With a feed position, the first positions are aggregated map-side and joined back,
+    so the rows of a hot key stay spread (AQE splits the probe side). Without one the
+    rows have no order that two evaluations would agree on, so a window over a single
+    evaluation numbers them: exactly one row of each key stays unmarked.
     """
     keys = list(keys or _payload(df))
-    placed = with_position(df)
+    if FEED_POSITION not in df.columns:
+        order = Window.partitionBy(*keys).orderBy(FEED_POSITION)
+        return with_position(df).withColumn(flag, F.row_number().over(order) > 1).drop(
+            FEED_POSITION)
+    placed = df
     firsts = placed.groupBy(*keys).agg(F.min(FEED_POSITION).alias("_first"))
     joined = placed.alias("r").join(firsts.alias("f"), _same("r", "f", keys), "inner")
     return joined.select(

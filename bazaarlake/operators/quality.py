@@ -281,6 +281,13 @@ def data_quality_check(
     return rows, reduce(DataFrame.unionByName, parts)
 
 
+def negative_amounts(report: DataFrame) -> DataFrame:
+    """Report rows with negative amounts in tables whose rules do not allow them."""
+    allowed = [n for n, rule in quality_rules().items() if rule.allow_negative_amounts]
+    return report.filter((F.col("metric") == "negative_count") & ~F.col("table_name").isin(
+        allowed) & (F.col("value").cast("long") > 0))
+
+
 @dataclass
 class QualityRun:
     tables: dict[str, DataFrame] = field(default_factory=dict)

@@ -6,32 +6,25 @@ sees the same set, also after a lost executor recomputes it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A group up to this many rows is ordinary work for one task.
+# A group up to this many rows is ordinary work for one task, at any size of the data.
 ROWS_PER_TASK = 1_000_000
-# A key must hold more than 1/HEAVY_LIMIT of all rows to be heavy, so there are
-# never more than HEAVY_LIMIT heavy keys, whatever the size of the data. This is
-# the bound that makes broadcasting them safe (below 10 MB for a bigint key).
-HEAVY_LIMIT = 100_000
 
 
-def heavy_keys(
-    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, limit: int = HEAVY_LIMIT
-) -> DataFrame:
-    """Keys with more rows than ``max(rows_per_task, all rows / limit)``.
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows.
 
-    One narrow scan with map-side counting; at most ``limit`` rows come out.
+    One narrow scan with map-side counting. There are never more than all rows divided
+    by ``rows_per_task`` of them, but that grows with the data, so no join here is
+    forced to broadcast them: Spark does while the set is small, and shuffles beyond.
     """
     known = df.filter(F.col(key).isNotNull())
-    share = known.agg((F.count(F.lit(1)) / F.lit(limit)).alias("share")).scalar()
     counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    threshold: Column = F.greatest(F.lit(float(rows_per_task)), share)
-    return counts.filter(F.col("rows") > threshold).select(key)
+    return counts.filter(F.col("rows") > rows_per_task).select(key)
 
 
 def split_by_weight(df: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(ordinary rows, rows of heavy keys). Rows with a null key are ordinary."""
-    few = F.broadcast(heavy)  # at most HEAVY_LIMIT rows, see heavy_keys
-    return df.join(few, key, "left_anti"), df.join(few, key, "left_semi")
+    return df.join(heavy, key, "left_anti"), df.join(heavy, key, "left_semi")

@@ -73,8 +73,8 @@ def _edge_rows(events: DataFrame, orders: DataFrame, rows_per_task: int) -> Data
     buys = first_purchases(orders)
     # Same key as the window's exchange: the join adds no shuffle of the touches.
     many = ordinary.join(buys, "customer_id", "left")
-    # One row per heavy customer at most (HEAVY_LIMIT), so this side is bounded.
-    few_buys = F.broadcast(buys.join(F.broadcast(heavy), "customer_id", "left_semi"))
+    # Spark broadcasts this side while it is small and splits hot customers beyond that.
+    few_buys = buys.join(heavy, "customer_id", "left_semi")
     return _edges(many).unionByName(_edges(bulky.join(few_buys, "customer_id", "left")))
 
 

@@ -12,7 +12,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from bazaarlake import fixed_values as fixed
-from bazaarlake.operators.skew import HEAVY_LIMIT, ROWS_PER_TASK
+from bazaarlake.operators.skew import ROWS_PER_TASK
 
 log = logging.getLogger(__name__)
 
@@ -29,7 +29,7 @@ def _words(values: tuple[str, ...]) -> str:
 
 
 def _touches(schema: str, rows_per_task: int) -> str:
-    """Touches split into ordinary and heavy customers; heavy ids number HEAVY_LIMIT at most."""
+    """Touches split into ordinary customers and those with more rows than a task's."""
     return f"""
     touches AS (
         SELECT customer_id, event_timestamp AS touch_time,
@@ -39,15 +39,14 @@ def _touches(schema: str, rows_per_task: int) -> str:
     ),
     heavy AS (
         SELECT customer_id FROM touches GROUP BY customer_id
-        HAVING count(*) > greatest({rows_per_task},
-                                   (SELECT count(*) / {HEAVY_LIMIT} FROM touches))
+        HAVING count(*) > {rows_per_task}
     ),
     ordinary AS (
-        SELECT /*+ BROADCAST(h) */ t.* FROM touches t LEFT ANTI JOIN heavy h
+        SELECT t.* FROM touches t LEFT ANTI JOIN heavy h
         ON t.customer_id = h.customer_id
     ),
     runs AS (
-        SELECT /*+ BROADCAST(h) */ t.customer_id, date_trunc('minute', touch_time) AS minute,
+        SELECT t.customer_id, date_trunc('minute', touch_time) AS minute,
                touch_time, channel, kind, count(*) AS copies
         FROM touches t LEFT SEMI JOIN heavy h ON t.customer_id = h.customer_id
         GROUP BY ALL
@@ -97,7 +96,7 @@ def sankey_sql(schema: str, rows_per_task: int = ROWS_PER_TASK) -> str:
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     stage = "concat('Touch ', lpad(string({n}), 2, '0'))"
     source, target = stage.format(n="stage"), stage.format(n="stage + 1")
-    piece = 1_000_000
+    piece = ROWS_PER_TASK
     edge = """
         SELECT customer_id, stage, channel AS source_channel,
                CASE WHEN next_channel IS NOT NULL THEN next_channel
@@ -115,7 +114,7 @@ def sankey_sql(schema: str, rows_per_task: int = ROWS_PER_TASK) -> str:
         FROM {schema}.fact_orders WHERE customer_id IS NOT NULL GROUP BY customer_id
     ),
     heavy_purchases AS (
-        SELECT /*+ BROADCAST(h) */ p.* FROM purchases p LEFT SEMI JOIN heavy h
+        SELECT p.* FROM purchases p LEFT SEMI JOIN heavy h
         ON p.customer_id = h.customer_id
     ),
     numbered AS (

@@ -12,8 +12,6 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Feeds may vanish or break between listing and reading; such files are skipped.
-    "spark.sql.files.ignoreMissingFiles": "true",
 }
 
 
@@ -45,3 +43,9 @@ def write_and_read(df: DataFrame, name: str, folder: str | None = None) -> DataF
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that this run itself made."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

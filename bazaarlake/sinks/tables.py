@@ -11,11 +11,10 @@ from pyspark.sql import types as T
 
 from bazaarlake.operators.upsert import merge_customer_aggregates
 from bazaarlake.schemas import TABLES
+from bazaarlake.session import write_and_read
 
 log = logging.getLogger(__name__)
 
-# Below this average a folder per day would hold files too small to be worth opening.
-ROWS_PER_DAY_FOLDER = 10_000
 WRITE_MODES = ("WRITE_APPEND", "WRITE_EMPTY", "WRITE_TRUNCATE")
 
 
@@ -39,20 +38,18 @@ def day_column(df: DataFrame, partition_by: str) -> tuple[DataFrame, str]:
     return df.withColumn(name, F.to_date(partition_by)), name
 
 
-def lay_out(
-    df: DataFrame, day: str | None, cluster_by: Sequence[str], spread_by: str | None = None
-) -> DataFrame:
+def lay_out(df: DataFrame, day: str | None, cluster_by: Sequence[str]) -> DataFrame:
     """Rows of a day together, near cluster values together, no task too large.
 
-    A range exchange on (day, cluster columns, key) cuts a hot day, and inside it
-    a hot customer, into as many files as its size asks for. Every file covers a
-    narrow range, so parquet statistics skip files and row groups.
+    The rebalance exchange brings equal (day, cluster columns) together and, at run
+    time, cuts what exceeds the advisory partition size and merges what is small. So
+    a hot day, or a hot customer inside it, becomes as many files as its size asks
+    for, at any size of the table.
     """
     order = [c for c in (day, *cluster_by) if c]
     if not order:
         return df
-    spread = order + ([spread_by] if spread_by and spread_by not in order else [])
-    return df.repartitionByRange(*spread).sortWithinPartitions(*order)
+    return df.hint("rebalance", *order).sortWithinPartitions(*order)
 
 
 def _write(
@@ -62,7 +59,6 @@ def _write(
     mode: str,
     partition_by: str | None,
     cluster_by: Sequence[str],
-    spread_by: str | None,
     metrics: dict[str, Column],
     helpers: Sequence[str] = (),
 ) -> dict[str, int]:
@@ -73,8 +69,6 @@ def _write(
         raise ValueError(f"partition column {partition_by!r} not found")
     if missing:
         raise ValueError(f"cluster columns not found: {missing}")
-    if df.isEmpty():
-        raise ValueError(f"nothing to write to {schema}.{table}: no rows")
     ensure_schema(spark, schema)
     target = f"{schema}.{table}"
     exists = spark.catalog.tableExists(target)
@@ -83,10 +77,8 @@ def _write(
     rows, day = df, None
     if partition_by:
         rows, day = day_column(rows, partition_by)
-    # Observed behind the range exchange: the exchange reads its input twice, once to
-    # sample it, and metrics taken before it would count both.
     taken = Observation()
-    rows = lay_out(rows, day, cluster_by, spread_by)
+    rows = lay_out(rows, day, cluster_by)
     rows = rows.observe(taken, *[m.alias(n) for n, m in metrics.items()]).drop(*helpers)
     writer = rows.write.format("parquet")
     if day:
@@ -102,15 +94,12 @@ def write_table(
     mode: str = "WRITE_APPEND",
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
-    spread_by: str | None = None,
 ) -> int:
-    """Write a table by mode, day partition and clustering; returns the rows written.
-
-    ``spread_by`` names a column of many values that lets one day with one
-    cluster value still be cut into several files.
-    """
+    """Write a table by mode, day partition and clustering; returns the rows written."""
+    if df.isEmpty():
+        raise ValueError(f"nothing to write to {schema}.{table}: no rows")
     rows = {"rows": F.count(F.lit(1))}
-    return _write(df, schema, table, mode, partition_by, cluster_by, spread_by, rows)["rows"]
+    return _write(df, schema, table, mode, partition_by, cluster_by, rows)["rows"]
 
 
 def run_sql(
@@ -122,26 +111,13 @@ def run_sql(
     return result if to_dataframe else result.toLocalIterator()
 
 
-def day_folders(df: DataFrame, day: str | None, target: str, mode: str) -> bool:
-    """Whether a table deserves a folder per day.
-
-    With few rows per day, folders only make thousands of tiny files; the rows
-    are then kept in day order instead, and file statistics do the pruning. An
-    append follows the table it goes to.
-    """
-    if day is None:
-        return False
-    spark = df.sparkSession
-    if mode != "WRITE_TRUNCATE" and spark.catalog.tableExists(target):
-        return any(c.isPartition for c in spark.catalog.listColumns(target))
-    rows, days = df.agg(F.count(F.lit(1)), F.count_distinct(F.to_date(day))).first()
-    return rows >= ROWS_PER_DAY_FOLDER * max(days, 1)
-
-
 def load_tables(
     tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE"
 ) -> dict[str, int]:
-    """Write each table by its layout in ``schemas.TABLES``; empty ones count 0."""
+    """Write each table by its layout in ``schemas.TABLES``; empty ones count 0.
+
+    Tables with a day have a folder per day, whatever their size.
+    """
     summary, mode = {}, write_mode(mode)
     for name, df in tables.items():
         spec = TABLES[name]
@@ -149,11 +125,8 @@ def load_tables(
             log.warning("%s is empty, not loaded", name)
             summary[name] = 0
             continue
-        if day_folders(df, spec.day, f"{schema}.{name}", mode):
-            day, cluster = spec.day, spec.cluster
-        else:
-            day, cluster = None, tuple(c for c in (spec.day, *spec.cluster) if c)
-        summary[name] = write_table(df, schema, name, mode, day, cluster, spec.key)
+        rows = {"rows": F.count(F.lit(1))}
+        summary[name] = _write(df, schema, name, mode, spec.day, spec.cluster, rows)["rows"]
     return summary
 
 
@@ -171,26 +144,12 @@ def load_facts(tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRU
 def update_customer_aggregates(spark: SparkSession, schema: str) -> int:
     """Upsert order aggregates into ``dim_customers``; returns the customers matched.
 
-    Plain tables have no MERGE. The result goes to a new table that then takes
-    the old one's name, so the table being read is never the one written.
+    Plain tables have no MERGE. The result is written to the shared folder first and
+    replaces the table from there, so the table being read is never the one written
+    and a failed replacement can be repeated from the copy.
     """
-    target, ready, old = (f"{schema}.dim_customers{s}" for s in ("", "__ready", "__old"))
-    exists = spark.catalog.tableExists
-    if exists(old):
-        # An earlier run stopped inside the swap.
-        if exists(target):
-            spark.sql(f"DROP TABLE {old}")
-        else:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+    target, spec = f"{schema}.dim_customers", TABLES["dim_customers"]
     merged = merge_customer_aggregates(spark.table(target), spark.table(f"{schema}.fact_orders"))
-    spec = TABLES["dim_customers"]
-    folders = any(c.isPartition for c in spark.catalog.listColumns(target))
-    done = _write(
-        merged, schema, "dim_customers__ready", "WRITE_TRUNCATE", spec.day if folders else None,
-        () if folders else (spec.day,), spec.key, {"matched": F.count_if("is_matched")},
-        helpers=["is_matched"],
-    )
-    spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {ready} RENAME TO {target}")
-    spark.sql(f"DROP TABLE {old}")
-    return done["matched"]
+    ready = write_and_read(merged.drop(f"{spec.day}_day"), "dim_customers")
+    return _write(ready, schema, "dim_customers", "WRITE_TRUNCATE", spec.day, spec.cluster,
+                  {"matched": F.count_if("is_matched")}, helpers=["is_matched"])["matched"]

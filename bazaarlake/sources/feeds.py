@@ -4,17 +4,21 @@ A feed path may name a file or a Spark-style folder of part files, and every
 scanner takes a glob, so a feed grows by adding files. Gzip cannot be split:
 parallelism is the number of files.
 
-Raw scalars are read as text whatever their JSON type, because feeds disagree
-on it (ids as number or string); the builders cast later. No schema inference
-pass runs over the data.
+A row is read as a map from name to raw text, whatever its JSON types, because
+feeds disagree on them (ids as number or string); the builders cast later. Names
+are put into snake case in that map, before any is looked for, so every spelling of
+a name is found; of colliding spellings the first that holds a value wins. Known names
+become columns, all others stay in the map ``other_fields``. No inference pass
+runs over the data.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +28,10 @@ from bazaarlake.functions.names import FEED_POSITION
 log = logging.getLogger(__name__)
 
 _GLOB = "*.json.gz"
+_MAP, _MAPS = "map<string,string>", "array<map<string,string>>"
+# Objects inside an order line are flattened so many levels deep.
+ITEM_DEPTH = 4
+OTHER = "other_fields"
 
 
 def list_feed(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -35,171 +43,229 @@ def list_feed(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", _GLOB).load(_join(root, prefix))
     )
-    return files.select("path").orderBy("path")
+    return files.select(F.col("_metadata.file_path").alias("path")).orderBy("path")
 
 
 def _join(root: str, prefix: str) -> str:
     return f"{root.rstrip('/')}/{prefix.strip('/')}".rstrip("/")
 
 
-def _camel(name: str) -> str:
-    head, *tail = name.split("_")
-    return head + "".join(word.capitalize() for word in tail)
-
-
-def _text_fields(names: Iterable[str]) -> list[T.StructField]:
-    """Each name in snake and camel spelling; names equal but for case only once."""
-    fields: dict[str, T.StructField] = {}
-    for name in dict.fromkeys(names):
-        for spelling in (name, _camel(name)):
-            fields.setdefault(spelling.lower(), T.StructField(spelling, T.StringType()))
-    return list(fields.values())
-
-
-def _struct_fields(nested: Iterable[tuple[str, str]]) -> list[T.StructField]:
-    inner: dict[str, list[str]] = {}
-    for column, path in nested:
-        inner.setdefault(column, []).append(path)
-    fields: dict[str, T.StructField] = {}
-    for column, paths in inner.items():
-        for spelling in (column, _camel(column)):
-            fields.setdefault(
-                spelling.lower(),
-                T.StructField(spelling, T.StructType(_text_fields(paths))),
-            )
-    return list(fields.values())
-
-
-_LINE_ITEM = T.StructType(
-    _text_fields((
-        *fixed.ITEM_PRODUCT, *fixed.ITEM_QUANTITY, *fixed.ITEM_UNIT_PRICE,
-        *fixed.ITEM_LINE_TOTAL, "transaction_id", "order_key", *fixed.ITEM_PARENT_DATE[:1],
-    ))
-    + _struct_fields((("product", "id"), ("variant", "id"), ("item", "id")))
-)
-_LINE_ITEMS = [
-    T.StructField("line_items", T.ArrayType(_LINE_ITEM)),
-    T.StructField("lineItems", T.ArrayType(_LINE_ITEM)),
-]
-_STORE_IN_ORDER = (
-    "location_id", "location_code", "location_name", "location_city", "location_address",
-    "location_phone",
-)
-_ORDER = T.StructType(
-    _text_fields((
-        *fixed.ORDER_ID, *fixed.ORDER_TRANSACTION, *fixed.ORDER_CUSTOMER, *fixed.ORDER_DATE,
-        *fixed.SHIPPING_CITY, *fixed.SHIPPING_ADDRESS, *fixed.ORDER_STATUS,
-        *fixed.ORDER_PAYMENT_STATUS, *fixed.ORDER_TOTAL_VND, *fixed.ORDER_TOTAL_USD,
-        "channel", "source", *_STORE_IN_ORDER,
-    ))
-    + _struct_fields((
-        *fixed.CUSTOMER_NESTED, *fixed.SHIPPING_CITY_NESTED, *fixed.SHIPPING_ADDRESS_NESTED))
-    + _LINE_ITEMS
-)
-_PAYMENT = T.StructType(
-    _text_fields((
-        *fixed.PAYMENT_TRANSACTION, *fixed.PAYMENT_ORDER, *fixed.ORDER_CUSTOMER,
-        *fixed.PAYMENT_GATEWAY, *fixed.PAYMENT_METHOD, *fixed.PAYMENT_AMOUNT,
-        *fixed.PAYMENT_STATUS, *fixed.PAYMENT_DATE, "result_code", "return_code",
-    ))
-    + _struct_fields(fixed.CUSTOMER_NESTED)
-)
-_BANK = T.StructType(_text_fields((
-    *fixed.BANK_TRANSACTION, *fixed.BANK_ACCOUNT, *fixed.BANK_TYPE, *fixed.BANK_AMOUNT,
-    "status", *fixed.BANK_DATE,
+@dataclass(frozen=True)
+class Feed:
+    """The names a feed's builder looks for, and the envelope's key."""
+
+    key: str
+    names: tuple[str, ...]
+    nested: tuple[tuple[str, str], ...] = ()
+    items: bool = False
+
+
+_ITEM_NAMES = tuple(dict.fromkeys((
+    *fixed.ITEM_PRODUCT, *fixed.ITEM_QUANTITY, *fixed.ITEM_UNIT_PRICE, *fixed.ITEM_LINE_TOTAL,
+    "transaction_id", "order_key", *fixed.ITEM_PARENT_DATE[:1],
 )))
-_EVENT = T.StructType(_text_fields((
+ORDERS = Feed("orders", (
+    *fixed.ORDER_ID, *fixed.ORDER_TRANSACTION, *fixed.ORDER_CUSTOMER, *fixed.ORDER_DATE,
+    *fixed.SHIPPING_CITY, *fixed.SHIPPING_ADDRESS, *fixed.ORDER_STATUS,
+    *fixed.ORDER_PAYMENT_STATUS, *fixed.ORDER_TOTAL_VND, *fixed.ORDER_TOTAL_USD,
+    "channel", "source", *fixed.ORDER_STORE,
+), (*fixed.CUSTOMER_NESTED, *fixed.SHIPPING_CITY_NESTED, *fixed.SHIPPING_ADDRESS_NESTED), True)
+PAYMENTS = Feed("transactions", (
+    *fixed.PAYMENT_TRANSACTION, *fixed.PAYMENT_ORDER, *fixed.ORDER_CUSTOMER,
+    *fixed.PAYMENT_GATEWAY, *fixed.PAYMENT_METHOD, *fixed.PAYMENT_AMOUNT, *fixed.PAYMENT_STATUS,
+    *fixed.PAYMENT_DATE, *fixed.PAYMENT_CODES,
+), fixed.CUSTOMER_NESTED)
+BANK = Feed("transactions", (
+    *fixed.BANK_TRANSACTION, *fixed.BANK_ACCOUNT, *fixed.BANK_TYPE, *fixed.BANK_AMOUNT, "status",
+    *fixed.BANK_DATE,
+))
+EVENTS = Feed("events", (
     *fixed.EVENT_ID, *fixed.EVENT_SESSION, "customer_id", *fixed.EVENT_TYPE, *fixed.EVENT_TIME,
     *fixed.EVENT_PRODUCT, *fixed.EVENT_SOURCE, *fixed.EVENT_DEVICE, "browser", "utm_source",
     "utm_campaign",
-)))
-_CUSTOMER = T.StructType(_text_fields((
-    "customer_id", "id", "email", "full_name", "name", "phone", "city", "country", "created_at",
-    "customer_segment", "lifetime_value_vnd", "total_orders", "first_order_date",
-    "last_order_date",
-)))
-_PRODUCT = T.StructType(_text_fields((
-    "product_id", "id", "product_name", "name", "sku", "barcode", "category", "brand",
-    "price_vnd", "price_usd", "stock_quantity", "is_active",
-)))
-_LOCATION = T.StructType(_text_fields((
+))
+CUSTOMERS = Feed("customers", fixed.CUSTOMER_NAMES)
+PRODUCTS = Feed("products", fixed.PRODUCT_NAMES)
+LOCATIONS = Feed("locations", (
     *fixed.LOCATION_ID, *fixed.LOCATION_CODE, *fixed.LOCATION_NAME, *fixed.LOCATION_TYPE,
     "city", "address", "phone", *fixed.IS_ACTIVE,
-)))
-_STAFF = T.StructType(
-    _text_fields((
-        *fixed.STAFF_ID, *fixed.STAFF_CODE, *fixed.STAFF_NAME, *fixed.STAFF_POSITION, "email",
-        "phone", *fixed.STAFF_LOCATION, *fixed.STAFF_HIRED, *fixed.IS_ACTIVE,
-    ))
-    + _struct_fields(fixed.STAFF_LOCATION_NESTED)
-)
+))
+STAFF = Feed("staff", (
+    *fixed.STAFF_ID, *fixed.STAFF_CODE, *fixed.STAFF_NAME, *fixed.STAFF_POSITION, "email",
+    "phone", *fixed.STAFF_LOCATION, *fixed.STAFF_HIRED, *fixed.IS_ACTIVE,
+), fixed.STAFF_LOCATION_NESTED)
+
+
+# -- names inside maps --------------------------------------------------------
+def _snake(name: Column) -> Column:
+    """``functions.names.snake`` as an expression."""
+    humps = F.regexp_replace(name, "(?<=[0-9a-z])(?=[A-Z])", "_")
+    return F.lower(F.btrim(F.regexp_replace(humps, "[^0-9A-Za-z]+", "_"), F.lit("_")))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _entries(fields: Column) -> Column:
+    return F.transform(F.map_entries(fields), lambda e: F.struct(
+        _snake(e.key).alias("k"), e.value.alias("v")))
+
+
+def _inner_entries(entries: Column) -> Column:
+    """Entries that hold an object replaced by its entries, named ``outer_inner``."""
+    def opened(e: Column) -> Column:
+        inner = F.transform(_entries(F.from_json(e.v, _MAP)), lambda x: F.struct(
+            F.concat(e.k, F.lit("_"), x.k).alias("k"), x.v.alias("v")))
+        return F.when(e.v.startswith("{"), F.coalesce(inner, F.array(e))).otherwise(F.array(e))
+
+    return F.flatten(F.transform(entries, opened))
 
 
-def _with_envelope(row: T.StructType, key: str) -> T.StructType:
-    return T.StructType([*row.fields, T.StructField(key, T.ArrayType(row))])
+def _named(entries: Column) -> Column:
+    """A map of entries; of one name's values the first that is not null."""
+    known = F.filter(entries, lambda e: e.v.isNotNull())
+    return _bound(known, lambda es: _bound(es.k, lambda names: F.map_from_arrays(
+        F.array_distinct(names), F.transform(F.array_distinct(names), lambda n: F.get(
+            es.v, (F.array_position(names, n) - 1).cast("int"))))))
 
 
+def _others(fields: Column, known: Iterable[str]) -> Column:
+    names = list(dict.fromkeys(known))
+    return F.map_filter(fields, lambda k, _: ~k.isin(*names))
+
+
+def _item(raw: Column) -> Column:
+    entries = _entries(raw)
+    for _ in range(ITEM_DEPTH):
+        entries = _inner_entries(entries)
+    return _bound(_named(entries), lambda m: F.struct(
+        *[F.try_element_at(m, F.lit(n)).alias(n) for n in _ITEM_NAMES],
+        _others(m, _ITEM_NAMES).alias(OTHER)))
+
+
+def _struct_of(names: Iterable[str]) -> Callable[[Column], Column]:
+    return lambda m: F.when(m.isNotNull(), F.struct(
+        *[F.try_element_at(m, F.lit(n)).alias(n) for n in dict.fromkeys(names)]))
+
+
+def _columns(feed: Feed, fields: Column) -> list[Column]:
+    """Known names as text, known objects as structs, order lines, and the rest as a map."""
+    objects: dict[str, list[str]] = {}
+    for column, path in feed.nested:
+        objects.setdefault(column, []).append(path)
+    names = [n for n in dict.fromkeys(feed.names) if n not in objects]
+    out = [F.try_element_at(fields, F.lit(n)).alias(n) for n in names]
+    for column, paths in objects.items():
+        inner = _named(_entries(F.from_json(F.try_element_at(fields, F.lit(column)), _MAP)))
+        out.append(_bound(inner, _struct_of(paths)).alias(column))
+    known = [*names, *objects]
+    if feed.items:
+        lines = F.from_json(F.try_element_at(fields, F.lit("line_items")), _MAPS)
+        out.append(F.transform(lines, _item).alias("line_items"))
+        known.append("line_items")
+    return [*out, _others(fields, known).alias(OTHER)]
+
+
+# -- documents ----------------------------------------------------------------
 def read_json_gz(
-    spark: SparkSession, paths: str | list[str], row: T.StructType, key: str,
+    spark: SparkSession, paths: str | list[str], key: str,
     keep_name: str | None = None, drop_name: str | None = None, keep_path: str | None = None,
 ) -> DataFrame:
-    """Documents as read: the row fields and, for envelopes, the list ``key``.
+    """(file, listed): each file's rows as maps of raw text; null where it cannot be read.
 
-    Broken archives and missing files are skipped. ``keep_name`` and
-    ``drop_name`` are patterns on the lower-cased file name, ``keep_path`` a part
-    of the whole path; Spark prunes files by them before opening any.
+    A file holds a list, an envelope with a list under ``key``, or one object. Files
+    that vanish or whose archive is broken give no row (``skipped_files`` names
+    them). ``keep_name`` and ``drop_name`` are patterns on the lower-cased file name,
+    ``keep_path`` is a part of the path below the folder read; Spark prunes files by
+    them before opening any.
     """
     documents = (
-        spark.read.schema(_with_envelope(row, key))
-        .option("multiLine", True).option("mode", "PERMISSIVE")
+        spark.read.option("wholetext", True)
         .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
         .option("recursiveFileLookup", True).option("pathGlobFilter", _GLOB)
-        .json(paths)
+        .text(paths)
     )
+    documents = _named_files(documents, paths, keep_name, drop_name, keep_path)
+    text = F.ltrim(F.col("value"))
+    listed = F.when(text.startswith("["), F.from_json(text, _MAPS)).otherwise(F.coalesce(
+        F.from_json(text, f"struct<`{key}`:{_MAPS}>")[key],
+        F.array(F.from_json(text, _MAP))))
+    return documents.select(F.col("_metadata.file_path").alias("file"), listed.alias("listed"))
+
+
+def _named_files(files: DataFrame, paths: str | list[str], keep_name: str | None,
+                 drop_name: str | None, keep_path: str | None) -> DataFrame:
     name = F.lower(F.col("_metadata.file_name"))
     if keep_name is not None:
-        documents = documents.filter(name.rlike(keep_name))
+        files = files.filter(name.rlike(keep_name))
     if drop_name is not None:
-        documents = documents.filter(~name.rlike(drop_name))
+        files = files.filter(~name.rlike(drop_name))
     if keep_path is not None:
-        documents = documents.filter(F.col("_metadata.file_path").contains(keep_path))
-    return documents.withColumn("_file", F.col("_metadata.file_path"))
+        root = paths if isinstance(paths, str) else paths[0]
+        below = F.substring_index(F.col("_metadata.file_path"), root.split("://")[-1], -1)
+        files = files.filter(below.contains(keep_path))
+    return files
 
 
-def unwrap_envelope(documents: DataFrame, key: str) -> DataFrame:
-    """Rows of an envelope's list, or the document itself when it has none.
+def unwrap_envelope(documents: DataFrame) -> DataFrame:
+    """(fields, feed_position) per row; the position is file and place in the file.
 
-    One pass: a document without the key becomes a list of itself. Rows with no
-    known field (what a broken document parses to) are dropped. The feed position
-    is file, document in file, row in document.
+    ``fields`` maps snake-case names to raw text. Rows without any value are left out.
     """
-    fields = [f.name for f in documents.schema if f.name not in (key, "_file", FEED_POSITION)]
-    itself = F.struct(*[F.col(f"`{f}`").alias(f) for f in fields])
-    listed = F.coalesce(F.col(key), F.array(itself))
-    file = F.col("_file") if "_file" in documents.columns else F.lit("")
-    rows = documents.withColumn("_document", F.monotonically_increasing_id()).select(
-        file.alias("file"), F.col("_document").alias("document"),
-        F.posexplode(listed).alias("row", "_value"),
-    )
-    position = F.struct("file", "document", "row").alias(FEED_POSITION)
-    return rows.select("_value.*", position).na.drop(how="all", subset=fields)
+    rows = documents.select("file", F.posexplode("listed").alias("row", "raw"))
+    named = rows.select("file", "row", _named(_entries(F.col("raw"))).alias("fields"))
+    return named.filter(F.size("fields") > 0).select(
+        "fields", F.struct("file", "row").alias(FEED_POSITION))
 
 
-def _scan(
-    spark: SparkSession, path: str, row: T.StructType, key: str, **names: str | None
-) -> DataFrame:
+def _scan(spark: SparkSession, path: str, feed: Feed, **names: str | None) -> DataFrame:
+    position = "struct<file:string,row:int>"
     try:
-        return unwrap_envelope(read_json_gz(spark, path, row, key, **names), key)
+        rows = unwrap_envelope(read_json_gz(spark, path, feed.key, **names))
     except Exception as error:  # an absent feed is an empty table
         if "PATH_NOT_FOUND" not in str(error):
             raise
         log.error("feed %s not found, read as empty", path)
-        position = T.StructType([
-            T.StructField("file", T.StringType()), T.StructField("document", T.LongType()),
-            T.StructField("row", T.IntegerType()),
-        ])
-        empty = T.StructType([*row.fields, T.StructField(FEED_POSITION, position)])
-        return spark.createDataFrame([], empty)
+        rows = spark.createDataFrame([], f"fields {_MAP}, {FEED_POSITION} {position}")
+    return rows.select(*_columns(feed, F.col("fields")), FEED_POSITION)
+
+
+def feed_report(spark: SparkSession, root: str, frames: dict[str, DataFrame]) -> DataFrame:
+    """feed, row_count, column_count, skipped: what was read, and files that gave no row.
+
+    ``frames`` are scanned feeds, best as written copies. Columns are the names that hold
+    a value, known or not. ``skipped`` lists files that are there but could not be read
+    or hold no row.
+    """
+    listed = list_feed(spark, root).select(F.col("path").alias("file"))
+    parts = []
+    for name, df in frames.items():
+        known = [c for c in df.columns if c not in (OTHER, FEED_POSITION)]
+        seen = F.array_union(F.array_compact(F.array(*[
+            F.when(F.col(c).isNotNull(), F.lit(c)) for c in known])), F.map_keys(OTHER))
+        parts.append(df.groupBy(F.col(f"{FEED_POSITION}.file").alias("file")).agg(
+            F.count(F.lit(1)).alias("rows"), F.array_distinct(F.flatten(F.collect_set(
+                seen))).alias("columns")).select(F.lit(name).alias("feed"), "*"))
+    read = parts[0]
+    for part in parts[1:]:
+        read = read.unionByName(part)
+    totals = read.groupBy("feed").agg(
+        F.sum("rows").alias("row_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("columns")))).alias("column_count"))
+    folders = read.select("feed", F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
+    missed = listed.join(read.select("file").distinct(), "file", "left_anti").withColumn(
+        "folder", F.regexp_replace("file", "/[^/]*$", "")).join(folders, "folder").groupBy(
+        "feed").agg(F.sort_array(F.collect_list("file")).alias("skipped"))
+    return totals.join(missed, "feed", "left").withColumn(
+        "skipped", F.coalesce("skipped", F.array().cast("array<string>")))
+
+
+def skipped_files(spark: SparkSession, root: str, prefix: str, scanned: DataFrame) -> DataFrame:
+    """Files below a prefix from which ``scanned`` has no row: broken, vanished or empty."""
+    read = scanned.select(F.col(f"{FEED_POSITION}.file").alias("path")).distinct()
+    return list_feed(spark, root, prefix).join(read, "path", "left_anti")
 
 
 def scan_customers(
@@ -215,43 +281,43 @@ def scan_customers(
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-    return _scan(spark, path, _CUSTOMER, "customers", keep_name=named)
+    return _scan(spark, path, CUSTOMERS, keep_name=named)
 
 
 def scan_products(spark: SparkSession, root: str, prefix: str = "shared/") -> DataFrame:
-    return _scan(spark, _join(root, prefix + "products.json.gz"), _PRODUCT, "products")
+    return _scan(spark, _join(root, prefix + "products.json.gz"), PRODUCTS)
 
 
 def scan_sapo_orders(spark: SparkSession, root: str, prefix: str = "sapo/") -> DataFrame:
-    return _scan(spark, _join(root, prefix), _ORDER, "orders",
+    return _scan(spark, _join(root, prefix), ORDERS,
                  keep_name="order", drop_name="transaction|location")
 
 
 def scan_sapo_locations(spark: SparkSession, root: str, prefix: str = "shared/") -> DataFrame:
-    return _scan(spark, _join(root, prefix + "sapo_locations.json.gz"), _LOCATION, "locations")
+    return _scan(spark, _join(root, prefix + "sapo_locations.json.gz"), LOCATIONS)
 
 
 def scan_shopify_orders(spark: SparkSession, root: str, prefix: str = "shopify/") -> DataFrame:
     """Files whose path holds ``orders_batch`` (case matters)."""
-    return _scan(spark, _join(root, prefix), _ORDER, "orders", keep_path="orders_batch")
+    return _scan(spark, _join(root, prefix), ORDERS, keep_path="orders_batch")
 
 
 def scan_shopify_staff(spark: SparkSession, root: str, prefix: str = "shopify/") -> DataFrame:
-    return _scan(spark, _join(root, prefix + "staff.json.gz"), _STAFF, "staff")
+    return _scan(spark, _join(root, prefix + "staff.json.gz"), STAFF)
 
 
 def scan_online_orders(
     spark: SparkSession, root: str, prefix: str = "online_orders/"
 ) -> DataFrame:
-    return _scan(spark, _join(root, prefix + "online_orders.json.gz"), _ORDER, "orders")
+    return _scan(spark, _join(root, prefix + "online_orders.json.gz"), ORDERS)
 
 
 def scan_cart_events(spark: SparkSession, root: str, prefix: str = "cart_tracking/") -> DataFrame:
-    return _scan(spark, _join(root, prefix + "cart_events.json.gz"), _EVENT, "events")
+    return _scan(spark, _join(root, prefix + "cart_events.json.gz"), EVENTS)
 
 
 def scan_bank_transactions(spark: SparkSession, root: str, prefix: str = "mercury/") -> DataFrame:
-    return _scan(spark, _join(root, prefix + "transactions.json.gz"), _BANK, "transactions")
+    return _scan(spark, _join(root, prefix + "transactions.json.gz"), BANK)
 
 
 def scan_payments(
@@ -260,7 +326,7 @@ def scan_payments(
     if gateway not in fixed.PAYMENT_GATEWAYS:
         raise ValueError(f"unknown gateway {gateway!r}; known: {fixed.PAYMENT_GATEWAYS}")
     folder = f"{gateway}/" if prefix is None else prefix
-    return _scan(spark, _join(root, folder + "transactions.json.gz"), _PAYMENT, "transactions")
+    return _scan(spark, _join(root, folder + "transactions.json.gz"), PAYMENTS)
 
 
 def scan_all_payments(spark: SparkSession, root: str) -> dict[str, DataFrame]:

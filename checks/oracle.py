@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from bazaarlake.schemas import TABLES
+
 AS_OF = "2026-06-01"
 NOW = "2027-01-01 00:00:00"
 
@@ -424,13 +426,29 @@ def _counts(*tables: str) -> str:
         f"SELECT '{t}' AS name, count(*) AS row_count FROM {t}" for t in tables)
 
 
-_RAW_PAYMENT = {
-    "momo": "txn AS transaction_id, k::VARCHAR AS order_id",
-    "odoo": "txn AS txn_id, k::VARCHAR AS reference_id",
-    "paypal": "txn AS paypal_transaction_id, k::VARCHAR AS order_code",
-    "sapo": "txn AS transaction_id, k::VARCHAR AS order_id",
-    "zalopay": "txn AS app_trans_id, k::VARCHAR AS order_code",
-}
+_SUMS = {"string": "length({c})", "timestamp": "floor(epoch({c}))::BIGINT", "boolean": "{c}::INT",
+         "date": "date_diff('day', DATE '1970-01-01', {c})"}
+
+
+def _profiles(*tables: str, **sources: str) -> str:
+    """Rows, and per column the values that are not null and a sum over them."""
+    def cells(table: str) -> str:
+        return ", ".join(
+            f"{{'column_name': '{f.name}', 'known': count({f.name}), 'total': coalesce(sum("
+            + _SUMS.get(f.dataType.simpleString(), "{c}").format(c=f.name)
+            + ")::DOUBLE, 0)}" for f in TABLES[table].schema)
+
+    return " UNION ALL ".join(
+        f"SELECT name, row_count, unnest(cells, recursive := true) FROM (SELECT '{t}' AS name, "
+        f"count(*) AS row_count, [{cells(t)}] AS cells FROM {sources.get(t, t)})"
+        for t in tables)
+
+
+_FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_cart_events",
+          "fact_bank_transactions")
+_DIMENSIONS = ("dim_customers", "dim_products", "dim_locations", "dim_date")
+_DAYS = {"dim_customers": "created_at_day", **{t: TABLES[t].day for t in _FACTS}}
+_GATEWAYS = ("momo", "odoo", "paypal", "sapo", "zalopay")
 _BOOL_TEXT = """CASE k % 8 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false
     WHEN 4 THEN true WHEN 7 THEN false END"""
 _INT = "CASE WHEN k % 5 < 2 THEN k END"
@@ -493,7 +511,7 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1""",
     "explode_items": """SELECT k || '_' || coalesce(txn, '') AS parent_order_key,
         k::VARCHAR AS parent_order_id, product AS variant_id, quantity AS qty,
-        price::DOUBLE AS price, line_total FROM raw_lines""",
+        price::DOUBLE AS price_vnd, line_total FROM raw_lines""",
     "derive_payment_status": "SELECT payment_key, payment_status FROM fact_payments",
     # set operations
     "combine_frames": """SELECT id, origin FROM (
@@ -523,9 +541,8 @@ SQL = {
     "fact_payments": PAYMENTS,
     "fact_bank_transactions": BANK,
     "fact_cart_events": EVENTS,
-    "build_facts": _counts("fact_orders", "fact_order_items", "fact_payments",
-                           "fact_cart_events", "fact_bank_transactions"),
-    "build_dimensions": _counts("dim_customers", "dim_products", "dim_locations", "dim_date"),
+    "build_facts": _profiles(*_FACTS),
+    "build_dimensions": _profiles(*_DIMENSIONS),
     # quality
     "null_counts": """SELECT * FROM (
         SELECT 'transaction_id' AS column_name, count_if(transaction_id IS NULL) AS null_count
@@ -559,7 +576,7 @@ SQL = {
         FROM fact_orders o LEFT JOIN fact_payments p ON o.transaction_id = p.transaction_id""",
     "customer_aggregates": MERGED,
     "heavy_keys": """SELECT user_id FROM events GROUP BY user_id
-        HAVING count(*) > greatest(60, (SELECT count(*) FROM events) / 100000)""",
+        HAVING count(*) > 60""",
     # views
     "vw_customer_journey": JOURNEY,
     "vw_customer_journey_sankey": SANKEY,
@@ -568,37 +585,43 @@ SQL = {
     "vw_payment_status": PAYMENT_STATUS,
     # sources
     "list_feed": "SELECT true AS has_files, true AS only_json_gz",
-    "read_json_gz": "SELECT count(*) AS row_count FROM dim_customers",
-    "unwrap_envelope": "SELECT customer_id::VARCHAR AS id, email, full_name AS name "
-                       "FROM dim_customers",
-    "scan_customers": "SELECT customer_id::VARCHAR AS id, email, full_name AS name "
-                      "FROM dim_customers",
-    "scan_products": "SELECT id::VARCHAR AS id, name, sku, brand FROM raw_products",
-    "scan_shopify_orders": "SELECT k::VARCHAR AS id, txn AS transaction_code FROM raw_orders "
-                           "WHERE k % 3 = 0",
-    "scan_sapo_orders": "SELECT k::VARCHAR AS code, txn AS txn_id FROM raw_orders "
-                        "WHERE k % 3 = 1",
-    "scan_online_orders": "SELECT k::VARCHAR AS order_id, txn AS transaction_id "
-                          "FROM raw_orders WHERE k % 3 = 2",
-    "scan_sapo_locations": "SELECT location_id::VARCHAR AS id, location_name AS name "
-                           "FROM sapo_locations",
-    "scan_shopify_staff": "SELECT staff_id::VARCHAR AS id, full_name AS name FROM dim_staff",
-    "scan_cart_events": "SELECT event_id AS id, session_id AS session FROM fact_cart_events",
-    "scan_bank_transactions": "SELECT transaction_id AS id, account_id "
-                              "FROM fact_bank_transactions",
+    "read_json_gz": """SELECT count(*) AS row_count, sum(4 + (email IS NOT NULL)::INT
+        + (customer_segment <> 'unknown')::INT)::BIGINT AS value_count FROM dim_customers""",
+    "unwrap_envelope": """SELECT customer_id::VARCHAR AS id, email, full_name AS name, country,
+        nullif(customer_segment, 'unknown') AS customer_segment FROM dim_customers""",
+    "scan_customers": CUSTOMERS,
+    "scan_products": _table("dim_products", ("price_vnd", "price_usd")),
+    "scan_shopify_orders": f"SELECT * FROM ({ORDERS}) WHERE channel = 'shopify'",
+    "scan_sapo_orders": f"SELECT * FROM ({ORDERS}) WHERE channel = 'sapo_pos'",
+    "scan_online_orders": f"SELECT * FROM ({ORDERS}) WHERE channel = 'online'",
+    "scan_order_lines": f"""SELECT i.* FROM ({ITEMS}) i JOIN fact_orders o USING (order_key)
+        WHERE channel = 'shopify'""",
+    "scan_other_fields": """SELECT k::VARCHAR AS id, 'note ' || k AS gift_note FROM raw_orders
+        WHERE k % 3 = 0""",
+    "scan_sapo_locations": "SELECT * FROM sapo_locations",
+    "scan_shopify_staff": _table("dim_staff"),
+    "scan_cart_events": EVENTS,
+    "scan_bank_transactions": BANK,
     **{
-        f"scan_payments_{g}": f"SELECT {columns} FROM raw_payments WHERE gateway = '{g}'"
-        for g, columns in _RAW_PAYMENT.items()
+        f"scan_payments_{g}": f"SELECT * FROM ({PAYMENTS}) WHERE payment_gateway = '{g}'"
+        for g in _GATEWAYS
     },
-    "scan_all_payments": "SELECT gateway, count(*) AS row_count FROM raw_payments GROUP BY 1",
-    "scan_sources": """SELECT 'customers' AS feed, count(*) AS row_count FROM dim_customers
-        UNION ALL SELECT 'products', count(*) FROM raw_products
-        UNION ALL SELECT 'sapo_locations', count(*) FROM sapo_locations
-        UNION ALL SELECT ['shopify_orders', 'sapo_orders', 'online_orders'][k % 3 + 1], count(*)
+    "scan_all_payments": PAYMENTS,
+    "scan_sources": """SELECT 'customers' AS feed, count(*) AS row_count, 6 AS column_count
+                       FROM dim_customers
+        UNION ALL SELECT 'products', count(*), 8 FROM raw_products
+        UNION ALL SELECT 'sapo_locations', count(*), 4 + max(location_type = 'warehouse')::INT
+                         + max(NOT is_active)::INT FROM sapo_locations
+        UNION ALL SELECT ['shopify_orders', 'sapo_orders', 'online_orders'][k % 3 + 1], count(*),
+                         [11, 8, 15][any_value(k % 3) + 1]
                   FROM (SELECT k FROM raw_orders UNION ALL SELECT k FROM raw_lines) GROUP BY 1
-        UNION ALL SELECT 'cart_events', count(*) FROM fact_cart_events
-        UNION ALL SELECT 'bank_transactions', count(*) FROM fact_bank_transactions
-        UNION ALL SELECT 'payments.' || gateway, count(*) FROM raw_payments GROUP BY 1""",
+        UNION ALL SELECT 'cart_events', count(*), 10 FROM fact_cart_events
+        UNION ALL SELECT 'bank_transactions', count(*), 6 FROM fact_bank_transactions
+        UNION ALL SELECT 'payments.' || gateway, count(*),
+                         CASE gateway WHEN 'momo' THEN 8 WHEN 'odoo' THEN 8 WHEN 'paypal' THEN 6
+                              ELSE 7 END FROM raw_payments GROUP BY gateway""",
+    "scan_with_bad_files": """SELECT 'customer_bad' AS file, true AS skipped,
+        count(*) AS row_count FROM dim_customers""",
     # sinks and whole runs
     "write_table": """SELECT event_type, event_date_key::VARCHAR AS event_date_key,
         2 * count(*) AS row_count FROM fact_cart_events GROUP BY ALL""",
@@ -616,12 +639,12 @@ SQL = {
     "sql_customer_journey_sankey": SANKEY,
     "sql_cashflow_daily": CASHFLOW,
     "sql_payment_status": PAYMENT_STATUS,
-    "load_warehouse": f"""{_counts("dim_customers", "dim_products", "dim_locations", "dim_date",
-        "fact_orders", "fact_order_items", "fact_payments", "fact_cart_events",
-        "fact_bank_transactions")}
-        UNION ALL SELECT 'analysis_views', 4
-        UNION ALL SELECT 'dim_customers_aggregate_updates', count(*) FROM dim_customers
-            WHERE customer_id IN (SELECT customer_id FROM purchases)""",
+    "load_warehouse": f"""SELECT p.*, CASE name {" ".join(
+        f"WHEN '{t}' THEN '{day}'" for t, day in _DAYS.items())} ELSE '' END AS partitions FROM (
+        {_profiles(*_FACTS, *_DIMENSIONS, dim_customers="merged_customers")}
+        UNION ALL SELECT 'analysis_views', 4, '', 0, 0
+        UNION ALL SELECT 'dim_customers_aggregate_updates', count(*), '', 0, 0
+            FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM purchases)) p""",
 }
 
 

@@ -32,8 +32,8 @@ from bazaarlake.schemas import TABLES
 from bazaarlake.session import shared_folder
 from bazaarlake.sinks import tables
 from bazaarlake.sources import feeds as sources
-from bazaarlake.sources.sample_feeds import SampleFeeds, write_all_feeds, write_feed
 from checks.oracle import AS_OF, NOW
+from checks.sample_feeds import SampleFeeds, write_all_feeds, write_feed
 
 HOLIDAYS = ["2024-01-01", "2024-12-25"]
 HEAVY_ROWS = 60  # makes a good part of the customers of small tables heavy
@@ -94,8 +94,10 @@ class Data:
         """All sources, orders as headers followed by a header per line."""
         found = self.feeds.raw_sources()
         for feed, lines in self.feeds.order_lines().items():
-            found[feed] = found[feed].drop(FEED_POSITION).unionByName(
-                lines.drop(FEED_POSITION), allowMissingColumns=True)
+            first = F.expr("struct(0 as l_linenumber, 0L as l_suppkey, 0D as l_extendedprice, "
+                           "0D as l_quantity)")
+            found[feed] = found[feed].withColumn(FEED_POSITION, first).unionByName(
+                lines, allowMissingColumns=True)
         return found
 
     def new_schema(self) -> str:
@@ -144,6 +146,30 @@ def query(run: Query) -> Query:
     return run
 
 
+def _profile(frames: dict[str, DataFrame]) -> DataFrame:
+    """Rows, and per column the values that are not null and a sum over them."""
+    parts = []
+    for name, df in frames.items():
+        columns = [f for f in TABLES[name].schema]
+        cells = [F.struct(F.lit(f.name).alias("column_name"), F.count(F.col(f.name)).alias(
+            "known"), F.coalesce(F.sum(_amount(f)).cast("double"), F.lit(0.0)).alias("total"))
+            for f in columns]
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), F.array(*cells).alias(
+            "cells")).select(F.lit(name).alias("name"), "row_count", F.inline("cells")))
+    return reduce(DataFrame.union, parts)
+
+
+def _amount(field: T.StructField) -> Column:
+    value = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return F.length(value).cast("long")
+    if isinstance(field.dataType, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(field.dataType, T.TimestampType):
+        return F.unix_seconds(value)
+    return value.cast("int") if isinstance(field.dataType, T.BooleanType) else value
+
+
 def _count(frames: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("row_count"))
              for n, df in frames.items()]
@@ -393,7 +419,8 @@ def date_bounds_from_tables(d: Data) -> DataFrame:
 
 @query
 def build_dimensions(d: Data) -> DataFrame:
-    return _count(dimensions.build_dimensions(d.feeds.raw_sources(), d.dated_facts()))
+    return _profile(dimensions.build_dimensions(d.feeds.raw_sources(), d.dated_facts(),
+                                                holidays=HOLIDAYS))
 
 
 # -- facts -------------------------------------------------------------------
@@ -430,7 +457,7 @@ def fact_cart_events(d: Data) -> DataFrame:
 
 @query
 def build_facts(d: Data) -> DataFrame:
-    return _count(facts.build_facts(d.raw()))
+    return _profile(facts.build_facts(d.raw()))
 
 
 # -- quality -----------------------------------------------------------------
@@ -629,61 +656,66 @@ def list_feed(d: Data) -> DataFrame:
 @query
 def read_json_gz(d: Data) -> DataFrame:
     documents = sources.read_json_gz(
-        d.spark, f"{_customer_feed(d)}/shared/customers", sources._CUSTOMER, "customers")
-    return documents.agg(F.sum(F.size("customers")).alias("row_count"))
+        d.spark, f"{_customer_feed(d)}/shared/customers", "customers")
+    return documents.agg(F.sum(F.size("listed")).alias("row_count"), F.sum(F.aggregate(
+        "listed", F.lit(0), lambda n, row: n + F.size(F.map_values(row)))).alias("value_count"))
 
 
 @query
 def unwrap_envelope(d: Data) -> DataFrame:
     documents = sources.read_json_gz(
-        d.spark, f"{_customer_feed(d)}/shared/customers", sources._CUSTOMER, "customers")
-    return sources.unwrap_envelope(documents, "customers").select("id", "email", "name")
-
-
-@query
-def scan_customers(d: Data) -> DataFrame:
-    return sources.scan_customers(d.spark, _customer_feed(d)).select("id", "email", "name")
+        d.spark, f"{_customer_feed(d)}/shared/customers", "customers")
+    names = ("id", "email", "name", "country", "customer_segment")
+    return sources.unwrap_envelope(documents).select(*[
+        F.try_element_at("fields", F.lit(n)).alias(n) for n in names])
 
 
 def _scan(name: str, write: Callable[[Data], DataFrame], path: str, key: str,
-          scan: Callable[[SparkSession, str], DataFrame], *columns: str,
-          file: str = "part") -> None:
+          scan: Callable[[SparkSession, str], DataFrame],
+          build: Callable[[DataFrame], DataFrame], file: str = "part") -> None:
+    """What the feed's builder makes of the scanned rows: every column it uses counts."""
     def run(d: Data) -> DataFrame:
         root = d.new_root()
         write_feed(write(d), f"{root}/{path}", key, file)
-        return standardize_names(scan(d.spark, root)).select(*columns)
+        return build(scan(d.spark, root))
 
     _QUERIES[name] = run
 
 
+def _orders_of(feed: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda raw: facts.fact_orders(raw, *ORDER_CHANNELS[feed])
+
+
+_scan("scan_customers", lambda d: d.feeds.customers(), "shared/customers", "customers",
+      sources.scan_customers, dimensions.dim_customers, "customer_batch")
 _scan("scan_products", lambda d: d.feeds.products(), "shared/products.json.gz", "products",
-      sources.scan_products, "id", "name", "sku", "brand")
-_scan("scan_shopify_orders", lambda d: d.feeds.shopify_orders(), "shopify/orders_batch", "orders",
-      sources.scan_shopify_orders, "id", "transaction_code")
+      sources.scan_products, dimensions.dim_products)
+_scan("scan_shopify_orders", lambda d: d.feeds.shopify_orders(), "shopify", "orders",
+      sources.scan_shopify_orders, _orders_of("shopify_orders"), "orders_batch")
 _scan("scan_sapo_orders", lambda d: d.feeds.sapo_orders(), "sapo", "orders",
-      sources.scan_sapo_orders, "code", "txn_id", file="orders")
+      sources.scan_sapo_orders, _orders_of("sapo_orders"), "orders")
 _scan("scan_online_orders", lambda d: d.feeds.online_orders(),
-      "online_orders/online_orders.json.gz", "orders", sources.scan_online_orders, "order_id",
-      "transaction_id")
+      "online_orders/online_orders.json.gz", "orders", sources.scan_online_orders,
+      _orders_of("online_orders"))
+_scan("scan_order_lines", lambda d: d.feeds.order_lines()["shopify_orders"], "shopify", "orders",
+      sources.scan_shopify_orders, facts.fact_order_items, "orders_batch")
+_scan("scan_other_fields", lambda d: d.feeds.shopify_orders(), "shopify", "orders",
+      sources.scan_shopify_orders, lambda raw: raw.select("id", F.try_element_at(
+          sources.OTHER, F.lit("gift_note")).alias("gift_note")), "orders_batch")
 _scan("scan_sapo_locations", lambda d: d.feeds.sapo_locations(), "shared/sapo_locations.json.gz",
-      "locations", sources.scan_sapo_locations, "id", "name")
+      "locations", sources.scan_sapo_locations, dimensions.dim_locations)
 _scan("scan_shopify_staff", lambda d: d.feeds.staff(), "shopify/staff.json.gz", "staff",
-      sources.scan_shopify_staff, "id", "name")
+      sources.scan_shopify_staff, dimensions.dim_staff)
 _scan("scan_cart_events", lambda d: d.feeds.cart_events(), "cart_tracking/cart_events.json.gz",
-      "events", sources.scan_cart_events, "id", "session")
+      "events", sources.scan_cart_events, facts.fact_cart_events)
 _scan("scan_bank_transactions", lambda d: d.feeds.bank_transactions(),
-      "mercury/transactions.json.gz", "transactions", sources.scan_bank_transactions, "id",
-      "account_id")
-_PAYMENT_COLUMNS = {
-    "momo": ("transaction_id", "order_id"), "odoo": ("txn_id", "reference_id"),
-    "paypal": ("paypal_transaction_id", "order_code"), "sapo": ("transaction_id", "order_id"),
-    "zalopay": ("app_trans_id", "order_code"),
-}
+      "mercury/transactions.json.gz", "transactions", sources.scan_bank_transactions,
+      facts.fact_bank_transactions)
 for _gateway in PAYMENT_GATEWAYS:
     _scan(f"scan_payments_{_gateway}", lambda d, g=_gateway: d.feeds.payments(g),
           f"{_gateway}/transactions.json.gz", "transactions",
           lambda spark, root, g=_gateway: sources.scan_payments(spark, root, g),
-          *_PAYMENT_COLUMNS[_gateway])
+          lambda raw, g=_gateway: facts.fact_payments(raw, g))
 
 
 @query
@@ -691,8 +723,7 @@ def scan_all_payments(d: Data) -> DataFrame:
     root = d.new_root()
     for gateway, raw in d.feeds.all_payments().items():
         write_feed(raw, f"{root}/{gateway}/transactions.json.gz", "transactions")
-    counted = _count(sources.scan_all_payments(d.spark, root))
-    return counted.withColumnRenamed("name", "gateway")
+    return facts.combine_payments(sources.scan_all_payments(d.spark, root))
 
 
 @query
@@ -702,7 +733,28 @@ def scan_sources(d: Data) -> DataFrame:
     found = sources.scan_sources(d.spark, root)
     payments = found.pop("payments_by_gateway")
     frames = {**found, **{f"payments.{g}": df for g, df in payments.items()}}
-    return _count(frames).withColumnRenamed("name", "feed")
+    return sources.feed_report(d.spark, root, frames).select("feed", "row_count", "column_count")
+
+
+@query
+def scan_with_bad_files(d: Data) -> DataFrame:
+    """Rows read and files skipped where every feed folder also holds a broken archive."""
+    root = d.new_root()
+    write_feed(d.feeds.customers(), f"{root}/shared/customers", "customers", "customer_batch")
+    text = d.feeds.table("customer").limit(1).select(F.lit("not gzip").alias("value"))
+    text.write.text(f"{root}/broken")
+    hadoop = d.spark._jvm.org.apache.hadoop.fs
+    conf = d.spark._jsc.hadoopConfiguration()
+    source = hadoop.Path(f"{root}/broken/part-*")
+    files = source.getFileSystem(conf)
+    for i, status in enumerate(files.globStatus(source)):
+        files.rename(status.getPath(), hadoop.Path(
+            f"{root}/shared/customers/customer_bad_{i}.json.gz"))
+    scanned = sources.scan_customers(d.spark, root)
+    missed = sources.skipped_files(d.spark, root, "shared/customers", scanned)
+    return missed.groupBy(F.regexp_extract("path", "customer_[a-z]+", 0).alias("file")).agg(
+        (F.count(F.lit(1)) > 0).alias("skipped")).crossJoin(
+        scanned.agg(F.count(F.lit(1)).alias("row_count")))
 
 
 # -- sinks and whole runs ----------------------------------------------------
@@ -710,7 +762,7 @@ def scan_sources(d: Data) -> DataFrame:
 def write_table(d: Data) -> DataFrame:
     schema, spec = d.new_schema(), TABLES["fact_cart_events"]
     for mode in ("WRITE_TRUNCATE", " write_append "):
-        tables.write_table(d.events, schema, spec.name, mode, spec.day, spec.cluster, spec.key)
+        tables.write_table(d.events, schema, spec.name, mode, spec.day, spec.cluster)
     return d.spark.table(f"{schema}.{spec.name}").groupBy("event_type", "event_date_key").agg(
         F.count(F.lit(1)).alias("row_count"))
 
@@ -734,13 +786,20 @@ def update_customer_aggregates(d: Data) -> DataFrame:
 
 @query
 def load_warehouse_(d: Data) -> DataFrame:
-    root = d.new_root()
+    """The values of all tables after a load from written feeds, and their partitions."""
+    root, schema = d.new_root(), d.new_schema()
     write_all_feeds(d.feeds, root)
-    summary = load_warehouse(d.spark, root, d.new_schema(), holidays=HOLIDAYS, now=NOW).summary
-    rows = F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(c).cast("long").alias("row_count"))
-        for n, c in summary.items()])
-    return d.spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
+    summary = load_warehouse(d.spark, root, schema, holidays=HOLIDAYS, now=NOW).summary
+    made = {n: d.spark.table(f"{schema}.{n}") for n in summary if n in TABLES}
+    days = {n: ",".join(c.name for c in d.spark.catalog.listColumns(f"{schema}.{n}")
+                        if c.isPartition) for n in made}
+    found = F.element_at(F.create_map(*[F.lit(x) for pair in days.items() for x in pair]),
+                         F.col("name"))
+    counts = d.spark.createDataFrame(
+        [(n, c, "", 0, 0.0, "") for n, c in summary.items() if n not in TABLES],
+        "name string, row_count long, column_name string, known long, total double, "
+        "partitions string")
+    return _profile(made).withColumn("partitions", found).unionByName(counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,7 +1,8 @@
 """Raw retail feeds derived from a TPC-H-like star schema with an event log.
 
-Gives every feed its own spellings and nesting, so that the builders have
-something to harmonise. All work is joins and projections over whole tables.
+Gives every feed its own spellings and nesting, names that no builder knows among
+them, so that readers and builders have something to harmonise. All work is joins
+and projections over whole tables.
 """
 
 from __future__ import annotations
@@ -55,11 +56,11 @@ class SampleFeeds:
         store = "string(k % 20)"
         columns = (
             (
-                "string(k) as id", "txn as transactionCode",
-                "named_struct('id', customer) as customer", "at as createdAt",
+                "string(k) as id", "txn as `Transaction-Code`",
+                "named_struct('ID', customer) as customer", "at as CreatedAt",
                 "named_struct('cityName', city, 'address1', street) as shippingAddress",
                 "state as status", "paid as financial_status", "total as amountVND",
-                "usd as amount_usd",
+                "usd as amount_usd", "concat('note ', string(k)) as `Gift Note`",
             ),
             (
                 "string(k) as code", "txn as txn_id", "customer as customerId",
@@ -68,10 +69,10 @@ class SampleFeeds:
                 "state as order_status", "total",
             ),
             (
-                "string(k) as order_id", "txn as transaction_id", "customer as customer_id",
+                "string(k) as `Order ID`", "txn as transaction_id", "customer as CustomerId",
                 "at as order_date", "city as shipping_city", "street as shipping_address_1",
                 "state as status", "paid as payment_status", "total as grand_total_vnd",
-                "usd as grand_total_usd",
+                "usd as `Grand-Total USD`",
                 "if(k % 4 <> 0, 1000 + k % 20, null) as location_id",
                 f"if(k % 4 <> 0, concat('LC', {store}), null) as location_code",
                 f"if(k % 4 <> 0, concat('Store ', {store}), null) as location_name",
@@ -97,7 +98,7 @@ class SampleFeeds:
         lines = self.table("lineitem").selectExpr(
             "l_orderkey as k",
             "array(named_struct('variantId', l_partkey, 'qty', l_quantity, "
-            "'price', floor(l_extendedprice * 100 / l_quantity) / 100, "
+            "'price', named_struct('VND', floor(l_extendedprice * 100 / l_quantity) / 100), "
             "'lineTotal', if(l_linenumber <> 1, l_extendedprice, null))) as line_items",
             f"struct(l_linenumber, l_suppkey, l_extendedprice, l_quantity) as {FEED_POSITION}",
         )
@@ -243,15 +244,15 @@ def write_all_feeds(feeds: SampleFeeds, root: str) -> None:
     """
     lines = feeds.order_lines()
     for raw, more, path, name in (
-        (feeds.shopify_orders(), lines["shopify_orders"], "shopify/orders_batch", "part"),
+        (feeds.shopify_orders(), lines["shopify_orders"], "shopify", "orders_batch"),
         (feeds.sapo_orders(), lines["sapo_orders"], "sapo/batches", "orders"),
         (feeds.online_orders(), lines["online_orders"], "online_orders/online_orders.json.gz",
          "part"),
     ):
         write_feed(raw, f"{root}/{path}", "orders", name)
         write_feed(more, f"{root}/{path}", "orders", name)
+    write_feed(feeds.customers(), f"{root}/shared/customers", "customers", "customer_batch")
     for raw, path, key in (
-        (feeds.customers(), "shared/customers/customer_batch", "customers"),
         (feeds.products(), "shared/products.json.gz", "products"),
         (feeds.sapo_locations(), "shared/sapo_locations.json.gz", "locations"),
         (feeds.staff(), "shopify/staff.json.gz", "staff"),
@@ -266,10 +267,18 @@ def write_all_feeds(feeds: SampleFeeds, root: str) -> None:
 def write_feed(
     df: DataFrame, path: str, key: str, name: str = "part", rows_per_document: int = 2_000
 ) -> None:
-    """Write envelope documents, one gzip file each, of a bounded number of rows."""
-    rows = df.drop(FEED_POSITION).withColumn(
+    """Write envelope documents, one gzip file each, of a bounded number of rows.
+
+    Rows keep the order of their feed position: inside a document by sorting its
+    list, between documents by the order of the file names.
+    """
+    columns = [c for c in df.columns if c != FEED_POSITION]
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    placed = df.select(F.col(FEED_POSITION).alias("at"), row).orderBy("at")
+    numbered = placed.withColumn(
         "_document", F.floor(F.monotonically_increasing_id() / rows_per_document))
-    columns = [c for c in rows.columns if c != "_document"]
-    documents = rows.groupBy("_document").agg(F.collect_list(F.struct(*columns)).alias(key))
-    documents.select(key).write.mode("append").option("maxRecordsPerFile", 1).option(
-        "mapreduce.output.basename", name).json(path, compression="gzip")
+    documents = numbered.groupBy("_document").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("at", "row"))), lambda x: x.row).alias(key))
+    documents.orderBy("_document").select(key).write.mode("append").option(
+        "maxRecordsPerFile", 1).option("mapreduce.output.basename", name).json(
+        path, compression="gzip")

