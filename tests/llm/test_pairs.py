@@ -182,3 +182,14 @@ def test_permutation_fills_alike():
     assert 0.9 < (one == two).mean() < 1 and (one != 2**64 - 1).all()
     single = hasher.signature(a[:1])
     assert len(set(single.tolist())) == 1
+
+
+def test_bitmaps_never_rule_out_a_link(spark):
+    """A differing bit needs a differing shingle, also in bitmaps that are nearly full."""
+    rng = np.random.default_rng(5)
+    for size in (3, 200, 5000):
+        a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        drop = len(a) * 15 // 100
+        b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2**64, 2, dtype=np.uint64)]))
+        bits = [np.unpackbits(neardup.bitmap(x).view(np.uint8)) for x in (a, b)]
+        assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(a, b))
