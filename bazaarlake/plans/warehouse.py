@@ -45,6 +45,7 @@ def load_warehouse(
     holidays: list[str] | None = None,
     mode: str = "WRITE_TRUNCATE",
     now: dt.datetime | str | None = None,
+    day_folders: bool = True,
 ) -> Load:
     """Scan, build facts and dimensions, check, load, update customers, create views.
 
@@ -56,12 +57,14 @@ def load_warehouse(
     mode = write_mode(mode)
     folder = f"{shared_folder(spark)}/load-{uuid.uuid4().hex}"
     try:
-        return _load(spark, root, schema, start_date, end_date, holidays, mode, now, folder)
+        return _load(spark, root, schema, start_date, end_date, holidays, mode, now, folder,
+                     day_folders)
     finally:
         remove_folder(spark, folder)
 
 
-def _load(spark, root, schema, start_date, end_date, holidays, mode, now, folder) -> Load:
+def _load(spark, root, schema, start_date, end_date, holidays, mode, now, folder,
+          day_folders) -> Load:
     raw = scan_sources(spark, root)
     payments = raw.pop("payments_by_gateway")
     raw = {n: write_and_read(df, f"raw-{n}", folder) for n, df in raw.items()}
@@ -78,8 +81,8 @@ def _load(spark, root, schema, start_date, end_date, holidays, mode, now, folder
     checked = run_quality_checks(
         {**dims, **facts}, start_date, end_date, now, remove_duplicates=False
     )
-    summary = load_dimensions(dims, schema, mode)
-    summary |= load_facts(facts, schema, mode)
+    summary = load_dimensions(dims, schema, mode, day_folders)
+    summary |= load_facts(facts, schema, mode, day_folders)
     ready = summary["dim_customers"] and summary["fact_orders"]
     if not ready:
         log.warning("no customers or no orders: customer aggregates not updated")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.operators.upsert import merge_customer_aggregates
-from bazaarlake.schemas import TABLES
+from bazaarlake.schemas import TABLES, Table
 from bazaarlake.session import write_and_read
 
 log = logging.getLogger(__name__)
@@ -41,15 +41,16 @@ def day_column(df: DataFrame, partition_by: str) -> tuple[DataFrame, str]:
 def lay_out(df: DataFrame, day: str | None, cluster_by: Sequence[str]) -> DataFrame:
     """Rows of a day together, near cluster values together, no task too large.
 
-    The rebalance exchange brings equal (day, cluster columns) together and, at run
-    time, cuts what exceeds the advisory partition size and merges what is small. So
-    a hot day, or a hot customer inside it, becomes as many files as its size asks
-    for, at any size of the table.
+    The rebalance exchange brings the rows of a day (without a day, of equal cluster
+    values) into one partition, so a day has few files, and at run time cuts what
+    exceeds the advisory partition size and merges what is small. So a hot day, or a
+    hot customer inside it, becomes as many files as its size asks for, at any size of
+    the table; each is sorted by the cluster columns.
     """
     order = [c for c in (day, *cluster_by) if c]
     if not order:
         return df
-    return df.hint("rebalance", *order).sortWithinPartitions(*order)
+    return df.hint("rebalance", *(order[:1] if day else order)).sortWithinPartitions(*order)
 
 
 def _write(
@@ -112,11 +113,13 @@ def run_sql(
 
 
 def load_tables(
-    tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE"
+    tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE",
+    day_folders: bool = True,
 ) -> dict[str, int]:
     """Write each table by its layout in ``schemas.TABLES``; empty ones count 0.
 
-    Tables with a day have a folder per day, whatever their size.
+    Tables with a day have a folder per day, whatever their size, unless the caller
+    asks for none: then rows are kept in day order.
     """
     summary, mode = {}, write_mode(mode)
     for name, df in tables.items():
@@ -126,19 +129,28 @@ def load_tables(
             summary[name] = 0
             continue
         rows = {"rows": F.count(F.lit(1))}
-        summary[name] = _write(df, schema, name, mode, spec.day, spec.cluster, rows)["rows"]
+        day, cluster = _layout(spec, day_folders)
+        summary[name] = _write(df, schema, name, mode, day, cluster, rows)["rows"]
     return summary
 
 
-def load_dimensions(tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE"):
+def _layout(spec: Table, day_folders: bool) -> tuple[str | None, tuple[str, ...]]:
+    if day_folders or not spec.day:
+        return spec.day, spec.cluster
+    return None, (spec.day, *spec.cluster)
+
+
+def load_dimensions(tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE",
+                    day_folders: bool = True):
     order = ("dim_customers", "dim_products", "dim_locations", "dim_date")
-    return load_tables({t: tables[t] for t in order if t in tables}, schema, mode)
+    return load_tables({t: tables[t] for t in order if t in tables}, schema, mode, day_folders)
 
 
-def load_facts(tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE"):
+def load_facts(tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRUNCATE",
+               day_folders: bool = True):
     order = ("fact_orders", "fact_order_items", "fact_payments", "fact_cart_events",
              "fact_bank_transactions")
-    return load_tables({t: tables[t] for t in order if t in tables}, schema, mode)
+    return load_tables({t: tables[t] for t in order if t in tables}, schema, mode, day_folders)
 
 
 def update_customer_aggregates(spark: SparkSession, schema: str) -> int:
@@ -151,5 +163,6 @@ def update_customer_aggregates(spark: SparkSession, schema: str) -> int:
     target, spec = f"{schema}.dim_customers", TABLES["dim_customers"]
     merged = merge_customer_aggregates(spark.table(target), spark.table(f"{schema}.fact_orders"))
     ready = write_and_read(merged.drop(f"{spec.day}_day"), "dim_customers")
-    return _write(ready, schema, "dim_customers", "WRITE_TRUNCATE", spec.day, spec.cluster,
+    day, cluster = _layout(spec, any(c.isPartition for c in spark.catalog.listColumns(target)))
+    return _write(ready, schema, "dim_customers", "WRITE_TRUNCATE", day, cluster,
                   {"matched": F.count_if("is_matched")}, helpers=["is_matched"])["matched"]

@@ -447,7 +447,6 @@ def _profiles(*tables: str, **sources: str) -> str:
 _FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_cart_events",
           "fact_bank_transactions")
 _DIMENSIONS = ("dim_customers", "dim_products", "dim_locations", "dim_date")
-_DAYS = {"dim_customers": "created_at_day", **{t: TABLES[t].day for t in _FACTS}}
 _GATEWAYS = ("momo", "odoo", "paypal", "sapo", "zalopay")
 _BOOL_TEXT = """CASE k % 8 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false
     WHEN 4 THEN true WHEN 7 THEN false END"""
@@ -639,12 +638,14 @@ SQL = {
     "sql_customer_journey_sankey": SANKEY,
     "sql_cashflow_daily": CASHFLOW,
     "sql_payment_status": PAYMENT_STATUS,
-    "load_warehouse": f"""SELECT p.*, CASE name {" ".join(
-        f"WHEN '{t}' THEN '{day}'" for t, day in _DAYS.items())} ELSE '' END AS partitions FROM (
-        {_profiles(*_FACTS, *_DIMENSIONS, dim_customers="merged_customers")}
+    "load_warehouse": f"""{_profiles(*_FACTS, *_DIMENSIONS, dim_customers="merged_customers")}
         UNION ALL SELECT 'analysis_views', 4, '', 0, 0
         UNION ALL SELECT 'dim_customers_aggregate_updates', count(*), '', 0, 0
-            FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM purchases)) p""",
+            FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM purchases)""",
+    "load_by_day": " UNION ALL ".join(
+        f"""SELECT '{t}' AS name, '{TABLES[t].day}' AS partitions, {TABLES[t].day}::VARCHAR AS day,
+        count(*) AS row_count FROM {t} GROUP BY {TABLES[t].day}"""
+        for t in ("fact_cart_events", "fact_bank_transactions")),
 }
 
 

@@ -113,7 +113,10 @@ class Data:
         """A fresh schema holding the named tables."""
         made = {**self.dated_facts(), "dim_customers": self.customers}
         schema = self.new_schema()
-        tables.load_tables({n: made[n] for n in names}, schema)
+        # Orders and payments spread over some 2,400 days here, too many folders for a check.
+        for name in names:
+            few = name in ("fact_cart_events", "fact_bank_transactions")
+            tables.load_tables({name: made[name]}, schema, day_folders=few)
         return schema
 
     def texts(self) -> DataFrame:
@@ -786,20 +789,32 @@ def update_customer_aggregates(d: Data) -> DataFrame:
 
 @query
 def load_warehouse_(d: Data) -> DataFrame:
-    """The values of all tables after a load from written feeds, and their partitions."""
+    """The values of all tables after a load from written feeds.
+
+    Without day folders: orders here spread over some 2,400 days.
+    """
     root, schema = d.new_root(), d.new_schema()
     write_all_feeds(d.feeds, root)
-    summary = load_warehouse(d.spark, root, schema, holidays=HOLIDAYS, now=NOW).summary
+    summary = load_warehouse(d.spark, root, schema, holidays=HOLIDAYS, now=NOW,
+                             day_folders=False).summary
     made = {n: d.spark.table(f"{schema}.{n}") for n in summary if n in TABLES}
-    days = {n: ",".join(c.name for c in d.spark.catalog.listColumns(f"{schema}.{n}")
-                        if c.isPartition) for n in made}
-    found = F.element_at(F.create_map(*[F.lit(x) for pair in days.items() for x in pair]),
-                         F.col("name"))
     counts = d.spark.createDataFrame(
-        [(n, c, "", 0, 0.0, "") for n, c in summary.items() if n not in TABLES],
-        "name string, row_count long, column_name string, known long, total double, "
-        "partitions string")
-    return _profile(made).withColumn("partitions", found).unionByName(counts)
+        [(n, c, "", 0, 0.0) for n, c in summary.items() if n not in TABLES],
+        "name string, row_count long, column_name string, known long, total double")
+    return _profile(made).unionByName(counts)
+
+
+@query
+def load_by_day(d: Data) -> DataFrame:
+    """Rows per day read back by day folder, for the facts that span few days."""
+    schema = d.saved("fact_cart_events", "fact_bank_transactions")
+    parts = []
+    for name in ("fact_cart_events", "fact_bank_transactions"):
+        day = [c.name for c in d.spark.catalog.listColumns(f"{schema}.{name}") if c.isPartition]
+        parts.append(d.spark.table(f"{schema}.{name}").groupBy(
+            F.lit(name).alias("name"), F.lit(",".join(day)).alias("partitions"),
+            F.col(TABLES[name].day).alias("day")).agg(F.count(F.lit(1)).alias("row_count")))
+    return reduce(DataFrame.union, parts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
