@@ -109,10 +109,11 @@ def mix_documents(
     narrow = write_and_read(named.select("key", "tokens", F.array(
         *[_node(f"level_{i}") for i in range(len(columns))]).alias("path")).filter(
         "tokens > 0"), "mix")
-    leaves = narrow.groupBy("path").agg(F.sum("tokens").alias("available"))
+    # Written, as later steps name them many times: one row per leaf each.
+    leaves = write_and_read(narrow.groupBy("path").agg(F.sum("tokens").alias("available")), "mix")
     budgets = node_budgets(leaves, len(columns), weights, fraction, max_epochs, default_weight)
-    plan = budgets.filter("budget > 0").selectExpr(
-        "path AS leaf", "budget div available AS full", "budget % available AS rest")
+    plan = write_and_read(budgets.filter("budget > 0").selectExpr(
+        "path AS leaf", "budget div available AS full", "budget % available AS rest"), "mix")
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("full").cast("string"),
                               F.coalesce(F.col("key").cast("string"), F.lit(""))))
     placed = narrow.join(plan, F.col("path") == F.col("leaf")).withColumn(
@@ -120,9 +121,10 @@ def mix_documents(
     sums = placed.filter("rest > 0").groupBy("leaf", "bucket", "rest").agg(
         F.sum("tokens").alias("size"))
     upto = Window.partitionBy("leaf").orderBy("bucket")
-    last = sums.withColumn("before", F.sum("size").over(upto) - F.col("size")).filter(
+    last = write_and_read(sums.withColumn(
+        "before", F.sum("size").over(upto) - F.col("size")).filter(
         "before < rest AND before + size >= rest").select(
-        F.col("leaf").alias("cut_leaf"), F.col("bucket").alias("cut"), "before")
+        F.col("leaf").alias("cut_leaf"), F.col("bucket").alias("cut"), "before"), "mix")
     marked = placed.join(last, F.col("leaf") == F.col("cut_leaf"), "left")
     full = marked.filter("full > 0").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("full").cast("int") - 1)).alias("epoch"),
