@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,6 +19,8 @@ WINDOW = 256  # bytes per window
 # Training takes at most so many documents of a language, and so many windows of each.
 DOCS_PER_LANGUAGE = 400
 WINDOWS_PER_DOC = 4
+MOST_LANGUAGES = 1000  # the most frequent ones are learned
+SPARE = 4  # a language's documents are thinned by hash to so many times the sample first
 STEPS, BATCH, RATE = 500, 128, 0.01
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -122,21 +124,29 @@ def training_windows(
     df: DataFrame, text: str, lang: str, key: str, docs: int = DOCS_PER_LANGUAGE,
     windows: int = WINDOWS_PER_DOC,
 ) -> DataFrame:
-    """At most ``docs`` documents of each language (chosen by hashed key), cut into windows.
+    """Windows of at most ``docs`` documents of each language, chosen by hashed key and text.
 
     Columns lang, key, part, text. Windows are spread evenly over a document's
     whole length, so training sees all parts of long texts.
     """
+    part = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda k: F.substring(
+        F.col("text"), (k * F.greatest(F.lit(0), F.length("text") - WINDOW)
+                        / max(windows - 1, 1)).cast("int") + 1, F.lit(WINDOW))))
     known = df.select(F.col(quoted(lang)).cast("string").alias("lang"),
                       F.col(quoted(key)).cast("string").alias("key"),
-                      F.col(quoted(text)).cast("string").alias("text")).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", F.xxhash64("text"))
-    few = known.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs)
-    start: Column = F.expr(f"CAST(part * greatest(0, length(text) - {WINDOW})"
-                           f" / {max(windows - 1, 1)} AS INT) + 1")
-    return few.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(windows - 1)))).select(
-        "lang", "key", "part", F.substring("text", start, F.lit(WINDOW)).alias("text"))
+                      F.col(quoted(text)).cast("string").alias("text"))
+    # At most MOST_LANGUAGES short rows, so they can go to every task.
+    counts = F.broadcast(known.filter("lang IS NOT NULL").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("all")).orderBy(F.desc("all"), "lang").limit(MOST_LANGUAGES))
+    spread = F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(2**30))
+    # Few more than asked for reach the ranking, however many tasks read the table.
+    likely = known.join(counts, "lang").withColumn("spread", spread).filter(
+        (F.col("spread") * F.col("all") < F.lit(SPARE * docs * 2**30))
+        & F.col("text").rlike(r"\p{L}"))
+    cut = likely.select("lang", "key", "spread", part.alias("part", "text"))
+    order = Window.partitionBy("lang").orderBy("spread", "key", "text", "part")
+    return cut.withColumn("nth", F.row_number().over(order)).filter(
+        F.col("nth") <= docs * windows).select("lang", "key", "part", "text")
 
 
 def fit_languages(df: DataFrame, text: str, lang: str, key: str,
