@@ -43,7 +43,9 @@ def shuffle_into_shards(
     carried = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(kept)]
     scattered = df.select(*carried, hashed.alias("hash"), F.xxhash64(quoted(text)).alias("content"),
                           bucket.alias("bucket"))
-    placed = scattered.join(offsets, F.col("bucket") == F.col("__b")).drop("__b")
+    # As many partitions as keep each near a bucket; join and grouping need no other exchange.
+    placed = scattered.repartition(2 * buckets, "bucket").join(
+        offsets, F.col("bucket") == F.col("__b")).drop("__b")
     result = T.StructType([*df.select(*carried).schema.fields,
                            T.StructField("shard", T.IntegerType()),
                            T.StructField("slot", T.LongType())])
