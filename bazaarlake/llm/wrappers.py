@@ -6,6 +6,7 @@ import html as entities
 import json
 import re
 from difflib import SequenceMatcher
+from hashlib import sha256
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.batches import quoted
 from bazaarlake.llm.reputation import url_host
+from bazaarlake.session import write_and_read
 
 # Fixed values of HTML and of common markup.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -29,6 +31,9 @@ NO_TEXT_NAMES = set(
     "notices cookie cookies consent banner alert promo ad ads advert adverts advertisement "
     "sponsor sponsored comment comments disqus respond".split())
 ROOTS = ("article", "main")
+HOLDERS = {*ROOTS, *"html body div section header footer aside nav form table figure details".split()}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+TEMPLATE_PAGES = 3  # a slot equal on so many distinct pages belongs to the template
 
 LONGEST_REPEAT = 16  # tokens of a repeated group found in one page
 SALTS = 32  # partial wrappers of a host are merged in so many groups, then once more
@@ -242,10 +247,11 @@ class Wrapper:
     def __init__(self):
         self.items: list | None = None
         self.seen: set[str] = set()
-        # context: characters, pages, the text if it is the same on every page, else None
+        # context: characters, pages, the text's digest if the same on every page, else None
         self.slots: dict[str, list] = {}
 
     def add_page(self, page: str) -> None:
+        """Align one more page. A page gives the token ``#`` for each text, shown or hidden."""
         walk, stream, texts = Walk(), [], {}
         for tag, name, text in tokens(page):
             if tag:
@@ -260,7 +266,7 @@ class Wrapper:
             self.seen.add(key)
             self._align(items)
         for context, text in texts.items():
-            self._slot(context, len(text), 1, text if len(text) <= 500 else None)
+            self._slot(context, len(text), 1, _digest(text))
 
     def add_part(self, part: str) -> None:
         items, slots = json.loads(part)
@@ -292,6 +298,122 @@ class Wrapper:
                       if c in ROOTS or text is None or pages < 3)
 
 
+def _digest(text: str) -> str:
+    return sha256(text.encode(errors="surrogatepass")).hexdigest()[:32]
+
+
+class Matcher:
+    """A wrapper as an automaton whose states are the places of its tokens.
+
+    ``follow[p]`` has a bit for each place that may come after place p, so one page is
+    matched in one pass forward and one back, without trying alternatives.
+    """
+
+    def __init__(self, items: list):
+        self.names: list[str] = []
+        self.follow: list[int] = []
+        self.first, self.last, self.empty = self._sequence(items)
+        self.places: dict[str, int] = {}
+        for place, name in enumerate(self.names):
+            self.places[name] = self.places.get(name, 0) | 1 << place
+
+    def _sequence(self, items: list) -> tuple[int, int, bool]:
+        first, last, empty = 0, 0, True
+        for item in items:
+            if isinstance(item, list):
+                f, e, none = self._sequence(item[1])
+                if item[0] == "+":
+                    self._connect(e, f)
+                none = none or item[0] == "?"
+            else:
+                f = e = 1 << len(self.names)
+                none = False
+                self.names.append(item)
+                self.follow.append(0)
+            self._connect(last, f)
+            first |= f if empty else 0
+            last = e | last if none else e
+            empty = empty and none
+        return first, last, empty
+
+    def _connect(self, sources: int, targets: int) -> None:
+        while sources:
+            low = sources & -sources
+            self.follow[low.bit_length() - 1] |= targets
+            sources ^= low
+
+    def match(self, stream: list[str]) -> list[int] | None:
+        """The place of each token, the earliest that fit; None if the page is not covered."""
+        reached, after = [], self.first
+        for name in stream:
+            here = after & self.places.get(name, 0)
+            if not here:
+                return None
+            reached.append(here)
+            after = 0
+            while here:
+                low = here & -here
+                after |= self.follow[low.bit_length() - 1]
+                here ^= low
+        found: list[int] = []
+        allowed = self.last
+        for here in reversed(reached):
+            here &= allowed if not found else here
+            if found:
+                following = 1 << found[-1]
+                while here and not self.follow[(here & -here).bit_length() - 1] & following:
+                    here &= here - 1
+            if not here:
+                return None
+            found.append((here & -here).bit_length() - 1)
+        return found[::-1]
+
+
+def slot_texts(page: str | None, matcher: Matcher | None):
+    """(slot, root, token, text) of each token of a page, slot and root of hidden text None.
+
+    A slot is the place, in the host's wrapper, of the innermost element that can hold a
+    part of its own (one with class, id or role, or a div, section and the like) around
+    the text; its paragraphs, headings and lists vary together. Where the wrapper does
+    not cover a page the slot is -1.
+    """
+    stream = list(tokens(page or ""))
+    names = [tag or "#" for tag, _, text in stream if tag or text.strip()]
+    places = iter((matcher.match(names) if matcher else None) or [-1] * len(names))
+    walk, slots = Walk(), []
+    for tag, name, text in stream:
+        if tag is None:
+            if text.strip():
+                next(places)
+            if walk.hidden:
+                yield None, None, "#", text
+            else:
+                inside = [n for _, n, _ in walk.open]
+                root = next((r for r in ROOTS if r in inside), "")
+                yield slots[-1] if slots else (-1, ""), root, "#", text
+            continue
+        place = next(places)
+        walk.step(tag, name)
+        opened = not tag.startswith("/") and name not in VOID
+        del slots[len(walk.open) - opened if opened else len(walk.open):]
+        if opened:
+            holds = name in HOLDERS or "[" in tag and name not in INLINE | HEADINGS
+            slots.append((place, name) if holds or not slots else slots[-1])
+        yield None, None, tag, name
+
+
+def page_slots(page: str | None, matcher: Matcher | None) -> tuple[str, dict[int, str]]:
+    """Digest of all shown text of a page, and of its text in each slot."""
+    held: dict[int, list[str]] = {}
+    shown_text = []
+    for slot, _, token, text in slot_texts(page, matcher):
+        if token == "#" and slot and text.strip():
+            shown_text.append(" ".join(text.split()))
+            if slot[0] >= 0 and slot[1] not in ROOTS:
+                held.setdefault(slot[0], []).append(shown_text[-1])
+    return _digest("\n".join(shown_text)), {k: _digest("\n".join(v)) for k, v in held.items()}
+
+
 def merge_parts(frame: pd.DataFrame) -> Wrapper:
     wrapper = Wrapper()
     for part in sorted(frame["part"]):
@@ -300,7 +422,7 @@ def merge_parts(frame: pd.DataFrame) -> Wrapper:
 
 
 def infer_wrappers(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """(host, pattern, roots) for each host.
+    """(host, pattern, items) for each host: the wrapper to read and, as JSON, to match.
 
     Tasks merge the pages they hold into one part per host; parts that are equal meet in
     a map-side aggregate; the rest are merged in ``SALTS`` groups per host and then
@@ -320,7 +442,7 @@ def infer_wrappers(pages: DataFrame, url: str, html: str) -> DataFrame:
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
         wrapper = merge_parts(frame)
         return pd.DataFrame({"host": frame["host"].iloc[:1], "pattern": [
-            shown(wrapper.items or [])], "roots": [wrapper.roots()]})
+            shown(wrapper.items or [])], "items": [json.dumps(wrapper.items or [])]})
 
     parts = pages.select(url_host(F.col(quoted(url)).cast("string")).alias("host"),
                          F.col(quoted(html)).cast("string").alias("html")).filter(
@@ -328,11 +450,16 @@ def infer_wrappers(pages: DataFrame, url: str, html: str) -> DataFrame:
     parts = parts.withColumn("salt", F.pmod(F.xxhash64("part"), F.lit(SALTS))).groupBy(
         "host", "salt").applyInPandas(again, "host string, part string")
     return parts.groupBy("host").applyInPandas(
-        finish, "host string, pattern string, roots array<string>")
+        finish, "host string, pattern string, items string")
+
 
+def main_text(page: str | None, roots: list[str] | None, matcher: Matcher | None = None,
+              template: set[int] | None = None) -> str:
+    """The page's blocks in its article, else in main, else elsewhere.
 
-def main_text(page: str | None, roots: list[str] | None) -> str:
-    """The page's blocks in its article, else in main, else in other root contexts."""
+    With ``template``, the wrapper's slots that are equal on all pages, text in those is
+    left out; without it, text outside the root contexts is.
+    """
     if not page:
         return ""
     walk, block = Walk(), []
@@ -346,18 +473,20 @@ def main_text(page: str | None, roots: list[str] | None) -> str:
             found[place].append(text)
         block.clear()
 
-    for tag, name, text in tokens(page):
-        if tag is None:
-            context = walk.context()
-            if not walk.hidden and context in inside:
-                place = context if context in ROOTS else ""
+    for slot, root, token, text in slot_texts(page, matcher):
+        if token == "#":
+            taken = slot is not None and (
+                walk.context() in inside if template is None else slot[0] not in template)
+            if taken:
+                place = root
                 block.append(text)
             continue
-        if name == "br":
+        if text == "br":
             block.append(" ")
-        elif name not in INLINE:
+        elif text not in INLINE:
             end()
-        walk.step(tag, name)
+        if template is None:
+            walk.step(token, text)
     end()
     return "\n\n".join(next(filter(None, found.values()), []))
 
@@ -365,9 +494,12 @@ def main_text(page: str | None, roots: list[str] | None) -> str:
 def extract_main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (code points) in place of the html column.
 
-    Each host's pages are aligned to a wrapper; its text slots outside menus, headers,
-    footers, sidebars, notices, adverts, forms, scripts, styles and reader comments that
-    lie in the article (else in main, else those whose text varies) are the main text.
+    Each host's pages are aligned to a wrapper and matched against it. A slot of it whose
+    text is equal on all of ``TEMPLATE_PAGES`` or more distinct pages (pages that show
+    the same text count once) is template; the direct text of an article or main is not.
+    Of the other slots, those outside menus, headers, footers, sidebars, notices,
+    adverts, forms, scripts, styles and reader comments that lie in the article (else in
+    main, else anywhere) are the main text.
     Character references are decoded, white space in a block becomes one space, blocks
     are joined by an empty line. A null or empty page has the empty text; pages with a
     null url form one group with those without a host; broken and cut markup is read
@@ -375,18 +507,51 @@ def extract_main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
     ``n_chars`` are replaced.
     """
     kept = [c for c in pages.columns if c.lower() not in ("text", "n_chars", html.lower())]
-    wrappers = infer_wrappers(pages, url, html).select(
-        F.col("host").alias("__host"), F.col("roots").alias("__roots"))
+    wrappers = write_and_read(infer_wrappers(pages, url, html).select(
+        F.col("host").alias("__host"), F.col("items").alias("__items")), "wrappers")
     source = pages.select(*[F.col(quoted(c)) for c in kept],
                           F.col(quoted(html)).cast("string").alias("__html"),
                           url_host(F.col(quoted(url)).cast("string")).alias("__at"))
-    joined = source.join(wrappers, F.col("__at") == F.col("__host"), "left")
 
-    @F.pandas_udf("string")
-    def extract(page: pd.Series, roots: pd.Series) -> pd.Series:
-        return pd.Series([main_text(p, None if r is None else list(r))
-                          for p, r in zip(page, roots)], dtype=object)
+    def matchers():
+        known: dict[str, Matcher] = {}
 
-    return joined.select(*[F.col(quoted(c)) for c in kept],
-                         extract("__html", "__roots").alias("text")).withColumn(
+        def get(items: str | None) -> Matcher | None:
+            if items is not None and items not in known:
+                if len(known) > 1000:
+                    known.clear()
+                known[items] = Matcher(json.loads(items))
+            return known.get(items)
+
+        return get
+
+    def slots(frames):
+        get = matchers()
+        for frame in frames:
+            rows = []
+            for host, page, items in zip(frame["__host"], frame["__html"], frame["__items"]):
+                shows, held = page_slots(page, get(items))
+                rows += [(host, shows, slot, text) for slot, text in held.items()]
+            yield pd.DataFrame(rows, columns=["host", "page", "slot", "text"])
+
+    # Rows are distinct before they are counted per slot, so a hot host is summed up map-side.
+    template = source.select("__at", "__html").filter("__html IS NOT NULL").join(
+        wrappers, F.col("__at") == F.col("__host")).select("__host", "__html", "__items").mapInPandas(
+        slots, "host string, page string, slot long, text string").distinct().groupBy(
+        "host", "slot").agg(F.count(F.lit(1)).alias("pages"), F.min("text").alias("least"),
+                            F.max("text").alias("most")).filter(
+        (F.col("pages") >= TEMPLATE_PAGES) & (F.col("least") == F.col("most"))).groupBy(
+        F.col("host").alias("__of")).agg(F.sort_array(F.collect_set("slot")).alias("__template"))
+    judged = write_and_read(wrappers.join(
+        template, F.col("__host") == F.col("__of"), "left").drop("__of"), "templates")
+
+    @F.pandas_udf("string")
+    def extract(page: pd.Series, items: pd.Series, fixed: pd.Series) -> pd.Series:
+        get = matchers()
+        return pd.Series([main_text(p, None, get(w), set() if t is None else set(t))
+                          for p, w, t in zip(page, items, fixed)], dtype=object)
+
+    return source.join(judged, F.col("__at") == F.col("__host"), "left").select(
+        *[F.col(quoted(c)) for c in kept],
+        extract("__html", "__items", "__template").alias("text")).withColumn(
         "n_chars", F.length("text").cast("long"))

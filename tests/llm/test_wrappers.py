@@ -111,6 +111,48 @@ def test_pages_without_article_on_a_host_with_articles():
     assert [main_text(p, roots(*pages)) for p in pages] == ["a", "plain"]
 
 
+def extracted(spark, pages):
+    """Main text of pages of one host, in their order."""
+    rows = [(i, f"http://a.com/{i}", p) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    out = wrappers.extract_main_text(df, "url", "html").collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+def test_matcher_gives_places():
+    items = ["a", ["+", [["?", ["b"]], ["?", ["c"]]]], ["?", ["b", "d"]], "e"]
+    found = wrappers.Matcher(items)
+    assert found.names == ["a", "b", "c", "b", "d", "e"]
+    assert found.match(list("abcbde")) == [0, 1, 2, 3, 4, 5]
+    assert found.match(list("ae")) == [0, 5] and found.match(list("abce")) == [0, 1, 2, 5]
+    assert found.match(list("ade")) is None and found.match(list("ab")) is None
+    assert wrappers.Matcher([]).match([]) == []
+
+
+def test_template_inside_the_article(spark):
+    """Template text that no class list names goes, at any length; what varies stays."""
+    letter = "Get our letter every week. " * 40
+    pages = [page(f"<article><h1>Title</h1><p>Story {i}</p><div class=newsletter><p>{letter}</p>"
+                  f"</div><div class=more><p>More {i}</p></div></article>") for i in range(4)]
+    assert extracted(spark, pages) == [f"Title\n\nStory {i}\n\nMore {i}" for i in range(4)]
+    pages = [page(f"<div id=top><p>{letter}</p></div><div id=body><p>Story {i}</p></div>")
+             for i in range(4)]
+    assert extracted(spark, pages) == [f"Story {i}" for i in range(4)]
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    pages = [page(f"<nav>{i}</nav><div id=body><p>Story</p></div>") for i in range(5)]
+    assert extracted(spark, pages) == ["Story"] * 5
+    pages = [page("<div id=body><p>Story</p></div>")] * 5
+    assert extracted(spark, pages) == ["Story"] * 5
+
+
+def test_slots_tell_equal_paths_apart(spark):
+    """The wrapper's place, not the path of tags alone, names a slot."""
+    pages = [page(f"<div><p>Our site</p></div><hr><div><p>Story {i}</p></div>") for i in range(4)]
+    assert extracted(spark, pages) == [f"Story {i}" for i in range(4)]
+
+
 def test_frames(spark):
     rows = [(1, "http://a.com/1", page("<article><p>x</p></article>")), (2, None, None),
             (3, "http://a.com/2", ""), (4, None, page("<article>y</article>")),
