@@ -113,7 +113,9 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return compression.compression_rules(docs, "text", keep=["doc_id"])
+    whole, chunks = compression.learn_bands(docs, "text")
+    return compression.compression_rules(
+        docs, "text", whole_bands=whole, chunk_bands=chunks, keep=["doc_id"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

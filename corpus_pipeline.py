@@ -30,7 +30,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop short, self-repeating, repetitive and incompressible documents."""
-    return compression.compression_rules(docs, "text").filter("kept").select(*docs.columns)
+    whole, chunks = compression.learn_bands(docs, "text")
+    return compression.compression_rules(docs, "text", whole_bands=whole, chunk_bands=chunks).filter(
+        "kept").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,6 +132,37 @@ def test_bands_reject_both_ends():
     assert not fine and whole < 4.5 < most
 
 
+def test_learned_bands_reject_junk_of_each_length(spark):
+    """Menus of few words and base64 go at each length, prose stays; few texts teach nothing."""
+    import math
+    import random
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = []
+    for i in range(800):
+        n = int(math.exp(rng.uniform(math.log(300), math.log(40_000))))
+        texts.append((f"prose{i}", " ".join(rng.choices(words, k=n // 6))))
+    for n in (600, 1500, 3000, 6000, 12_000, 25_000):
+        menu = [w for w in words if len(w) > 4][:30]
+        texts.append((f"menu{n}", " ".join(rng.choices(menu, k=n // 7))))
+        texts.append((f"base64{n}", " ".join("".join(rng.choices(signs, k=40))
+                                             for _ in range(n // 41))))
+    df = spark.createDataFrame(texts, "doc_id string, text string")
+    whole, chunks = compression.learn_bands(df, "text")
+    assert (whole, chunks) == compression.learn_bands(df.union(df).repartition(5), "text")
+    rows = compression.compression_rules(df, "text", whole_bands=whole, chunk_bands=chunks,
+                                         keep=["doc_id"]).collect()
+    junk = [r for r in rows if not r.doc_id.startswith("prose")]
+    assert [r.doc_id for r in junk if r.kept] == []
+    assert sum(not r.base_failed for r in junk) >= 10  # so the bands decide
+    assert sum(r.kept for r in rows) >= 0.97 * 800
+    fixed = compression.WHOLE_BANDS, compression.CHUNK_BANDS
+    assert compression.learn_bands(df.limit(20), "text") == fixed
+    assert compression.learn_bands(df.limit(0), "text") == fixed
+
+
 def test_language_edges(odd, nothing, spark):
     net = language.fit_languages(odd, "text", "lang", "doc_id")
     rows = language.predict_languages(odd, "text", net).collect()
