@@ -127,7 +127,8 @@ def training_windows(
     """Windows of at most ``docs`` documents of each language, chosen by hashed key and text.
 
     Columns lang, key, part, text. Windows are spread evenly over a document's
-    whole length, so training sees all parts of long texts.
+    whole length, so training sees all parts of long texts. Only the ``MOST_LANGUAGES`` most
+    frequent languages are taken; documents of rarer ones teach nothing.
     """
     part = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda k: F.substring(
         F.col("text"), (k * F.greatest(F.lit(0), F.length("text") - WINDOW)
@@ -155,7 +156,8 @@ def fit_languages(df: DataFrame, text: str, lang: str, key: str,
 
     The driver holds ``docs * WINDOWS_PER_DOC`` windows of 256 characters for each
     language, whatever the size of the data. Rows with a null language or without
-    a letter teach nothing; without any row the network knows no language.
+    a letter teach nothing; without any row the network knows no language. Languages
+    beyond the ``MOST_LANGUAGES`` most frequent are not learned, so never predicted.
     """
     rows = sorted(training_windows(df, text, lang, key, docs).collect(), key=repr)
     return fit_network([r.text for r in rows], [r.lang for r in rows])
