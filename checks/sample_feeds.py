@@ -280,5 +280,5 @@ def write_feed(
     documents = numbered.groupBy("_document").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("at", "row"))), lambda x: x.row).alias(key))
     documents.orderBy("_document").select(key).write.mode("append").option(
-        "maxRecordsPerFile", 1).option("mapreduce.output.basename", name).json(
-        path, compression="gzip")
+        "maxRecordsPerFile", 1).option("mapreduce.output.basename", name).option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path, compression="gzip")

@@ -1,4 +1,3 @@
-import datetime as dt
 import gzip
 import json
 import sys
@@ -44,12 +43,3 @@ def put(tmp_path):
         return str(tmp_path / "feeds")
 
     return write
-
-
-def rows(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
-def when(text):
-    return dt.datetime.fromisoformat(text)

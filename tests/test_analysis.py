@@ -6,7 +6,7 @@ import statistics
 from decimal import Decimal
 
 import pytest
-from conftest import rows, when
+from frames import rows, when
 
 from bazaarlake.operators import quality
 from bazaarlake.operators.touchpoints import ordered_touchpoints, touchpoint_sequence

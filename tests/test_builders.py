@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows, when
+from frames import rows, when
 from pyspark.sql import Row
 
 from bazaarlake.plans import dimensions, facts

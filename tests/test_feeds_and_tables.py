@@ -3,7 +3,7 @@
 import gzip
 
 import pytest
-from conftest import rows, when
+from frames import rows, when
 
 from bazaarlake.operators.quality import negative_amounts
 from bazaarlake.plans.warehouse import load_warehouse

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows, when
+from frames import rows, when
 from pyspark.sql import Row
 
 from bazaarlake.functions.casts import cast_columns

@@ -1,6 +1,6 @@
 """Duplicates, unions, exploding, and heavy keys."""
 
-from conftest import rows
+from frames import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Row
