@@ -97,7 +97,7 @@ def shingles(text):
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
-def expected(rows):
+def expected(rows, percent=85):
     """{doc: (size, component)} by comparing all pairs."""
     sets = [(i, shingles(t)) for i, t in rows if i is not None]
     parent = {i: i for i, _ in sets}
@@ -109,7 +109,7 @@ def expected(rows):
 
     for n, (i, a) in enumerate(sets):
         for j, b in sets[:n]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
     return {i: (len(s), root(i)) for i, s in sets}

@@ -71,7 +71,7 @@ def test_quality_stage(stages):
 def test_dedup_stage(stages):
     from test_pairs import expected
 
-    groups = expected([(r.doc_id, r.text) for r in stages[2]])
+    groups = expected([(r.doc_id, r.text) for r in stages[2]], corpus_pipeline.SIMILAR)
     assert {r.doc_id for r in stages[3]} == {c for _, c in groups.values()}
 
 
