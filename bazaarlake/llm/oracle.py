@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bazaarlake.llm import queries, warc
+from bazaarlake.llm import queries, secret_scan, warc
 from bazaarlake.llm.reputation import LEAST_STRENGTH, MAX_BAD, MOST_STRENGTH, Z
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -191,7 +191,48 @@ def _warc() -> str:
         AS content_length, 'sha256:' || sha256(block) AS block_digest FROM records"""
 
 
+def _any_case(pattern: str) -> str:
+    """Letters outside classes and escapes as classes of both cases."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        sign = pattern[at:at + (4 if pattern.startswith("\\x", at) else 1)]
+        inside = sign == "[" or (inside and sign != "]")
+        both = len(sign) == 1 and sign.isalpha() and not inside
+        out.append(f"[{sign.upper()}{sign.lower()}]" if both else sign)
+        at += len(sign)
+    return "".join(out)
+
+
+def _secrets() -> str:
+    """Matches and the pieces between them give each match's place."""
+    parts = []
+    for order, rule in enumerate(secret_scan.BASE_RULES + secret_scan.MORE_RULES):
+        pattern = (_any_case(rule.pattern) if rule.any_case else rule.pattern).replace("'", "''")
+        parts.append(f"""
+        SELECT doc_id, {order} AS k, '{rule.kind}' AS kind, place, place + length(hit) AS till FROM (
+          SELECT doc_id, hits[i] AS hit, coalesce(list_sum(list_transform(hits[1:i - 1],
+              lambda x: length(x))), 0)::BIGINT + list_sum(list_transform(pieces[1:i],
+              lambda x: length(x)))::BIGINT AS place
+          FROM (SELECT doc_id, hits, pieces, unnest(range(1, len(hits) + 1)) AS i FROM
+            (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS hits,
+               string_split_regex(text, '{pattern}') AS pieces FROM documents) WHERE len(hits) > 0))
+        WHERE length(regexp_extract(hit, '{pattern}', {rule.group})) >= {rule.least}""")
+    base = len(secret_scan.BASE_RULES)
+    count = ", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}"
+                      for r in secret_scan.BASE_RULES)
+    sums = ", ".join(f"sum((kind = '{r.kind}')::INT) AS n_{r.kind}"
+                     for r in secret_scan.BASE_RULES)
+    return f"""
+    WITH found AS ({" UNION ALL ".join(parts)}),
+    spans AS (SELECT doc_id, {sums}, string_agg(kind || ':' || place || ':' || till, ','
+        ORDER BY place, k) AS spans, string_agg(kind || ':' || place || ':' || till, ','
+        ORDER BY place, k) FILTER (k < {base}) AS base FROM found GROUP BY doc_id)
+    SELECT doc_id, {count}, sha256(coalesce(base, '')) AS base_sha256,
+      coalesce(spans, '') AS spans FROM documents LEFT JOIN spans USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_mixing": _mixing(), "op2_top_k": _top_k(),
             "op3_near_duplicates": _near_duplicates(),
-            "op8_url_filters": _reputation(), "op9_warc": _warc()}
+            "op8_url_filters": _reputation(), "op9_warc": _warc(),
+            "op13_secret_scans": _secrets()}

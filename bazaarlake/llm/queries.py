@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import compression, covertree, language, mixing, neardup, pieces
-from bazaarlake.llm import reputation, shards, warc, wrappers
+from bazaarlake.llm import reputation, secret_scan, shards, warc, wrappers
 
 SHARDS = 16
 # Target weights of the mix; sources have equal weights.
@@ -118,5 +118,17 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         docs, "text", whole_bands=whole, chunk_bands=chunks, keep=["doc_id"])
 
 
+def op13_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan_secrets(docs, "text", keep=["doc_id"])
+    kind = {rule.kind: F.filter("secrets", lambda s, k=rule.kind: s["kind"] == k)
+            for rule in secret_scan.BASE_RULES}
+    base = F.filter("secrets", lambda s: s["kind"].isin(*kind))
+    return found.select(
+        "doc_id", *[F.size(spans).cast("long").alias(f"n_{k}") for k, spans in kind.items()],
+        F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("secrets")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
