@@ -121,11 +121,14 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op13_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secret_scan.scan_secrets(docs, "text", keep=["doc_id"])
-    kind = {rule.kind: F.filter("secrets", lambda s, k=rule.kind: s["kind"] == k)
-            for rule in secret_scan.BASE_RULES}
-    base = F.filter("secrets", lambda s: s["kind"].isin(*kind))
+    kinds = [rule.kind for rule in secret_scan.BASE_RULES]
+    base = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    def number(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
-        "doc_id", *[F.size(spans).cast("long").alias(f"n_{k}") for k, spans in kind.items()],
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind in kinds],
         F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.span_text(F.col("secrets")).alias("spans"))
 

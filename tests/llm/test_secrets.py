@@ -6,8 +6,10 @@ import re
 import numpy as np
 import pytest
 
+from bazaarlake.llm import oracle, queries
 from bazaarlake.llm import secret_scan as scan
 from bazaarlake.llm.secret_scan import BASE_RULES, MORE_RULES, Rule, TrigramIndex
+from checks.compare import canonical, connect
 
 HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
 SAMPLES = {
@@ -102,6 +104,16 @@ def test_index_saves_work(spark):
     assert total < 1.5 * docs.count()  # of twelve rules
 
 
+def test_query_equals_sql_where_secrets_are(spark):
+    folder = "/root/testdata/sf0.01"
+    df = queries.op13_secret_scans(spark, folder)
+    ours = canonical(df.columns, [tuple(r) for r in df.collect()])
+    cursor = connect(folder).execute(oracle.oracle_sql()["op13_secret_scans"])
+    columns = [c[0] for c in cursor.description]
+    assert ours == canonical(columns, cursor.fetchall())
+    assert any("assign:" in cell for row in ours for cell in row)
+
+
 def test_segments_do_not_matter(spark, monkeypatch):
     rows = noisy(random.Random(9), 60)
     df = spark.createDataFrame(rows, "id long, text string").coalesce(1)
