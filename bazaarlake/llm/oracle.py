@@ -191,6 +191,50 @@ def _warc() -> str:
         AS content_length, 'sha256:' || sha256(block) AS block_digest FROM records"""
 
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 (reversed polynomial EDB88320) of a text's UTF-8 bytes."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})),
+        (2 * i + 1)::INT, 2))::BIGINT)), lambda c, b: xor(c >> 8, list_extract({table}::BIGINT[], (xor(c, b)
+        & 255) + 1))))"""
+
+
+def _spelling() -> str:
+    """All words under all patterns with one code point left out or masked; shared ones are near."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+    WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text,
+        '[A-Za-z\x{{C0}}-\x{{FF}}]+')), '{upper}', '{upper.lower()}') AS run FROM documents),
+    typed AS (SELECT run, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT)
+        || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+      FROM (SELECT run, {_crc32("doc_id::VARCHAR || ':' || run")} AS h FROM runs
+            WHERE length(run) >= 6)),
+    words AS (SELECT word, count(*) AS n FROM typed WHERE length(word) >= 6 GROUP BY word
+      HAVING count(*) >= 5),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+    cut AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS k
+      FROM places),
+    masked AS (SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS k
+      FROM places),
+    near AS (
+      SELECT a.word, b.word AS other, b.n AS m FROM masked a JOIN masked b USING (i, k)
+        WHERE a.word <> b.word
+      UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.k
+      UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.k),
+    best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, other)) AS other
+      FROM near GROUP BY word),
+    formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+      FROM words w LEFT JOIN best USING (word)),
+    steps AS (SELECT word, word AS root, form AS next FROM formed UNION ALL
+      SELECT s.word, f.word, f.form FROM steps s JOIN formed f ON f.word = s.next)
+    SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+    FROM formed f JOIN steps s ON s.word = f.word AND s.next IS NULL"""
+
+
 def _any_case(pattern: str) -> str:
     """Letters outside classes and escapes as classes of both cases."""
     out, inside, at = [], False, 0
@@ -235,4 +279,4 @@ def oracle_sql() -> dict[str, str]:
     return {"op1_mixing": _mixing(), "op2_top_k": _top_k(),
             "op3_near_duplicates": _near_duplicates(),
             "op8_url_filters": _reputation(), "op9_warc": _warc(),
-            "op13_secret_scans": _secrets()}
+            "op11_spelling_variants": _spelling(), "op13_secret_scans": _secrets()}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import compression, covertree, language, mixing, neardup, pieces
-from bazaarlake.llm import reputation, secret_scan, shards, warc, wrappers
+from bazaarlake.llm import alignment, compression, covertree, language, mixing, neardup, pieces
+from bazaarlake.llm import reputation, secret_scan, shards, spelling, warc, wrappers
 
 SHARDS = 16
 # Target weights of the mix; sources have equal weights.
@@ -24,10 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def source_domain() -> Column:
@@ -118,6 +118,27 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         docs, "text", whole_bands=whole, chunk_bands=chunks, keep=["doc_id"])
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+
+    def typed(run):
+        """One of 199 runs, by its hash, without one of its code points."""
+        id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        h = F.crc32(F.concat(id_text, F.lit(":"), run).cast("binary"))
+        at = (h % F.length(run)).cast("int")
+        return F.when(h % 199 == 0, spelling.drop_code_point(run, at)).otherwise(run)
+
+    # Runs of fewer letters cannot give a word of six.
+    words = spelling.word_counts(docs, "text", "[A-Za-z\u00C0-\u00FF]{6,}", typed)
+    return spelling.spelling_variants(words, ratio=5, least_length=6, least_count=5)
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return alignment.align_tokenizers(
+        docs, "text", tokenizer_path("byte_bpe_50k.json"), tokenizer_path(), keep=["doc_id"])
+
+
 def op13_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secret_scan.scan_secrets(docs, "text", keep=["doc_id"])
