@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 # Where a row stood in its feed. Orders duplicates; never part of an output table.
 FEED_POSITION = "feed_position"
+# How many rows of a key a builder merged into one.
+FEED_COPIES = "feed_copies"
 
 _SEPARATORS = re.compile("[^0-9A-Za-z]+")
 _HUMP = re.compile("(?<=[0-9a-z])(?=[A-Z])")

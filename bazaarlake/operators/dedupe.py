@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions.columns import conform
-from bazaarlake.functions.names import FEED_POSITION
+from bazaarlake.functions.names import FEED_COPIES, FEED_POSITION
 
 log = logging.getLogger(__name__)
 
@@ -47,6 +47,19 @@ def keep_first(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def keep_first_counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keep_first`` with ``FEED_COPIES``, the number of rows that the key had.
+
+    The first row and the count are one aggregate, merged map-side, so removal and count
+    take one exchange, and a hot key sends one row per map task.
+    """
+    placed = with_position(df)
+    row = F.struct(*[F.col(f"`{c}`") for c in placed.columns])
+    found = placed.groupBy(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
+        F.min_by(row, FEED_POSITION).alias("_row"), F.count(F.lit(1)).alias(FEED_COPIES))
+    return found.select("_row.*", FEED_COPIES)
+
+
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     pairs = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
     return reduce(lambda a, b: a & b, pairs)
@@ -104,11 +117,13 @@ def combine_frames(
     frames: Sequence[DataFrame],
     schema: T.StructType | None = None,
     dedupe_on: Sequence[str] | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """UNION ALL BY NAME; on a shared key the earlier frame wins.
 
     The rank of the frame leads the feed position, so the outcome does not
     depend on how the union is partitioned. Without ``schema`` all columns stay.
+    ``counted`` adds ``FEED_COPIES`` where duplicates leave.
     """
     placed = [with_position(frame) for frame in frames]
     types = [frame.schema[FEED_POSITION].dataType.simpleString() for frame in placed]
@@ -126,5 +141,6 @@ def combine_frames(
         if missing:
             log.warning("columns %s not found; no duplicates removed", missing)
         else:
-            rows = keep_first(rows, dedupe_on)
-    return rows if schema is None else conform(rows, schema, keep=[FEED_POSITION])
+            rows = keep_first_counted(rows, dedupe_on) if counted else keep_first(rows, dedupe_on)
+    kept = [c for c in (FEED_POSITION, FEED_COPIES) if c in rows.columns]
+    return rows if schema is None else conform(rows, schema, keep=kept)

@@ -1,8 +1,7 @@
 """Data-quality profiles in long form: (table_name, column_name, metric, value).
 
-All counts are exact. Quantiles are found by narrowing money values down in
-three steps of a million (see ``quantiles``), so no task ever holds the values
-of a column, whatever their number.
+All counts and quartiles are exact (see ``quantiles``). A table's report is one aggregate
+over its rows, besides the passes that find quartiles.
 """
 
 from __future__ import annotations
@@ -12,14 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.names import FEED_POSITION
+from bazaarlake.functions.names import FEED_COPIES, FEED_POSITION
 from bazaarlake.operators.dedupe import check_duplicates
+from bazaarlake.operators.quantiles import exact_quantiles, number
 
-_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-_STEPS = (10**12, 10**6, 1)
+_REPORT = ("table_name", "section", "column_name", "metric", "value")
 
 
 @dataclass(frozen=True)
@@ -61,28 +60,69 @@ def quality_rules(min_date: str | None = None, max_date: str | None = None) -> d
     }
 
 
-def _by_column(df: DataFrame, columns: Sequence[str], metrics: dict[str, str]) -> DataFrame:
-    """One wide aggregate to one row per column: ``metrics`` maps name to SQL over ``{c}``."""
-    wide = df.agg(*[
-        F.expr(sql.format(c=f"`{c}`")).alias(f"{c}.{name}")
-        for c in columns for name, sql in metrics.items()
-    ])
-    rows = [
-        F.struct(F.lit(c).alias("column_name"),
-                 *[F.col(f"`{c}.{name}`").alias(name) for name in metrics])
-        for c in columns
-    ]
+# Aggregates by metric name; a profile has such a set per column.
+Metrics = dict[str, Column]
+
+
+def _null_metrics(column: str) -> Metrics:
+    return {"null_count": F.count_if(F.col(f"`{column}`").isNull())}
+
+
+def _date_metrics(column: str, min_date: str | None, max_date: str | None,
+                  allow_future_dates: bool, now: dt.datetime | str | None) -> Metrics:
+    value = F.col(f"`{column}`").cast("timestamp")
+    upper = F.lit(str(max_date or now)).cast("timestamp") if max_date or now else (
+        F.current_timestamp())
+    above = F.count_if(value > upper)
+    none = F.count_if(F.lit(False))
+    return {
+        "min_date": F.min(value), "max_date": F.max(value),
+        "future_dates": none if allow_future_dates else above,
+        "below_min_date": F.count_if(
+            value < F.lit(str(min_date)).cast("timestamp")) if min_date else none,
+        "above_max_date": above,
+    }
+
+
+def _amount_metrics(column: str, quartiles: list[float] | None) -> Metrics:
+    value, known = number(column), F.count(number(column))
+    low, median, high = quartiles or (None, None, None)
+    outside = F.lit(False)
+    if quartiles:
+        reach = (high - low) * 1.5
+        outside = (value < low - reach) | (value > high + reach)
+    return {
+        "negative_count": F.count_if(value < 0),
+        "outlier_count": F.count_if(outside),
+        "mean": F.avg(value),
+        "median": F.max(F.lit(median).cast("double")),
+        "std_dev": F.when(known > 1, F.stddev_samp(value)).when(known == 1, F.lit(0.0)),
+        "min": F.min(value), "max": F.max(value),
+    }
+
+
+def _by_column(df: DataFrame, metrics: dict[str, Metrics]) -> DataFrame:
+    """One row per column, all aggregates taken in one pass."""
+    wide = df.agg(*[agg.alias(f"{c}.{m}") for c, found in metrics.items()
+                    for m, agg in found.items()])
+    rows = [F.struct(F.lit(c).alias("column_name"),
+                     *[F.col(f"`{c}.{m}`").alias(m) for m in found])
+            for c, found in metrics.items()]
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _checked_columns(df: DataFrame, critical_columns: Sequence[str]) -> list[str]:
+    if critical_columns:
+        return [c for c in critical_columns if c in df.columns]
+    return [c for c in df.columns if c not in (FEED_POSITION, FEED_COPIES)]
+
+
 def null_counts(df: DataFrame, critical_columns: Sequence[str] = ()) -> DataFrame:
     """Columns that hold nulls and how many; all columns when none are named."""
-    wanted = [c for c in critical_columns if c in df.columns] if critical_columns else [
-        c for c in df.columns if c != FEED_POSITION]
+    wanted = _checked_columns(df, critical_columns)
     if not wanted:
         return df.sparkSession.createDataFrame([], "column_name string, null_count bigint")
-    counts = _by_column(df, wanted, {"null_count": "count_if({c} is null)"})
-    return counts.filter(F.col("null_count") > 0)
+    return _by_column(df, {c: _null_metrics(c) for c in wanted}).filter(F.col("null_count") > 0)
 
 
 def date_range_profile(
@@ -98,158 +138,37 @@ def date_range_profile(
     The upper bound is ``max_date``, or ``now``; ``future_dates`` counts what
     lies above it, also when it is in the past.
     """
-    wanted = [c for c in date_columns if c in df.columns]
-
-    def stamp(value: object) -> str:
-        return f"cast('{value}' as timestamp)"
-
-    upper = stamp(max_date or now) if (max_date or now) else "current_timestamp()"
-    above = f"count_if(cast({{c}} as timestamp) > {upper})"
-    below = f"count_if(cast({{c}} as timestamp) < {stamp(min_date)})" if min_date else (
-        "count_if({c} is null and {c} is not null)")
-    return _by_column(df, wanted, {
-        "min_date": "min(cast({c} as timestamp))",
-        "max_date": "max(cast({c} as timestamp))",
-        "future_dates": "count_if(false)" if allow_future_dates else above,
-        "below_min_date": below,
-        "above_max_date": above,
-    })
+    return _by_column(df, {c: _date_metrics(c, min_date, max_date, allow_future_dates, now)
+                           for c in date_columns if c in df.columns})
 
 
-def _distinct_amounts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(c, cents, copies): each value of the c-th column once, counted map-side.
-
-    Everything below reads this one exchange again, so the table is read once.
-    """
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("c"),
-                 (F.col(name).try_cast("decimal(18,2)") * 100).cast("bigint").alias("cents"))
-        for c, name in enumerate(columns)
-    ])
-    rows = df.select(F.explode(pairs).alias("r")).select("r.*")
-    # Not nullable on purpose: no reader adds its own null filter, all share the exchange.
-    known = rows.filter(F.col("cents").isNotNull()).select(
-        "c", F.coalesce("cents", F.lit(0)).alias("cents"))
-    return known.groupBy("c", "cents").agg(F.count(F.lit(1)).alias("copies"))
-
-
-def _blocks_of(size: int) -> Column:
-    return F.coalesce(F.expr(f"cents div {size}"), F.lit(0))
-
-
-def _coarse_blocks(amounts: DataFrame) -> DataFrame:
-    """Counts and sums per block of the coarsest step; two million blocks at most."""
-    total = F.col("cents").cast("decimal(19,0)") * F.col("copies").cast("decimal(19,0)")
-    return amounts.groupBy("c", _blocks_of(_STEPS[0]).alias("next")).agg(
-        F.sum("copies").alias("copies"),
-        F.sum(total).alias("total"),
-        F.sum(F.when(F.col("cents") < 0, F.col("copies")).otherwise(0)).alias("negative"),
-        F.min("cents").alias("min"),
-        F.max("cents").alias("max"),
-    )
-
-
-def _wanted_ranks(counts: DataFrame) -> DataFrame:
-    """(c, block, asked): the ranks around each quartile, all in one block."""
-    asked = ", ".join(
-        f"named_struct('quartile', '{name}', 'end', '{end}', "
-        f"'part', {p}D * (n - 1) - floor({p}D * (n - 1)), 'rank', {side}({p}D * (n - 1)))"
-        for name, p in _QUARTILES.items() for end, side in (("low", "floor"), ("high", "ceil"))
-    )
-    return counts.selectExpr("c", "0L as block", f"array({asked}) as asked")
-
-
-def quantiles(amounts: DataFrame, coarse: DataFrame, counts: DataFrame) -> DataFrame:
-    """Exact quartiles with linear interpolation: (c, q1, median, q3).
-
-    ``amounts`` holds each distinct value with its copies, ``coarse`` its coarsest
-    blocks, ``counts`` the number ``n`` of values per column. A wanted rank is
-    located first among blocks of 10**12 cents, then among blocks of 10**6
-    inside that block, then among single values. Money of 18 digits has at most
-    two million blocks per step, so each numbering window is bounded, whatever
-    the data holds.
-    """
-    wanted, outer, keys = _wanted_ranks(counts), None, ["c", "block"]
-    for step in _STEPS:
-        # Six ranks per profiled column, whatever the rows: a fixed bound for broadcasting.
-        few = F.broadcast(wanted)
-        if outer is None:
-            sums = coarse.select("c", F.lit(0).cast("bigint").alias("block"), "next", "copies")
-        else:
-            parts = amounts.select(
-                "c", _blocks_of(outer).alias("block"), _blocks_of(step).alias("next"), "copies")
-            # Keys alone go with the many rows; the ranks join the few sums below.
-            inside = parts.join(F.broadcast(wanted.select(*keys)), keys)
-            sums = inside.groupBy(*keys, "next").agg(F.sum("copies").alias("copies"))
-        order = Window.partitionBy(*keys).orderBy("next")
-        until = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0))
-        placed = sums.withColumn("before", until - F.col("copies")).join(few, keys)
-        inside = "filter(asked, t -> t.rank >= before and t.rank < before + copies)"
-        moved = (f"transform({inside}, t -> named_struct('quartile', t.quartile, 'end', t.end, "
-                 "'part', t.part, 'rank', t.rank - before))")
-        wanted = placed.filter(f"size({inside}) > 0").selectExpr(
-            "c", "next as block", f"{moved} as asked")
-        outer = step
-    found = wanted.selectExpr("c", "block / 100 as value", "inline(asked)")
-
-    def pick(quartile: str) -> str:
-        low, high = (
-            f"max(value) filter (where quartile = '{quartile}' and end = '{end}')"
-            for end in ("low", "high"))
-        part = f"max(part) filter (where quartile = '{quartile}')"
-        return f"{low} + ({high} - {low}) * {part}"
-
-    return found.groupBy("c").agg(*[F.expr(pick(q)).alias(q) for q in _QUARTILES])
+def _quartiles(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float] | None]:
+    return exact_quantiles(df, columns, (0.25, 0.5, 0.75))
 
 
 def amount_profile(df: DataFrame, amount_columns: Sequence[str]) -> DataFrame:
-    """Per amount column: negatives, outliers beyond 1.5 quartile ranges, mean, spread."""
-    wanted = [c for c in amount_columns if c in df.columns]
-    amounts = _distinct_amounts(df, wanted)
-    coarse = _coarse_blocks(amounts)
-    stats = coarse.groupBy("c").agg(
-        F.sum("copies").alias("n"),
-        (F.sum("total").cast("double") / F.sum("copies") / 100).alias("mean"),
-        F.sum("negative").alias("negative_count"),
-        (F.min("min") / 100).alias("min"),
-        (F.max("max") / 100).alias("max"),
-    )
-    known = stats.join(quantiles(amounts, coarse, stats.select("c", "n")), "c")
-    copies, value = F.col("copies"), F.col("cents") / 100
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    outside = (value < F.col("q1") - reach) | (value > F.col("q3") + reach)
-    # One row of statistics per profiled column: as small as the table is wide.
-    few = F.broadcast(known)
-    profiled = amounts.join(few, "c").groupBy(*known.columns).agg(
-        F.sum(F.when(outside, copies).otherwise(0)).alias("outlier_count"),
-        F.sum(copies * F.pow(value - F.col("mean"), 2)).alias("squares"),
-    )
-    spread = F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1))).otherwise(
-        F.when(F.col("n") == 1, 0.0))
-    names = F.array(*[F.lit(c) for c in wanted])
-    every = df.sparkSession.range(1).select(F.posexplode(names).alias("c", "column_name"))
-    return every.join(profiled, "c", "left").select(
-        "column_name",
-        F.coalesce("negative_count", F.lit(0)).alias("negative_count"),
-        F.coalesce("outlier_count", F.lit(0)).alias("outlier_count"),
-        "mean", "median", spread.alias("std_dev"), "min", "max",
-    )
+    """Per amount column: negatives, outliers beyond 1.5 quartile ranges, mean, spread.
 
-
-_REPORT = ("table_name", "section", "column_name", "metric", "value")
+    Amounts are compared as doubles. The quartiles are found at once, by a few jobs whose
+    results are as small as the list of columns; the rest is one aggregate.
+    """
+    wanted = [c for c in amount_columns if c in df.columns]
+    quartiles = _quartiles(df, wanted)
+    return _by_column(df, {c: _amount_metrics(c, quartiles[c]) for c in wanted})
 
 
-def _melt(profile: DataFrame, table: str, section: str) -> DataFrame:
-    metrics = [c for c in profile.columns if c != "column_name"]
-    pairs = F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value"))
-        for m in metrics
-    ])
-    name: Column = F.col("column_name") if "column_name" in profile.columns else F.lit(None)
-    return profile.select(
+def _long(df: DataFrame, table: str, cells: dict[tuple[str, str | None], Metrics]) -> DataFrame:
+    """All aggregates of one pass as (table_name, section, column_name, metric, value)."""
+    named = {(*place, metric): agg for place, found in cells.items()
+             for metric, agg in found.items()}
+    wide = df.agg(*[agg.alias(f"m{i}") for i, agg in enumerate(named.values())])
+    rows = [F.struct(
         F.lit(table).alias("table_name"), F.lit(section).alias("section"),
-        name.cast("string").alias("column_name"), F.explode(pairs).alias("p"),
-    ).select("table_name", "section", "column_name", "p.metric", "p.value")
+        F.lit(column).cast("string").alias("column_name"), F.lit(metric).alias("metric"),
+        F.col(f"m{i}").cast("string").alias("value"))
+        for i, (section, column, metric) in enumerate(named)]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter(
+        (F.col("section") != "nulls") | (F.col("value") != "0"))
 
 
 def data_quality_check(
@@ -260,25 +179,41 @@ def data_quality_check(
     duplicate_flag_column: str | None = None,
     now: dt.datetime | str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, report). Nulls are counted before, dates and amounts after duplicates leave."""
-    rows, duplicates = check_duplicates(
-        df, rules.duplicate_subset or None, remove_duplicates, duplicate_flag_column
-    )
-    rows = rows.drop(FEED_POSITION)
-    shape = rows.agg(F.count(F.lit(1)).alias("row_count")).withColumn(
-        "column_count", F.lit(len(rows.columns)))
-    parts = [
-        _melt(shape, table_name, "shape"),
-        _melt(null_counts(df, rules.critical_columns), table_name, "nulls"),
-        _melt(duplicates, table_name, "duplicates"),
-    ]
-    if any(c in rows.columns for c in rules.date_columns):
-        profile = date_range_profile(rows, rules.date_columns, rules.min_date, rules.max_date,
-                                     rules.allow_future_dates, now)
-        parts.append(_melt(profile, table_name, "dates"))
-    if any(c in rows.columns for c in rules.amount_columns):
-        parts.append(_melt(amount_profile(rows, rules.amount_columns), table_name, "amounts"))
-    return rows, reduce(DataFrame.unionByName, parts)
+    """(rows, report). Nulls are counted before, dates and amounts after duplicates leave.
+
+    The report is one aggregate over the rows (one more over the input where duplicates
+    leave here), besides the passes that find quartiles. Rows that carry ``FEED_COPIES`` tell
+    the duplicates their builder merged; else, where none leave here, keys are counted.
+    """
+    keys = rules.duplicate_subset or None
+    rows, counted = check_duplicates(df, keys, remove_duplicates, duplicate_flag_column)
+    shown = [c for c in rows.columns if c not in (FEED_POSITION, FEED_COPIES)]
+    dates = [c for c in rules.date_columns if c in shown]
+    amounts = [c for c in rules.amount_columns if c in shown]
+    quartiles = _quartiles(rows, amounts)
+    nulls = {("nulls", c): _null_metrics(c) for c in _checked_columns(df, rules.critical_columns)}
+    all_rows = F.count(F.lit(1))
+    cells = {
+        ("shape", None): {"row_count": all_rows,
+                          "column_count": all_rows * 0 + len(shown)},
+        **{("dates", c): _date_metrics(c, rules.min_date, rules.max_date,
+                                       rules.allow_future_dates, now) for c in dates},
+        **{("amounts", c): _amount_metrics(c, quartiles[c]) for c in amounts},
+    }
+    duplicates = ("duplicates", None)
+    if remove_duplicates:
+        before = _long(df, table_name, {**nulls, duplicates: {"duplicate_count": all_rows}})
+        after = _long(rows, table_name, {**cells, duplicates: {"duplicate_count": -all_rows}})
+        left = F.when(F.col("metric") == "duplicate_count", F.sum(
+            F.col("value").try_cast("long")).cast("string")).otherwise(F.max("value"))
+        report = before.unionByName(after).groupBy(*_REPORT[:-1]).agg(left.alias("value"))
+    elif FEED_COPIES in df.columns:
+        merged = F.coalesce(F.sum(F.col(FEED_COPIES) - 1), F.lit(0))
+        report = _long(df, table_name, {**cells, **nulls, duplicates: {"duplicate_count": merged}})
+    else:
+        report = _long(df, table_name, {**cells, **nulls}).unionByName(
+            _long(counted, table_name, {duplicates: {"duplicate_count": F.max("duplicate_count")}}))
+    return rows.select(*shown), report
 
 
 def negative_amounts(report: DataFrame) -> DataFrame:

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from bazaarlake import fixed_values as fixed
 from bazaarlake.functions.columns import conform
 from bazaarlake.functions.names import FEED_POSITION, standardize_names
-from bazaarlake.operators.dedupe import combine_frames, keep_first, with_position
+from bazaarlake.operators.dedupe import (
+    combine_frames,
+    keep_first,
+    keep_first_counted,
+    with_position,
+)
 from bazaarlake.plans.facts import Field
 from bazaarlake.schemas import FACT_DATES, TABLES
 
@@ -63,27 +68,28 @@ _STAFF_FIELDS = (
 )
 
 
-def _dimension(raw: DataFrame, table: str, fields: tuple[Field, ...]) -> DataFrame:
+def _dimension(raw: DataFrame, table: str, fields: tuple[Field, ...], counted: bool) -> DataFrame:
     spec = TABLES[table]
     df = with_position(standardize_names(raw))
     rows = df.selectExpr(*[f.read(df) for f in fields], FEED_POSITION)
-    return keep_first(conform(rows, spec.schema, keep=[FEED_POSITION]), [spec.key])
+    keep = keep_first_counted if counted else keep_first
+    return keep(conform(rows, spec.schema, keep=[FEED_POSITION]), [spec.key])
 
 
-def dim_customers(raw: DataFrame) -> DataFrame:
-    return _dimension(raw, "dim_customers", _CUSTOMER_FIELDS)
+def dim_customers(raw: DataFrame, counted: bool = False) -> DataFrame:
+    return _dimension(raw, "dim_customers", _CUSTOMER_FIELDS, counted)
 
 
-def dim_products(raw: DataFrame) -> DataFrame:
-    return _dimension(raw, "dim_products", _PRODUCT_FIELDS)
+def dim_products(raw: DataFrame, counted: bool = False) -> DataFrame:
+    return _dimension(raw, "dim_products", _PRODUCT_FIELDS, counted)
 
 
-def dim_locations(raw: DataFrame) -> DataFrame:
-    return _dimension(raw, "dim_locations", _LOCATION_FIELDS)
+def dim_locations(raw: DataFrame, counted: bool = False) -> DataFrame:
+    return _dimension(raw, "dim_locations", _LOCATION_FIELDS, counted)
 
 
-def dim_staff(raw: DataFrame) -> DataFrame:
-    return _dimension(raw, "dim_staff", _STAFF_FIELDS)
+def dim_staff(raw: DataFrame, counted: bool = False) -> DataFrame:
+    return _dimension(raw, "dim_staff", _STAFF_FIELDS, counted)
 
 
 def locations_from_orders(raw: DataFrame) -> DataFrame:
@@ -238,14 +244,18 @@ def build_dimensions(
     end: object = None,
     holidays: list[object] | None = None,
     schema: str | None = None,
+    counted: bool = False,
 ) -> dict[str, DataFrame]:
-    """The four dimensions; the calendar needs the facts for its range."""
+    """The four dimensions; the calendar needs the facts for its range.
+
+    ``counted`` adds ``FEED_COPIES`` to those that remove duplicates.
+    """
     spark = raw["customers"].sparkSession
     low, high = calendar_bounds(spark, facts, start, end, schema)
     places = all_locations(raw["sapo_locations"], raw["online_orders"])
     return {
-        "dim_customers": dim_customers(raw["customers"]).drop(FEED_POSITION),
-        "dim_products": dim_products(raw["products"]).drop(FEED_POSITION),
-        "dim_locations": dim_locations(places).drop(FEED_POSITION),
+        "dim_customers": dim_customers(raw["customers"], counted).drop(FEED_POSITION),
+        "dim_products": dim_products(raw["products"], counted).drop(FEED_POSITION),
+        "dim_locations": dim_locations(places, counted).drop(FEED_POSITION),
         "dim_date": dim_date(spark, low, high, holidays),
     }

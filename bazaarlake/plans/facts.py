@@ -24,7 +24,12 @@ from bazaarlake.functions.columns import (
 )
 from bazaarlake.functions.keys import joined_sql, surrogate_key
 from bazaarlake.functions.names import FEED_POSITION, standardize_names
-from bazaarlake.operators.dedupe import combine_frames, keep_first, with_position
+from bazaarlake.operators.dedupe import (
+    combine_frames,
+    keep_first,
+    keep_first_counted,
+    with_position,
+)
 from bazaarlake.operators.explode import explode_items
 from bazaarlake.schemas import TABLES
 
@@ -197,40 +202,49 @@ def fact_cart_events(raw: DataFrame, unique: bool = True) -> DataFrame:
     return _finish(rows, "fact_cart_events", "event_timestamp", key, unique)
 
 
-def _union(table: str, frames: list[DataFrame]) -> DataFrame:
+def _union(table: str, frames: list[DataFrame], counted: bool) -> DataFrame:
     spec = TABLES[table]
-    return combine_frames(frames, spec.schema, dedupe_on=[spec.key])
+    return combine_frames(frames, spec.schema, [spec.key], counted)
 
 
-def combine_orders(raw: dict[str, DataFrame]) -> DataFrame:
+def combine_orders(raw: dict[str, DataFrame], counted: bool = False) -> DataFrame:
     """All order channels; ids shared between channels go to the earlier channel."""
     return _union("fact_orders", [
         fact_orders(raw[feed], channel, source, unique=False)
         for feed, (channel, source) in fixed.ORDER_CHANNELS.items()
-    ])
+    ], counted)
 
 
-def combine_order_items(raw: dict[str, DataFrame]) -> DataFrame:
+def combine_order_items(raw: dict[str, DataFrame], counted: bool = False) -> DataFrame:
     return _union("fact_order_items", [
         fact_order_items(raw[feed], unique=False) for feed in fixed.ORDER_CHANNELS
-    ])
+    ], counted)
 
 
-def combine_payments(payments: dict[str, DataFrame]) -> DataFrame:
+def combine_payments(payments: dict[str, DataFrame], counted: bool = False) -> DataFrame:
     return _union("fact_payments", [
         fact_payments(payments[gateway], gateway, unique=False)
         for gateway in fixed.PAYMENT_GATEWAYS if gateway in payments
-    ])
+    ], counted)
+
+
+def build_facts(raw: dict[str, object], counted: bool = False) -> dict[str, DataFrame]:
+    """The five facts from the raw sources, each with its duplicates removed once.
 
+    ``counted`` adds ``FEED_COPIES`` to each, for the report on duplicates.
+    """
+    def single(build, table: str, feed: str) -> DataFrame:
+        if not counted:
+            return build(raw[feed])
+        return keep_first_counted(build(raw[feed], unique=False), [TABLES[table].key])
 
-def build_facts(raw: dict[str, object]) -> dict[str, DataFrame]:
-    """The five facts from the raw sources, each with its duplicates removed once."""
     builders = {
-        "fact_orders": partial(combine_orders, raw),
-        "fact_order_items": partial(combine_order_items, raw),
-        "fact_payments": partial(combine_payments, raw["payments_by_gateway"]),
-        "fact_cart_events": partial(fact_cart_events, raw["cart_events"]),
-        "fact_bank_transactions": partial(fact_bank_transactions, raw["bank_transactions"]),
+        "fact_orders": partial(combine_orders, raw, counted),
+        "fact_order_items": partial(combine_order_items, raw, counted),
+        "fact_payments": partial(combine_payments, raw["payments_by_gateway"], counted),
+        "fact_cart_events": partial(single, fact_cart_events, "fact_cart_events", "cart_events"),
+        "fact_bank_transactions": partial(
+            single, fact_bank_transactions, "fact_bank_transactions", "bank_transactions"),
     }
     return {name: build().drop(FEED_POSITION) for name, build in builders.items()}
 

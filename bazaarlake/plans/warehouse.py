@@ -72,15 +72,18 @@ def _load(spark, root, schema, start_date, end_date, holidays, mode, now, folder
     feeds = _report_feeds(spark, root, {**raw, **{f"payments.{g}": df
                                                   for g, df in payments.items()}})
     raw["payments_by_gateway"] = payments
-    facts = {n: write_and_read(df, n, folder) for n, df in build_facts(raw).items()}
+    facts = {n: write_and_read(df, n, folder)
+             for n, df in build_facts(raw, counted=True).items()}
     dims = {
         n: write_and_read(df, n, folder)
-        for n, df in build_dimensions(raw, facts, start_date, end_date, holidays, schema).items()
+        for n, df in build_dimensions(raw, facts, start_date, end_date, holidays, schema,
+                                      counted=True).items()
     }
-    # The builders removed duplicates already: the checks only report on the written rows.
+    # The builders removed duplicates, and rows say how many: the checks only report.
     checked = run_quality_checks(
         {**dims, **facts}, start_date, end_date, now, remove_duplicates=False
     )
+    dims, facts = ({n: checked.tables[n] for n in made} for made in (dims, facts))
     summary = load_dimensions(dims, schema, mode, day_folders)
     summary |= load_facts(facts, schema, mode, day_folders)
     ready = summary["dim_customers"] and summary["fact_orders"]

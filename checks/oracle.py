@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from bazaarlake.operators.quality import quality_rules
 from bazaarlake.schemas import TABLES
 
 AS_OF = "2026-06-01"
@@ -374,7 +375,7 @@ def _amounts(table: str, column: str) -> str:
 
 
 def _report(table: str, columns: int, critical: tuple[str, ...], date: str | None,
-            amounts: tuple[str, ...]) -> list[str]:
+            amounts: tuple[str, ...], merged: str) -> list[str]:
     def row(section: str, column: str, metric: str, number: str, text: str, source: str) -> str:
         return (f"SELECT '{table}' AS table_name, '{section}' AS section, "
                 f"{column} AS column_name, '{metric}' AS metric, ({number})::DOUBLE AS number, "
@@ -384,7 +385,7 @@ def _report(table: str, columns: int, critical: tuple[str, ...], date: str | Non
     rows = [
         row("shape", no, "row_count", "count(*)", no, table),
         row("shape", no, "column_count", str(columns), no, "(SELECT 1)"),
-        row("duplicates", no, "duplicate_count", "0", no, "(SELECT 1)"),
+        row("duplicates", no, "duplicate_count", merged, no, "(SELECT 1)"),
     ]
     rows += [
         row("nulls", f"'{c}'", "null_count", "n", no,
@@ -410,15 +411,19 @@ def _report(table: str, columns: int, critical: tuple[str, ...], date: str | Non
     return rows
 
 
+_LINES = "(SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+# Raw rows beyond the first of a key, where feeds have any.
+_MERGED_ROWS = {
+    "fact_orders": _LINES,
+    "fact_order_items": f"{_LINES} - (SELECT count(*) FROM fact_order_items)",
+    "dim_locations": """(SELECT count(*) FROM sapo_locations) + (SELECT count(*) FROM raw_orders
+        WHERE k % 3 = 2 AND k % 4 <> 0) + (SELECT count(*) FROM lineitem JOIN raw_orders ON
+        l_orderkey = k WHERE k % 3 = 2 AND k % 4 <> 0) - (SELECT count(*) FROM dim_locations)""",
+}
 QUALITY_REPORT = "\nUNION ALL\n".join(
-    _report("fact_orders", 14, ("order_key", "order_id"), "order_date",
-            ("total_vnd", "total_usd"))
-    + _report("fact_payments", 10, ("payment_key", "transaction_id"), "payment_date",
-              ("amount_vnd",))
-    + _report("fact_bank_transactions", 8, ("transaction_key", "transaction_id"),
-              "transaction_date", ("amount_vnd",))
-    + _report("dim_customers", 12, ("customer_id", "email"), None, ())
-)
+    row for name, rules in quality_rules().items() for row in _report(
+        name, len(TABLES[name].schema), rules.critical_columns, *(rules.date_columns or (None,)),
+        rules.amount_columns, _MERGED_ROWS.get(name, "0")))
 
 
 def _counts(*tables: str) -> str:
@@ -556,6 +561,13 @@ SQL = {
                                           _amounts("fact_orders", "total_usd"))),
     "amount_profile_items": " UNION ALL ".join((_amounts("fact_order_items", "unit_price_vnd"),
                                                 _amounts("fact_order_items", "line_total_vnd"))),
+    "amount_profile_doubles": " UNION ALL ".join(
+        f"""SELECT column_name, negative_count, outlier_count, round(mean / {unit}, 4) AS mean,
+        round(median / {unit}, 4) AS median, round(std_dev / {unit}, 4) AS std_dev,
+        min / {unit} AS min, max / {unit} AS max FROM ({_amounts(f"(SELECT {value} AS {name} "
+        "FROM lineitem)", name)})""" for name, value, unit in (
+            ("thousandths", "l_extendedprice / 1000::DOUBLE - 20", "1"),
+            ("huge", "l_extendedprice * 1e13::DOUBLE", "1e13::DOUBLE"))),
     "quality_report": QUALITY_REPORT,
     # aggregates, windows, joins
     "purchase_summary": _table("purchases", ("total_revenue_vnd",)),

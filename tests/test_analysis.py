@@ -7,8 +7,9 @@ from decimal import Decimal
 
 import pytest
 from frames import rows, when
+from pyspark.sql import functions as F
 
-from bazaarlake.operators import quality
+from bazaarlake.operators import dedupe, quality, quantiles
 from bazaarlake.operators.touchpoints import ordered_touchpoints, touchpoint_sequence
 from bazaarlake.operators.upsert import customer_aggregates, matched_customers
 from bazaarlake.plans import finance, journey, views
@@ -229,6 +230,73 @@ def test_quartiles_agree_with_brute_force(spark, scale):
     assert out.mean == pytest.approx(statistics.fmean(values))
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_quantiles_of_doubles(spark, seed):
+    """Thousandths, negatives, zeros, powers of two and their neighbours, and huge values."""
+    import math
+
+    pick = random.Random(seed)
+    kinds = [lambda: round(pick.uniform(-50, 50), 3), lambda: pick.choice([-1, 1]) * 10.0 ** 18
+             + pick.randint(0, 10**6) * 1000, lambda: 0.0,
+             lambda: math.nextafter(2.0 ** pick.randint(-60, 60), pick.choice([0, math.inf])),
+             lambda: 2.0 ** pick.randint(-60, 60), lambda: pick.uniform(1, 1 + 1e-12),
+             lambda: pick.choice([5e-324, -5e-324, 1.7976931348623157e308, 2.2e-308])]
+    used = kinds if seed < 3 else [kinds[seed - 3]] * 2
+    values = [pick.choice(used)() for _ in range(pick.choice([1, 2, 57, 400]))]
+    rows_ = [(v,) for v in values] + [(None,), (float("nan"),), (float("inf"),)]
+    df = spark.createDataFrame(rows_, "`v x` double").repartition(3)
+    ordered, shares = sorted(values), (0.0, 0.25, 0.5, 0.9, 1.0)
+    want = []
+    for share in shares:
+        at = share * (len(ordered) - 1)
+        low, high = ordered[math.floor(at)], ordered[math.ceil(at)]
+        want.append(low + (high - low) * (at - math.floor(at)))
+    assert quantiles.exact_quantiles(df, ["v x"], shares) == {"v x": want}
+
+
+def test_images_keep_the_order(spark):
+    import math
+
+    values = sorted({s * v for k in range(-1074, 1024) for s in (-1, 1) for v in
+                     (2.0 ** k, math.nextafter(2.0 ** k, 0), math.nextafter(2.0 ** k, math.inf),
+                      1.5 * 2.0 ** k)} | {0.0, 1.7976931348623157e308})
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    images = [r.i for r in df.select("v", quantiles.order_image(F.col("v")).alias("i")).orderBy(
+        "v").collect()]
+    assert images == sorted(images) and len(set(images)) > 10_000
+
+
+def test_quantiles_shuffle_bins_only(spark):
+    """The exchange carries bins: a row of counts each, however many rows there are."""
+    df = spark.range(200_000).selectExpr("id / 7 AS v")
+    assert quantiles.exact_quantiles(df, ["v"], (0.5,)) == {"v": [pytest.approx(199_999 / 14)]}
+    bins = quantiles._bins(df, [quantiles._cell(
+        0, quantiles.order_image(quantiles.number("v")), quantiles.number("v"))])
+    assert bins.count() < 20_000
+    plan = bins._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
+
+
+def test_report_takes_one_scan(spark, tmp_path):
+    """Shape, nulls, dates and merged duplicates of saved rows are one aggregate."""
+    path = str(tmp_path / "rows")
+    raw = spark.createDataFrame(
+        [("a", 1, "2026-04-01"), ("a", 2, "2026-04-02"), ("b", None, "2026-04-03"),
+         (None, 4, None), (None, 5, None)], "id string, n long, at string").coalesce(1)
+    dedupe.keep_first_counted(raw, ["id"]).drop("feed_position").write.parquet(path)
+    rules = quality.Rules(("id", "n"), ("id",), ("at",))
+    kept, report = quality.data_quality_check(spark.read.parquet(path), "t", rules,
+                                              remove_duplicates=False)
+    got = {(r.section, r.column_name, r.metric): r.value for r in report.collect()}
+    assert kept.columns == ["id", "n", "at"] and sorted(map(str, rows(kept, "n"))) == [
+        "(1,)", "(4,)", "(None,)"]
+    assert got[("duplicates", None, "duplicate_count")] == "2"
+    assert got[("shape", None, "row_count")] == got[("shape", None, "column_count")] == "3"
+    assert got[("nulls", "id", "null_count")] == got[("nulls", "n", "null_count")] == "1"
+    assert got[("dates", "at", "max_date")].startswith("2026-04-03")
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
 def test_run_quality_checks_passes_rows_on(spark):
     df = spark.createDataFrame([(1, "p"), (1, "q")], "product_id long, product_name string")
     run = quality.run_quality_checks({"dim_products": df.coalesce(1)})
