@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -27,8 +28,8 @@ BYTE_LEVEL = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
               r"|\s+(?!\S)|\s+")
 # Runs of white space on which the fast library's expression engine gives up.
 LONG_SPACE = re.compile(r"\s{10000}")
-# Distinct windows a task remembers (by ids held); then the table starts anew.
-TABLE_IDS = 1_500_000
+# Distinct windows a task remembers; then the table starts anew.
+MOST_WINDOWS = 400_000
 _ADDED = ("n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<int>, "
           "times array<int>")
 
@@ -70,8 +71,10 @@ class ByteTokenizer:
                                        special_tokens={})
         self.spec, self.slow = json.dumps(spec), None
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [self.one(t) for t in texts]
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
+        """Ids of each text and the bytes they spell."""
+        found = [self.one(t) for t in texts]
+        return [(ids, self.model.decode_bytes(ids.tolist())) for ids in found]
 
     def one(self, text: str) -> np.ndarray:
         if len(text) < 10_000 or not LONG_SPACE.search(text):
@@ -99,8 +102,11 @@ class PieceTokenizer:
                 b"" if hidden else bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                 else piece.replace("▁", " ").encode())
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, dtype=np.uint32) for ids in self.model.encode(texts, num_threads=1)]
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
+        """Ids of each text and the bytes they spell."""
+        spelled = self.token_bytes.__getitem__
+        return [(np.array(ids, dtype=np.uint32), b"".join(map(spelled, ids)))
+                for ids in self.model.encode(texts, num_threads=1)]
 
 
 def possible_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
@@ -124,62 +130,68 @@ class Aligner:
     """Groups and links of two token sequences over the same bytes, window by window."""
 
     def __init__(self, a: list[bytes], b: list[bytes]):
-        self.tokens = a, b
-        self.lengths = [np.array(list(map(len, t)), dtype=np.int64) for t in (a, b)]
+        # Windows are kept packed; "H" and "I" are two and four bytes.
+        self.code = "H" if max(len(a), len(b)) <= 1 << 16 else "I"
+        self.sizes = [list(map(len, t)) for t in (a, b)]
+        self.lengths = [np.array(n, dtype=np.int64) for n in self.sizes]
         self.marked = [np.array([x[:1] == b" " for x in t]) for t in (a, b)]
-        self.kind = np.uint16 if max(len(a), len(b)) <= 1 << 16 else np.uint32
+        self.names = list(map(str, range(max(len(a), len(b)))))
         self.table: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
-        self.held = 0
 
     def window(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
         """The groups of a window as text and the codes of the pairs that end together."""
-        a, b = (np.frombuffer(ids, dtype=self.kind).tolist() for ids in key)
-        tokens_a, tokens_b = self.tokens
-        groups, links = [], []
+        a, b = (array(self.code, ids).tolist() for ids in key)
+        (size_a, size_b), names = self.sizes, self.names
+        groups, links = [], array("q")
         i = j = from_a = from_b = 0
-        end_a, end_b = len(tokens_a[a[0]]), len(tokens_b[b[0]])
+        end_a, end_b = size_a[a[0]], size_b[b[0]]
         while True:
             if end_a < end_b:
                 i += 1
-                end_a += len(tokens_a[a[i]])
+                end_a += size_a[a[i]]
             elif end_b < end_a:
                 j += 1
-                end_b += len(tokens_b[b[j]])
+                end_b += size_b[b[j]]
             else:
-                links.append(a[i] * len(tokens_b) + b[j])
+                links.append(a[i] * len(size_b) + b[j])
                 i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[from_a:i])) + "|"
-                              + ",".join(map(str, b[from_b:j])))
+                groups.append(",".join([names[x] for x in a[from_a:i]]) + "|"
+                              + ",".join([names[x] for x in b[from_b:j]]))
                 if i == len(a):
-                    return ";".join(groups), np.array(links, dtype=np.int64).tobytes()
+                    return ";".join(groups), links.tobytes()
                 from_a, from_b = i, j
-                end_a += len(tokens_a[a[i]])
-                end_b += len(tokens_b[b[j]])
+                end_a += size_a[a[i]]
+                end_b += size_b[b[j]]
 
     def windows(self, ids: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         """The id tuples between anchors, which are token starts marked in both sequences."""
-        starts = [np.cumsum(n[x]) - n[x] for n, x in zip(self.lengths, ids)]
-        anchors = np.intersect1d(*[s[m[x]] for s, m, x in zip(starts, self.marked, ids)],
-                                 assume_unique=True)
-        if not len(anchors) or anchors[0]:
-            anchors = np.concatenate([[0], anchors])
+        starts, marks = [], []
+        for n, m, x in zip(self.lengths, self.marked, ids):
+            ends = np.cumsum(n[x])
+            starts.append(ends - n[x])
+            marks.append(np.flatnonzero(m[x]))
+        # Which token of the first sequence starts at a byte with its mark.
+        token_at = np.full(int(ends[-1]) + 1, -1)
+        token_at[starts[0][marks[0]]] = marks[0]
+        first = token_at[starts[1][marks[1]]]
+        size = array(self.code).itemsize
         parts = []
-        for start, side in zip(starts, ids):
-            cuts = [*(np.searchsorted(start, anchors) * self.kind().itemsize).tolist(), None]
-            packed = side.astype(self.kind).tobytes()
-            parts.append([packed[x:y] for x, y in zip(cuts, cuts[1:])])
+        for side, cuts in zip(ids, (first[first > 0], marks[1][first > 0])):
+            packed, cuts = side.astype(self.code).tobytes(), (cuts * size).tolist()
+            parts.append([packed[x:y] for x, y in zip([0, *cuts], [*cuts, None])])
         return list(zip(*parts))
 
     def align(self, ids: list[np.ndarray]) -> tuple[str, np.ndarray]:
-        keys = self.windows(ids)
-        if self.held > TABLE_IDS:
-            self.table, self.held = {}, 0
-        for key in set(keys) - self.table.keys():
-            self.table[key] = self.window(key)
-            self.held += len(key[0]) + len(key[1])
-        found = [self.table[key] for key in keys]
-        return (";".join([text for text, _ in found]),
-                np.frombuffer(b"".join([codes for _, codes in found]), dtype=np.int64))
+        if len(self.table) > MOST_WINDOWS:
+            self.table = {}
+        known, texts, codes = self.table.get, [], []
+        for key in self.windows(ids):
+            found = known(key)
+            if found is None:
+                found = self.table[key] = self.window(key)
+            texts.append(found[0])
+            codes.append(found[1])
+        return ";".join(texts), np.frombuffer(b"".join(codes), dtype=np.int64)
 
 
 def align_texts(df: DataFrame, text: str, byte_path: str, piece_path: str,
@@ -205,10 +217,9 @@ def align_texts(df: DataFrame, text: str, byte_path: str, piece_path: str,
             out = {name: [] for name in
                    ("n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times", "groups")}
             texts = [t or "" for t in texts]
-            for text, *ids in zip(texts, a.encode([" " + t for t in texts]), b.encode(texts)):
-                raw = (" " + text).encode()
-                whole = text and all(b"".join([tokens[i] for i in x.tolist()]) == raw
-                                     for tokens, x in zip(aligner.tokens, ids))
+            for text, *sides in zip(texts, a.encode([" " + t for t in texts]), b.encode(texts)):
+                ids, raw = [x for x, _ in sides], (" " + text).encode()
+                whole = text and all(spelled == raw for _, spelled in sides)
                 groups, links = aligner.align(ids) if whole else ("", nothing)
                 pairs, times = np.unique(links, return_counts=True)
                 out["n_a"].append(len(ids[0]) if whole else 0)
