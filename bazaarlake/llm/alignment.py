@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.llm.batches import quoted, with_text_columns
+from bazaarlake.llm.batches import quoted, runs, with_text_columns
 from bazaarlake.session import write_and_read
 
 # Fixed value: the expression by which byte-level pre-tokenizers cut texts.
@@ -30,6 +30,8 @@ BYTE_LEVEL = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 LONG_SPACE = re.compile(r"\s{10000}")
 # Distinct windows a task remembers; then the table starts anew.
 MOST_WINDOWS = 400_000
+# Characters that are tokenised and aligned at once (or one longer text).
+AT_ONCE = 1_000_000
 _ADDED = ("n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<int>, "
           "times array<int>")
 
@@ -127,71 +129,90 @@ def possible_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
 
 
 class Aligner:
-    """Groups and links of two token sequences over the same bytes, window by window."""
+    """Groups and links of token sequences over the same bytes, window by window."""
 
     def __init__(self, a: list[bytes], b: list[bytes]):
         # Windows are kept packed; "H" and "I" are two and four bytes.
         self.code = "H" if max(len(a), len(b)) <= 1 << 16 else "I"
-        self.sizes = [list(map(len, t)) for t in (a, b)]
-        self.lengths = [np.array(n, dtype=np.int64) for n in self.sizes]
+        self.lengths = [np.array(list(map(len, t)), dtype=np.int64) for t in (a, b)]
         self.marked = [np.array([x[:1] == b" " for x in t]) for t in (a, b)]
-        self.names = list(map(str, range(max(len(a), len(b)))))
+        self.shown = {sign: np.array([f"{i}{sign}" for i in range(max(len(a), len(b)))], object)
+                      for sign in ",|;"}
         self.table: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
 
-    def window(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        """The groups of a window as text and the codes of the pairs that end together."""
-        a, b = (array(self.code, ids).tolist() for ids in key)
-        (size_a, size_b), names = self.sizes, self.names
-        groups, links = [], array("q")
-        i = j = from_a = from_b = 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            if end_a < end_b:
-                i += 1
-                end_a += size_a[a[i]]
-            elif end_b < end_a:
-                j += 1
-                end_b += size_b[b[j]]
-            else:
-                links.append(a[i] * len(size_b) + b[j])
-                i, j = i + 1, j + 1
-                groups.append(",".join([names[x] for x in a[from_a:i]]) + "|"
-                              + ",".join([names[x] for x in b[from_b:j]]))
-                if i == len(a):
-                    return ";".join(groups), links.tobytes()
-                from_a, from_b = i, j
-                end_a += size_a[a[i]]
-                end_b += size_b[b[j]]
-
-    def windows(self, ids: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
-        """The id tuples between anchors, which are token starts marked in both sequences."""
-        starts, marks = [], []
-        for n, m, x in zip(self.lengths, self.marked, ids):
-            ends = np.cumsum(n[x])
-            starts.append(ends - n[x])
-            marks.append(np.flatnonzero(m[x]))
+    def learn(self, keys: list[tuple[bytes, bytes]]) -> None:
+        """Put windows into the table: their groups as text, the codes of their links.
+
+        Both sides of a window have the same bytes, so laid end to end they keep in step.
+        """
+        a, b = (np.frombuffer(b"".join(side), dtype=self.code).astype(np.int64)
+                for side in zip(*keys))
+        ends_a, ends_b = (np.cumsum(n[x]) for n, x in zip(self.lengths, (a, b)))
+        last_a = np.isin(ends_a, ends_b, assume_unique=True)
+        last_b = np.isin(ends_b, ends_a, assume_unique=True)
+        links = a[last_a] * len(self.lengths[1]) + b[last_b]
+        # Each group's tokens of the first side, then its tokens of the second.
+        group_a, group_b = (np.cumsum(x) - x for x in (last_a, last_b))
+        after_a, after_b = (np.append(0, np.flatnonzero(x) + 1) for x in (last_a, last_b))
+        text = np.empty(len(a) + len(b), dtype=object)
+        text[np.arange(len(a)) + after_b[group_a]] = np.where(
+            last_a, self.shown["|"][a], self.shown[","][a])
+        text[np.arange(len(b)) + after_a[group_b + 1]] = np.where(
+            last_b, self.shown[";"][b], self.shown[","][b])
+        size = array(self.code).itemsize
+        to_a, to_b = (np.cumsum([len(x) // size for x in side]) for side in zip(*keys))
+        to_link = np.cumsum(last_a)[to_a - 1]
+        text, packed = text.tolist(), links.tobytes()
+        at = from_link = 0
+        for key, until, link in zip(keys, (to_a + to_b).tolist(), (to_link * 8).tolist()):
+            self.table[key] = "".join(text[at:until]), packed[from_link:link]
+            at, from_link = until, link
+
+    def windows(self, sides: list[list[np.ndarray]]) -> tuple[list[tuple[bytes, bytes]], list[int]]:
+        """Id tuples between anchors, starts of marked tokens in both sequences, of all texts.
+
+        ``sides`` are the texts' ids by each tokenizer; a text's start is an anchor too.
+        The second list says which window each text begins with.
+        """
+        starts, marks, firsts, packed = [], [], [], []
+        for n, m, ids in zip(self.lengths, self.marked, sides):
+            counts = np.array(list(map(len, ids)))
+            side = np.concatenate(ids)
+            ends, first, mark = np.cumsum(n[side]), np.cumsum(counts) - counts, m[side]
+            mark[first] = True
+            starts.append(ends - n[side])
+            marks.append(np.flatnonzero(mark))
+            firsts.append(first)
+            packed.append(side.astype(self.code).tobytes())
         # Which token of the first sequence starts at a byte with its mark.
-        token_at = np.full(int(ends[-1]) + 1, -1)
+        token_at = np.full(int(ends[-1]), -1, dtype=np.int32)
         token_at[starts[0][marks[0]]] = marks[0]
-        first = token_at[starts[1][marks[1]]]
+        cuts_a = token_at[starts[1][marks[1]]]
+        cuts = cuts_a[cuts_a >= 0].astype(np.int64), marks[1][cuts_a >= 0]
         size = array(self.code).itemsize
         parts = []
-        for side, cuts in zip(ids, (first[first > 0], marks[1][first > 0])):
-            packed, cuts = side.astype(self.code).tobytes(), (cuts * size).tolist()
-            parts.append([packed[x:y] for x, y in zip([0, *cuts], [*cuts, None])])
-        return list(zip(*parts))
-
-    def align(self, ids: list[np.ndarray]) -> tuple[str, np.ndarray]:
+        for side, cut in zip(packed, cuts):
+            at = (cut * size).tolist()
+            parts.append([side[x:y] for x, y in zip(at, [*at[1:], None])])
+        keys = list(zip(*parts))
+        return keys, np.searchsorted(cuts[0], firsts[0]).tolist()
+
+    def align(self, sides: list[list[np.ndarray]]) -> list[tuple[str, np.ndarray]]:
+        """Per text its groups, ``a1,a2|b1;a3|b2;``, and the codes of its links."""
+        if not sides[0]:
+            return []
         if len(self.table) > MOST_WINDOWS:
             self.table = {}
-        known, texts, codes = self.table.get, [], []
-        for key in self.windows(ids):
-            found = known(key)
-            if found is None:
-                found = self.table[key] = self.window(key)
-            texts.append(found[0])
-            codes.append(found[1])
-        return ";".join(texts), np.frombuffer(b"".join(codes), dtype=np.int64)
+        keys, begins = self.windows(sides)
+        found = list(map(self.table.get, keys))
+        missing = [i for i, known in enumerate(found) if known is None]
+        if missing:
+            self.learn(list({keys[i] for i in missing}))
+            for i in missing:
+                found[i] = self.table[keys[i]]
+        texts, codes = zip(*found)
+        return [("".join(texts[x:y]), np.frombuffer(b"".join(codes[x:y]), dtype=np.int64))
+                for x, y in zip(begins, [*begins[1:], None])]
 
 
 def align_texts(df: DataFrame, text: str, byte_path: str, piece_path: str,
@@ -217,20 +238,25 @@ def align_texts(df: DataFrame, text: str, byte_path: str, piece_path: str,
             out = {name: [] for name in
                    ("n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times", "groups")}
             texts = [t or "" for t in texts]
-            for text, *sides in zip(texts, a.encode([" " + t for t in texts]), b.encode(texts)):
-                ids, raw = [x for x, _ in sides], (" " + text).encode()
-                whole = text and all(spelled == raw for _, spelled in sides)
-                groups, links = aligner.align(ids) if whole else ("", nothing)
-                pairs, times = np.unique(links, return_counts=True)
-                out["n_a"].append(len(ids[0]) if whole else 0)
-                out["n_b"].append(len(ids[1]) if whole else 0)
-                out["n_groups"].append(len(links))
-                out["groups_sha256"].append(
-                    hashlib.sha256(groups.encode()).hexdigest() if whole else "")
-                out["pairs"].append(np.searchsorted(codes, pairs).astype(np.int32))
-                out["times"].append(times.astype(np.int32))
-                if with_groups:
-                    out["groups"].append(groups)
+            for start, end in runs(texts, AT_ONCE):
+                part = texts[start:end]
+                sides = list(zip(a.encode([" " + t for t in part]), b.encode(part)))
+                whole = [bool(t) and all(spelled == (" " + t).encode() for _, spelled in found)
+                         for t, found in zip(part, sides)]
+                aligned = iter(aligner.align(
+                    [[x[k][0] for x, w in zip(sides, whole) if w] for k in (0, 1)]))
+                for ids, w in zip(sides, whole):
+                    groups, links = next(aligned) if w else ("", nothing)
+                    pairs, times = np.unique(links, return_counts=True)
+                    out["n_a"].append(len(ids[0][0]) if w else 0)
+                    out["n_b"].append(len(ids[1][0]) if w else 0)
+                    out["n_groups"].append(len(links))
+                    out["groups_sha256"].append(
+                        hashlib.sha256(groups[:-1].encode()).hexdigest() if w else "")
+                    out["pairs"].append(np.searchsorted(codes, pairs).astype(np.int32))
+                    out["times"].append(times.astype(np.int32))
+                    if with_groups:
+                        out["groups"].append(groups[:-1])
             return out
 
         return compute
