@@ -119,6 +119,38 @@ def ordered_touchpoints(events: DataFrame, rows_per_task: int = ROWS_PER_TASK) -
     return ordinary.unionByName(bulky)
 
 
+def sequence_chunks(
+    events: DataFrame, touches_per_chunk: int = 10_000, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``touchpoint_sequence`` in pieces: (customer_id, chunk, touches, text, first and last time).
+
+    Touches are numbered in the order of the sequence, and each chunk (from 0) joins so many
+    of them, so no buffer grows with a customer's history. ``join_chunks`` gives the whole
+    text back on demand.
+    """
+    tokens = touches(events).select(
+        "customer_id", "touchpoint_time", F.concat("touchpoint_channel", F.lit(":"),
+                                                   "event_type").alias("touchpoint_channel"),
+        F.lit("").alias("event_type"))
+    heavy = heavy_keys(tokens, "customer_id", rows_per_task)
+    ordinary, bulky = split_by_weight(tokens, heavy, "customer_id")
+    numbered = number_in_one_window(ordinary).unionByName(number_by_minute(bulky))
+    chunk = F.floor((F.col("touchpoint_number") - 1) / touches_per_chunk)
+    return numbered.groupBy("customer_id", chunk.alias("chunk")).agg(
+        F.count(F.lit(1)).alias("touches"),
+        _sequence("touchpoint_channel", "touchpoint_number").alias("text"),
+        F.min("touchpoint_time").alias("first_touch_time"),
+        F.max("touchpoint_time").alias("last_touch_time"))
+
+
+def join_chunks(chunks: DataFrame) -> DataFrame:
+    """One row per customer from its chunks; the columns of ``touchpoint_sequence``."""
+    return chunks.groupBy("customer_id").agg(
+        _sequence("text", "chunk").alias("touchpoint_sequence"),
+        F.min("first_touch_time").alias("first_touch_time"),
+        F.max("last_touch_time").alias("last_touch_time"))
+
+
 def _sequence(text: str, *order: str) -> Column:
     keys = ", ".join(order)
     return F.expr(f"listagg({text}, ' > ') within group (order by {keys})")

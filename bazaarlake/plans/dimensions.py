@@ -150,17 +150,27 @@ def overall_date_range(ranges: list[DataFrame]) -> DataFrame:
 
 
 def date_bounds_from_tables(spark: SparkSession, schema: str) -> DataFrame | None:
-    """The same in whole days over the saved facts; None when none is saved."""
+    """The same in whole days over the saved facts; None when none is saved.
+
+    A fact in day folders tells its days by its list of partitions, without reading rows.
+    """
     ranges = [
-        spark.table(f"{schema}.{table}").agg(
-            F.min(F.to_date(column)).alias("min_date"), F.max(F.to_date(column)).alias("max_date")
-        )
+        _saved_days(spark, f"{schema}.{table}", TABLES[table].day, column).agg(
+            F.min("day").alias("min_date"), F.max("day").alias("max_date"))
         for table, column in FACT_DATES.items()
         if spark.catalog.tableExists(f"{schema}.{table}")
     ]
     return overall_date_range(ranges) if ranges else None
 
 
+def _saved_days(spark: SparkSession, target: str, day: str, column: str) -> DataFrame:
+    folders = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    if folders != [day]:
+        return spark.table(target).select(F.to_date(column).alias("day"))
+    listed = spark.sql(f"SHOW PARTITIONS {target}").toDF("partition")
+    return listed.select(F.substring_index("partition", "=", -1).try_cast("date").alias("day"))
+
+
 def _day(value: object) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()

@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.operators.skew import ROWS_PER_TASK
-from bazaarlake.operators.touchpoints import split_ordered, touchpoint_sequence, touches
+from bazaarlake.operators.touchpoints import (
+    sequence_chunks,
+    split_ordered,
+    touchpoint_sequence,
+    touches,
+)
 
 
 def purchase_summary(orders: DataFrame) -> DataFrame:
@@ -45,12 +50,21 @@ def customer_journey(
     )
 
 
+def customer_journey_chunks(
+    events: DataFrame, orders: DataFrame, touches_per_chunk: int = 10_000,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The journey with its sequence in chunks: rows per (customer, chunk), none unbounded."""
+    chunks = sequence_chunks(events, touches_per_chunk, rows_per_task)
+    return chunks.join(purchase_summary(orders), "customer_id", "left")
+
+
 def _edges(ordered: DataFrame) -> DataFrame:
     """Numbered touches with ``first_purchase_time`` to their one outgoing edge.
 
     A touch with a successor goes to it. A last touch goes to ``purchase`` when
     the first purchase is at or after it, to ``drop_off`` when it is earlier or
-    absent, and nowhere when the touch has no time but a purchase exists.
+    absent, and nowhere (null type) when the touch has no time but a purchase exists.
     """
     touch, buy = F.col("touchpoint_time"), F.col("first_purchase_time")
     kind = (
@@ -65,7 +79,7 @@ def _edges(ordered: DataFrame) -> DataFrame:
         F.when(kind == "touchpoint", F.col("next_touchpoint_channel")).otherwise(kind)
         .alias("target_channel"),
         kind.alias("edge_type"),
-    ).filter(F.col("edge_type").isNotNull())
+    )
 
 
 def _edge_rows(events: DataFrame, orders: DataFrame, rows_per_task: int) -> DataFrame:
@@ -99,7 +113,7 @@ def customer_edges(
     events: DataFrame, orders: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Every step of every customer, with stage labels and node names."""
-    edges = _edge_rows(events, orders, rows_per_task)
+    edges = _edge_rows(events, orders, rows_per_task).filter(F.col("edge_type").isNotNull())
     return edges.withColumns(_labels(edges)).select(
         "customer_id", "source_stage_number", "source_stage_label", "target_stage_number",
         "target_stage_label", "source_node", "target_node", "source_channel", "target_channel",
@@ -111,6 +125,32 @@ def total_touch_customers(events: DataFrame) -> DataFrame:
     return touches(events).agg(F.count_distinct("customer_id").alias("total_customers"))
 
 
+def touch_customer_sketches(events: DataFrame) -> DataFrame:
+    """(day, sketch): per day a mergeable sketch of the customers with a touch (days may be null).
+
+    Sketches are small and of fixed size, so they can be kept and united over any days.
+    """
+    rows = touches(events)
+    return rows.groupBy(F.to_date("touchpoint_time").alias("day")).agg(
+        F.hll_sketch_agg("customer_id", F.lit(14)).alias("sketch"))
+
+
+def approximate_touch_customers(
+    sketches: DataFrame, first: object = None, last: object = None
+) -> DataFrame:
+    """One row, ``total_customers`` over the days from ``first`` to ``last``, to about one percent.
+
+    Without bounds all days count, those of touches without a time too.
+    """
+    day = F.col("day")
+    if first is not None:
+        sketches = sketches.filter(day >= F.lit(first).cast("date"))
+    if last is not None:
+        sketches = sketches.filter(day <= F.lit(last).cast("date"))
+    return sketches.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0))
+                        .alias("total_customers"))
+
+
 def _edge_counts(edges: DataFrame) -> DataFrame:
     """Customers per edge.
 
@@ -126,7 +166,7 @@ def stage_totals(
     events: DataFrame, orders: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Customers leaving each node."""
-    edges = _edge_rows(events, orders, rows_per_task)
+    edges = _edge_rows(events, orders, rows_per_task).filter(F.col("edge_type").isNotNull())
     counts = edges.groupBy("source_stage_number", "source_channel").agg(
         F.count(F.lit(1)).alias("source_stage_customer_count")
     )
@@ -143,12 +183,18 @@ def customer_journey_sankey(
 
     Stage totals are sums of the edge counts of a node, so they come from a
     window over the aggregated edges (a few targets per node) and not from a
-    second pass and a join. The overall total is a scalar subquery.
+    second pass and a join. Every customer has one first touch, so the overall total is the
+    sum of the counts of stage one, those without an edge included.
     """
     counts = _edge_counts(_edge_rows(events, orders, rows_per_task))
     node = Window.partitionBy("source_stage_number", "source_channel")
-    known = counts.withColumn("source_stage_customer_count", F.sum("customer_count").over(node))
-    known = known.withColumn("total_customers", total_touch_customers(events).scalar())
+    leads_on = F.col("edge_type").isNotNull()
+    first = F.when(F.col("source_stage_number") == 1, F.col("customer_count"))
+    # Both read the one exchange of edge counts: the filter comes after the window.
+    total = counts.agg(F.sum(first).alias("total_customers")).scalar()
+    known = counts.withColumn("source_stage_customer_count", F.sum(
+        F.when(leads_on, F.col("customer_count"))).over(node)).filter(leads_on)
+    known = known.withColumn("total_customers", total)
     known = known.withColumns(_labels(known))
     return known.select(
         "source_stage_number", "source_stage_label", "target_stage_number",

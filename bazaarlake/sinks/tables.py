@@ -153,16 +153,93 @@ def load_facts(tables: dict[str, DataFrame], schema: str, mode: str = "WRITE_TRU
     return load_tables({t: tables[t] for t in order if t in tables}, schema, mode, day_folders)
 
 
+def day_files(spark: SparkSession, target: str) -> DataFrame:
+    """(day, files, bytes) per day folder of a table, from the listing of its files alone."""
+    day = _day_folder(spark, target)
+    place = spark.sql(f"DESCRIBE FORMATTED {target}").filter("col_name = 'Location'").first()
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.parquet").load(place["data_type"])
+    named = F.regexp_extract("path", f"/{day}=([^/]+)/", 1)
+    return listed.select(named.alias("name"), "length").groupBy(
+        F.when(F.col("name") != "__HIVE_DEFAULT_PARTITION__", F.col("name")).cast("date").alias(
+            "day")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def _day_folder(spark: SparkSession, target: str) -> str:
+    folders = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    if len(folders) != 1:
+        raise ValueError(f"{target} has no day folders")
+    return folders[0]
+
+
+def compact_days(
+    spark: SparkSession, schema: str, table: str, cluster_by: Sequence[str] = (),
+    file_bytes: int = 128 * 2**20,
+) -> int:
+    """Rewrite the day folders with more files than their bytes ask for; returns how many.
+
+    Appends leave files in a day's folder. Folders that are well packed are not read. Days to
+    rewrite share tasks while they are small, and a large one takes several (see
+    ``lay_out``). Rows go through the shared folder, then each folder is replaced.
+    """
+    target = f"{schema}.{table}"
+    day = _day_folder(spark, target)
+    needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / file_bytes))
+    crowded = day_files(spark, target).filter(F.col("files") > needed).select("day").collect()
+    if not crowded:
+        return 0
+    days = [row["day"] for row in crowded]  # one value per folder to rewrite
+    known = [d for d in days if d is not None]
+    wanted = F.col(day).isin(known) if known else F.lit(False)
+    if None in days:
+        wanted = wanted | F.col(day).isNull()
+    ready = write_and_read(spark.table(target).filter(wanted), table)
+    _replace_folders(lay_out(ready, day, cluster_by), target)
+    return len(days)
+
+
+def _replace_folders(rows: DataFrame, target: str) -> None:
+    """Overwrite the partitions that ``rows`` have, each when its new files are complete.
+
+    The mode of inserts into a table is a setting of the session, so it is set meanwhile.
+    """
+    spark, name = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "dynamic")
+    try:
+        rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def update_customer_aggregates(spark: SparkSession, schema: str) -> int:
     """Upsert order aggregates into ``dim_customers``; returns the customers matched.
 
-    Plain tables have no MERGE. The result is written to the shared folder first and
-    replaces the table from there, so the table being read is never the one written
-    and a failed replacement can be repeated from the copy.
+    Plain tables have no MERGE. With day folders only the folders that hold a matched
+    customer are rewritten, each replaced when its new files are complete; the others
+    keep their files, and the table stays in place. The merged rows are written to
+    the shared folder first, so what is read is never what is replaced, and a failed
+    replacement can be repeated from the copy.
     """
     target, spec = f"{schema}.dim_customers", TABLES["dim_customers"]
-    merged = merge_customer_aggregates(spark.table(target), spark.table(f"{schema}.fact_orders"))
-    ready = write_and_read(merged.drop(f"{spec.day}_day"), "dim_customers")
-    day, cluster = _layout(spec, any(c.isPartition for c in spark.catalog.listColumns(target)))
-    return _write(ready, schema, "dim_customers", "WRITE_TRUNCATE", day, cluster,
-                  {"matched": F.count_if("is_matched")}, helpers=["is_matched"])["matched"]
+    customers, orders = spark.table(target), spark.table(f"{schema}.fact_orders")
+    folders = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    merged = merge_customer_aggregates(customers, orders)
+    if not folders:
+        ready = write_and_read(merged, "dim_customers")
+        return _write(ready, schema, "dim_customers", "WRITE_TRUNCATE", None,
+                      _layout(spec, False)[1], {"matched": F.count_if("is_matched")},
+                      helpers=["is_matched"])["matched"]
+    day = folders[0]
+    merged, made = day_column(merged, spec.day)
+    ready = write_and_read(merged.withColumnRenamed(made, day), "dim_customers")
+    touched = ready.filter("is_matched").select(F.col(day).alias("_day")).distinct()
+    changed = ready.join(touched, ready[day].eqNullSafe(touched["_day"]), "left_semi")
+    taken = Observation()
+    rows = lay_out(changed, day, spec.cluster).observe(
+        taken, F.count_if("is_matched").alias("matched"))
+    _replace_folders(rows, target)
+    return taken.get["matched"]

@@ -29,8 +29,6 @@ log = logging.getLogger(__name__)
 
 _GLOB = "*.json.gz"
 _MAP, _MAPS = "map<string,string>", "array<map<string,string>>"
-# Objects inside an order line are flattened so many levels deep.
-ITEM_DEPTH = 4
 OTHER = "other_fields"
 
 
@@ -137,9 +135,15 @@ def _others(fields: Column, known: Iterable[str]) -> Column:
 
 
 def _item(raw: Column) -> Column:
-    entries = _entries(raw)
-    for _ in range(ITEM_DEPTH):
-        entries = _inner_entries(entries)
+    """An order line with objects inside it flattened, however deep they are.
+
+    A line is opened once per brace inside its values, which is at least its depth; lines
+    without objects are not opened at all.
+    """
+    braces = F.array_max(F.transform(F.map_values(raw), lambda v: F.when(
+        v.startswith("{"), F.length(v) - F.length(F.replace(v, F.lit("{"), F.lit(""))))))
+    levels = F.when(braces > 0, F.sequence(F.lit(1), braces)).otherwise(F.array().cast("array<int>"))
+    entries = F.aggregate(levels, _entries(raw), lambda es, _: _inner_entries(es))
     return _bound(_named(entries), lambda m: F.struct(
         *[F.try_element_at(m, F.lit(n)).alias(n) for n in _ITEM_NAMES],
         _others(m, _ITEM_NAMES).alias(OTHER)))
@@ -263,9 +267,64 @@ def feed_report(spark: SparkSession, root: str, frames: dict[str, DataFrame]) ->
 
 
 def skipped_files(spark: SparkSession, root: str, prefix: str, scanned: DataFrame) -> DataFrame:
-    """Files below a prefix from which ``scanned`` has no row: broken, vanished or empty."""
+    """(path, reason) of the files below a prefix from which ``scanned`` has no row."""
     read = scanned.select(F.col(f"{FEED_POSITION}.file").alias("path")).distinct()
-    return list_feed(spark, root, prefix).join(read, "path", "left_anti")
+    missed = list_feed(spark, root, prefix).join(read, "path", "left_anti")
+    # As the load's report does, the driver takes the names of files that gave nothing.
+    return reasons(spark, [row.path for row in missed.collect()] + _empty_files(
+        spark, _join(root, prefix)))
+
+
+def _empty_files(spark: SparkSession, folder: str) -> list[str]:
+    """Feed files without a byte, which Spark's readers do not list."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed, found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True), []
+    while listed.hasNext():
+        status = listed.next()
+        if status.getLen() == 0 and status.getPath().getName().endswith(_GLOB[1:]):
+            found.append(status.getPath().toString())
+    return found
+
+
+REASONS = ("vanished", "empty file", "not gzip", "broken archive", "not JSON", "no rows")
+
+
+def reasons(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, reason) for files that gave no row, one of ``REASONS`` each.
+
+    Only these files are opened: their sizes and first bytes as binary files, their
+    texts by the reader that skips what it cannot unpack.
+    """
+    named = spark.createDataFrame([(p,) for p in paths], "path string")
+    if not paths:
+        return named.withColumn("reason", F.lit(""))
+    there = spark.read.format("binaryFile").option("ignoreMissingFiles", True)
+    text = spark.read.option("wholetext", True).option("ignoreCorruptFiles", True).option(
+        "ignoreMissingFiles", True)
+    sizes = {p: _size(spark, p) for p in paths}
+    present = [p for p, size in sizes.items() if size]
+    empty = [p for p, size in sizes.items() if size == 0]
+    files = named.limit(0).selectExpr("path", "0L AS size", "false AS packed")
+    texts = named.limit(0).selectExpr("path", "'' AS text")
+    if present:
+        files = there.load(present).select(
+            F.col("_metadata.file_path").alias("path"), F.col("length").alias("size"),
+            F.hex(F.substring("content", 1, 2)).eqNullSafe("1F8B").alias("packed"))
+        texts = text.text(present).select(
+            F.col("_metadata.file_path").alias("path"), F.btrim("value").alias("text"))
+    reason = (
+        F.when(F.col("path").isin(empty), "empty file").when(F.col("size").isNull(), "vanished")
+        .when(~F.col("packed"), "not gzip").when(F.col("text").isNull(), "broken archive")
+        .when(F.try_parse_json("text").isNull(), "not JSON").otherwise("no rows"))
+    return named.join(files, "path", "left").join(texts, "path", "left").select(
+        "path", reason.alias("reason"))
+
+
+def _size(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file, None where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(target).getLen() if system.exists(target) else None
 
 
 def scan_customers(

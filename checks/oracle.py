@@ -576,6 +576,13 @@ SQL = {
     "daily_bank_flows": _table("bank_days", ("bank_inflow_vnd", "bank_outflow_vnd"),
                                ("activity_date",)),
     "touchpoint_sequence": _table("sequences"),
+    "touchpoint_sequence_chunks": """SELECT customer_id, (n - 1) // 25 AS chunk, count(*) AS touches,
+        string_agg(token, ' > ' ORDER BY n) AS text, min(event_timestamp) AS first_touch_time,
+        max(event_timestamp) AS last_touch_time
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+            ORDER BY event_timestamp NULLS FIRST, token) AS n FROM (SELECT *,
+            coalesce(source, 'unknown') || ':' || coalesce(event_type, 'unknown') AS token
+            FROM fact_cart_events WHERE customer_id IS NOT NULL)) GROUP BY ALL""",
     "ordered_touchpoints": _table("ordered"),
     "ordered_touchpoints_heavy": _table("ordered"),
     "touchpoint_sequence_heavy": _table("sequences"),

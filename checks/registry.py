@@ -549,6 +549,11 @@ def touchpoint_sequence_heavy(d: Data) -> DataFrame:
     return touchpoints.touchpoint_sequence(d.events, HEAVY_ROWS)
 
 
+@query
+def touchpoint_sequence_chunks(d: Data) -> DataFrame:
+    return touchpoints.sequence_chunks(d.events, 25, HEAVY_ROWS)
+
+
 @query
 def ordered_touchpoints(d: Data) -> DataFrame:
     return touchpoints.ordered_touchpoints(d.events)

@@ -10,7 +10,12 @@ from frames import rows, when
 from pyspark.sql import functions as F
 
 from bazaarlake.operators import dedupe, quality, quantiles
-from bazaarlake.operators.touchpoints import ordered_touchpoints, touchpoint_sequence
+from bazaarlake.operators.touchpoints import (
+    join_chunks,
+    ordered_touchpoints,
+    sequence_chunks,
+    touchpoint_sequence,
+)
 from bazaarlake.operators.upsert import customer_aggregates, matched_customers
 from bazaarlake.plans import finance, journey, views
 from bazaarlake.schemas import TABLES
@@ -70,6 +75,46 @@ def test_sequence_same_for_heavy_customers(spark):
     assert touchpoint_sequence(tiny).first().touchpoint_sequence == "unknown:unknown > b:x"
 
 
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 1])
+def test_chunks_join_to_the_sequence(spark, rows_per_task):
+    events = _events(spark, _random_events(6))
+    chunks = sequence_chunks(events, 7, rows_per_task)
+    sizes = {(r.customer_id, r.chunk): r.touches for r in chunks.collect()}
+    assert max(sizes.values()) == 7 and len(sizes) > 40
+    assert all(n == 7 for (c, k), n in sizes.items() if (c, k + 1) in sizes)
+    assert rows(join_chunks(chunks)) == rows(touchpoint_sequence(events))
+    orders = _orders(spark, [(1, "a", when("2026-01-01"), 5)])
+    wide = journey.customer_journey_chunks(events, orders, 7)
+    assert wide.count() == len(sizes) and wide.filter("total_orders = 1").count() == sum(
+        c == 1 for c, _ in sizes)
+
+
+def test_sketches_unite_over_days(spark):
+    events = spark.range(60_000).selectExpr(
+        "id % 20000 AS customer_id", "timestamp'2026-01-01' + make_interval(0, 0, 0, int(id % 7)) "
+        "AS event_timestamp", "'ads' AS source", "'view' AS event_type")
+    sketches = journey.touch_customer_sketches(events)
+    assert sketches.count() == 7
+    for first, last in ((None, None), ("2026-01-02", "2026-01-03"), ("2026-01-07", None)):
+        kept = events if first is None else events.filter(f"event_timestamp >= '{first}'")
+        kept = kept if last is None else kept.filter(f"event_timestamp <= '{last}'")
+        exact = journey.total_touch_customers(kept).first()[0]
+        rough = journey.approximate_touch_customers(sketches, first, last).first()[0]
+        assert abs(rough - exact) <= 0.03 * exact
+    assert journey.approximate_touch_customers(sketches, "2030-01-01").first()[0] == 0
+
+
+def test_sankey_reads_events_once_per_way(spark, tmp_path):
+    """The total comes from the edge counts: no further scan of events or distinct count."""
+    path = str(tmp_path / "events")
+    _events(spark, _random_events(8)).write.parquet(path)
+    events = spark.read.parquet(path)
+    out = journey.customer_journey_sankey(events, _orders(spark, []))
+    assert out.first().total_customers == 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("distinct") == 0
+
+
 def test_run_of_copies_is_unfolded_in_pieces(spark, monkeypatch):
     from bazaarlake.operators import touchpoints
 

@@ -142,6 +142,126 @@ def test_every_spelling_and_depth_is_kept(spark, put):
     assert float(items[6].line_total_vnd) == 7
 
 
+def test_lines_nested_at_any_depth(spark, put):
+    from bazaarlake.plans.facts import fact_order_items
+
+    deep = {"vnd": 30}
+    for name in ("Price", "unit"):
+        deep = {name: deep}
+    far = {"x": "end"}
+    for n in range(9):
+        far = {f"L{n}": far}
+    root = put("shopify/orders_batch_1.json.gz", {"orders": [{"id": 1, "line_items": [
+        {"variantId": 4, "qty": 2, "a": {"b": {"c": {"d": {"e": {"F": 6}}}}}, **deep},
+        {"id": 5, "far": far, "two": {"p": {"q": 1}, "r": {"s": "{"}}, "none": None},
+        {"id": 6}, {}]}]})
+    lines = feeds.scan_shopify_orders(spark, root).first().line_items
+    assert lines[0].other_fields == {"a_b_c_d_e_f": "6", "unit_price_vnd": "30"} or (
+        lines[0].unit_price_vnd == "30" and lines[0].other_fields == {"a_b_c_d_e_f": "6"})
+    assert lines[1].other_fields["far_" + "_".join(f"l{n}" for n in range(8, -1, -1)) + "_x"] == "end"
+    assert lines[1].other_fields["two_p_q"] == "1" and lines[1].other_fields["two_r_s"] == "{"
+    items = {r.product_id: r for r in fact_order_items(feeds.scan_shopify_orders(
+        spark, root)).collect()}
+    assert float(items[4].line_total_vnd) == 60 and set(items) == {4, 5, 6, None}
+
+
+def test_events_keep_microseconds(spark, put):
+    from bazaarlake.plans.facts import fact_cart_events
+
+    root = put("cart_tracking/cart_events.json.gz", {"events": [
+        {"id": "E1", "session": "S", "timestamp": "2026-03-29T00:00:07.179575Z"},
+        {"id": "E2", "session": "S", "timestamp": "2026-03-29 00:00:07.000001"}]})
+    out = fact_cart_events(feeds.scan_cart_events(spark, root))
+    assert rows(out, "event_id", "event_timestamp") == [
+        ("E1", when("2026-03-29 00:00:07.179575")), ("E2", when("2026-03-29 00:00:07.000001"))]
+
+
+def test_files_without_rows_have_a_reason(spark, put):
+    whole = gzip.compress(b'{"customers": [' + b'{"id": 1},' * 5000 + b'{"id": 2}]}')
+    put("shared/customers/customer_ok.json.gz", {"customers": [{"id": 1}]})
+    put("shared/customers/customer_empty.json.gz", b"")
+    put("shared/customers/customer_text.json.gz", b"plain text")
+    put("shared/customers/customer_cut.json.gz", whole[:len(whole) // 2])
+    put("shared/customers/customer_json.json.gz", gzip.compress(b"{broken"))
+    root = put("shared/customers/customer_none.json.gz", {"customers": []})
+    scanned = feeds.scan_customers(spark, root)
+    found = {r.path.rsplit("customer_", 1)[1][:4]: r.reason
+             for r in feeds.skipped_files(spark, root, "shared/customers", scanned).collect()}
+    assert found == {"empt": "empty file", "text": "not gzip", "cut.": "broken archive",
+                     "json": "not JSON", "none": "no rows"}
+    gone = feeds.reasons(spark, [f"file:{root}/shared/customers/customer_gone.json.gz"]).first()
+    assert gone.reason == "vanished" and feeds.reasons(spark, []).count() == 0
+
+
+def _saved_facts(spark, schema, day_folders):
+    from bazaarlake.plans.facts import fact_orders
+
+    raw = spark.createDataFrame([(n, f"2026-0{n % 3 + 1}-05 10:00") for n in range(9)] + [(99, None)],
+                                "id long, created_at string").coalesce(1)
+    tables.load_tables({"fact_orders": fact_orders(raw).drop("feed_position")}, schema,
+                       day_folders=day_folders)
+
+
+def test_bounds_of_day_folders_read_no_rows(spark, schema):
+    from bazaarlake.plans.dimensions import date_bounds_from_tables
+
+    found = []
+    for folders in (True, False):
+        _saved_facts(spark, schema, folders)
+        bounds = date_bounds_from_tables(spark, schema)
+        plan = bounds._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Relation" in plan) != folders
+        found.append([tuple(map(str, r)) for r in bounds.collect()])
+    assert found[0] == found[1] == [("2026-01-05", "2026-03-05")]
+
+
+def test_compaction_rewrites_crowded_days_only(spark, schema):
+    df = spark.range(40).selectExpr("id", "CASE WHEN id % 5 < 4 THEN date_add(date'2026-01-01', "
+                                    "int(id % 5)) END AS day", "string(id) AS text")
+    tables.write_table(df, schema, "t", "WRITE_TRUNCATE", "day", ["id"])
+    for _ in range(2):
+        tables.write_table(df.filter("id % 5 IN (1, 4)"), schema, "t", "WRITE_APPEND", "day")
+    target, file = f"{schema}.t", "_metadata.file_path"
+    files = {str(r.day): r.files for r in tables.day_files(spark, target).collect()}
+    assert files == {"2026-01-01": 1, "2026-01-02": 3, "2026-01-03": 1, "2026-01-04": 1, "None": 3}
+    before = {r[0] for r in spark.table(target).filter("id % 5 NOT IN (1, 4)").select(file).collect()}
+    kept = rows(spark.table(target))
+    assert tables.compact_days(spark, schema, "t", ["id"]) == 2
+    spark.catalog.refreshTable(target)
+    assert rows(spark.table(target)) == kept and len(kept) == 72
+    assert {r.files for r in tables.day_files(spark, target).collect()} == {1}
+    assert before == {r[0] for r in spark.table(target).filter(
+        "id % 5 NOT IN (1, 4)").select(file).collect()}
+    assert tables.compact_days(spark, schema, "t") == 0
+    tables.write_table(df, schema, "flat")
+    with pytest.raises(ValueError):
+        tables.compact_days(spark, schema, "flat")
+
+
+def test_upsert_rewrites_matched_folders_only(spark, schema):
+    from bazaarlake.plans.dimensions import dim_customers
+
+    raw = spark.createDataFrame(
+        [(1, "2026-01-01"), (2, "2026-01-01"), (3, "2026-01-02"), (4, "2026-01-03"), (5, None)],
+        "id long, created_at string").coalesce(1)
+    tables.load_tables({"dim_customers": dim_customers(raw).drop("feed_position")}, schema)
+    orders = spark.createDataFrame(
+        [(2, "a", when("2026-02-01"), 7), (5, "b", when("2026-02-02"), 8), (9, "c", None, 1)],
+        "customer_id long, order_key string, order_date timestamp, total_vnd long")
+    orders.withColumn("total_vnd", orders["total_vnd"].cast("decimal(18,2)")).write.saveAsTable(
+        f"{schema}.fact_orders")
+    target = spark.table(f"{schema}.dim_customers")
+    file = "_metadata.file_path"
+    before = {r.customer_id: r.file_path for r in target.select("customer_id", file).collect()}
+    assert tables.update_customer_aggregates(spark, schema) == 2
+    spark.catalog.refreshTable(f"{schema}.dim_customers")
+    target = spark.table(f"{schema}.dim_customers")
+    after = {r.customer_id: r.file_path for r in target.select("customer_id", file).collect()}
+    assert after.keys() == before.keys() == {1, 2, 3, 4, 5}
+    assert {c for c in after if after[c] == before[c]} == {3, 4}
+    assert rows(target, "customer_id", "total_orders") == [(1, 0), (2, 1), (3, 0), (4, 0), (5, 1)]
+
+
 def test_skipped_files_are_named(spark, put):
     put("shared/customers/customer_1.json.gz", {"customers": [{"id": 1}]})
     put("shared/customers/customer_2.json.gz", b"broken")
