@@ -664,7 +664,7 @@ SQL = {
     "load_by_day": " UNION ALL ".join(
         f"""SELECT '{t}' AS name, '{TABLES[t].day}' AS partitions, {TABLES[t].day}::VARCHAR AS day,
         count(*) AS row_count FROM {t} GROUP BY {TABLES[t].day}"""
-        for t in ("fact_cart_events", "fact_bank_transactions")),
+        for t in ("fact_orders", "fact_cart_events", "fact_bank_transactions")),
 }
 
 
