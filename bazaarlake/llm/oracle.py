@@ -159,14 +159,14 @@ def _warc() -> str:
     both_ids AS (SELECT * EXCLUDE x, {uuid} AS mid, sha256('conversion' || chr(10) || id) AS x
       FROM meta),
     a AS (SELECT * EXCLUDE x, {uuid} AS cid, regexp_replace(regexp_replace(regexp_replace(
-        regexp_replace(html, '{warc.HIDDEN_PATTERN}', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g'),
+        regexp_replace(html, '{warc.HIDDEN_PATTERN}', ' ', 'g'), '{warc.SPACE_PATTERN}', ' ', 'g'),
         '{warc.BREAK_PATTERN}', chr(10), 'g'), '{warc.TAG_PATTERN}', '', 'g') AS raw
       FROM both_ids),
     b AS (SELECT *, list_transform(string_split(raw, '&'), lambda part, i: CASE WHEN i = 1
         THEN part ELSE '&' || part END) AS parts FROM a),
     c AS (SELECT *, list_aggregate(list_transform(parts, lambda part: coalesce(
-        map {{{names}}}[regexp_extract(part, '^&([A-Za-z]+);', 1)]
-          || substr(part, length(regexp_extract(part, '^&([A-Za-z]+);', 1)) + 3),
+        map {{{names}}}[regexp_extract(part, '^&([A-Za-z][A-Za-z0-9]*);', 1)]
+          || substr(part, length(regexp_extract(part, '^&([A-Za-z][A-Za-z0-9]*);', 1)) + 3),
         CASE WHEN regexp_matches(part, '^&#[0-9]{{1,7}};') THEN
           chr(try_cast(regexp_extract(part, '^&#([0-9]+);', 1) AS INT))
             || regexp_replace(part, '^&#[0-9]+;', '') END, part)), 'string_agg', '') AS decoded

@@ -2,68 +2,81 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.batches import quoted
 
-# Fixed values of HTML: elements without readable text, elements that break lines, references.
+# Fixed values of HTML: elements without readable text, elements that break lines.
 UNREAD = "script style noscript template textarea svg".split()
 BREAKING = ("address article aside blockquote body br dd div dl dt fieldset figure footer form "
             "h1 h2 h3 h4 h5 h6 head header hr html li main nav ol option p pre section table td "
             "th title tr ul").split()
-REFERENCES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0",
-    "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•", "hellip": "…",
-    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "sect": "§", "deg": "°",
-    "times": "×", "szlig": "ß", "eacute": "é", "egrave": "è", "ecirc": "ê", "agrave": "à",
-    "aacute": "á", "acirc": "â", "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä",
-    "Ouml": "Ö", "Uuml": "Ü", "ccedil": "ç", "ntilde": "ñ", "oacute": "ó", "iacute": "í",
-    "uacute": "ú",
-}
-HIDDEN_PATTERN = "(?is)<!--.*?-->|" + "|".join(
-    rf"<{name}\b[^>]*>.*?</{name}\s*>" for name in UNREAD)
+# All named references that end in a semicolon, as HTML lists them.
+REFERENCES = {name[:-1]: sign for name, sign in html5.items() if name.endswith(";")}
+HIDDEN_PATTERN = "(?is)<(?:!--.*?-->|" + "|".join(
+    rf"{name}\b[^>]*>.*?</{name}\s*>" for name in UNREAD) + ")"
+# White space other than single spaces, which stay as they are.
+SPACE_PATTERN = r"[\t\r\n\f][ \t\r\n\f]*| [ \t\r\n\f]+"
 BREAK_PATTERN = rf"(?is)</?(?:{'|'.join(BREAKING)})\b[^>]*>"
 TAG_PATTERN = r"(?s)<[/!?A-Za-z][^>]*>"
 VERSION = "WARC/1.1"
+RECORD_COLUMNS = ("record_type record_id refers_to refers_to_date target_uri linked_id "
+                  "source_headers source_digest content_type block content_length "
+                  "block_digest").split()
 _END = "\r\n\r\n"
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decode_references(text: Column) -> Column:
     """Numeric references and the named ones of ``REFERENCES``, each decoded once."""
-    named = F.create_map(*[F.lit(x) for pair in REFERENCES.items() for x in pair])
-
-    def decoded(part: Column, at: Column) -> Column:
-        name = F.regexp_extract(part, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+);", 1)
+    # A map is searched from its start, so names are looked up below their first letter.
+    named: dict[str, list[Column]] = {}
+    for name, sign in REFERENCES.items():
+        named.setdefault(name[0], []).extend([F.lit(name), F.lit(sign)])
+    by_letter = F.create_map(*[x for letter, pairs in named.items()
+                               for x in (F.lit(letter), F.create_map(*pairs))])
+
+    def sign_of(name: Column) -> Column:
         code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 9), 16, 10).cast(
             "long")).when(name.startswith("#"), F.substring(name, 2, 9).cast("long"))
         valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
         sign = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")),
                         "UTF-32")
-        found = F.when(name.startswith("#"), sign).otherwise(F.try_element_at(named, name))
-        rest = part.substr(F.length(name) + 2, F.length(part))
-        return F.when(at == 0, part).otherwise(
-            F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), part)))
+        return F.when(name.startswith("#"), sign).otherwise(
+            F.try_element_at(F.try_element_at(by_letter, F.substring(name, 1, 1)), name))
+
+    def decoded(part: Column, at: Column) -> Column:
+        name = F.regexp_extract(
+            part, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        whole = F.concat(F.lit("&"), part)
+        return F.when(at == 0, part).otherwise(_once(name, lambda n: F.when(n == "", whole).otherwise(
+            F.coalesce(F.concat(sign_of(n), part.substr(F.length(n) + 2, F.length(part))), whole))))
 
-    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
+    return _once(text, lambda t: F.when(F.instr(t, "&") == 0, t).otherwise(
+        F.array_join(F.transform(F.split(t, "&"), decoded), "")))
 
 
 def plain_text(html: Column) -> Column:
     """Readable text of a page: one line per block, single spaces, references decoded."""
     text = F.regexp_replace(html, HIDDEN_PATTERN, " ")
-    text = F.regexp_replace(text, r"[ \t\r\n\f]+", " ")
+    text = F.regexp_replace(text, SPACE_PATTERN, " ")
     text = F.regexp_replace(text, BREAK_PATTERN, "\n")
     text = decode_references(F.regexp_replace(text, TAG_PATTERN, ""))
-    text = F.regexp_replace(text, r" *\n[ \n]*", "\n")
-    return F.regexp_replace(F.regexp_replace(text, " +", " "), r"^[ \n]+|[ \n]+$", "")
+    text = F.regexp_replace(text, r" +\n[ \n]*|\n[ \n]+", "\n")
+    return F.btrim(F.regexp_replace(text, "  +", " "), F.lit(" \n"))
 
 
 def record_uuid(*parts: Column) -> Column:
     """A name-based ``urn:uuid`` of the parts: the same source gives the same record id."""
-    name = F.sha2(F.concat_ws("\n", *parts), 256)
-    return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *[
-        F.substring(name, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))
+    return F.regexp_replace(F.sha2(F.concat_ws("\n", *parts), 256),
+                            "^(.{8})(.{4})(.{4})(.{4})(.{12}).*", "urn:uuid:$1-$2-$3-$4-$5")
 
 
 def digest(text: Column) -> Column:
@@ -86,13 +99,17 @@ def derive_records(
     refers_to_date, target_uri, linked_id (the sibling record), source_headers,
     source_digest, content_type, block, content_length, block_digest. The
     conversion's block is the page's plain text; the metadata's lists the source's
-    headers, digests and sizes and names the conversion. A null payload counts as empty
-    (the conversion is empty too), a null uri, date or header text leaves its line
-    out. Equal responses give equal records. One scan, no shuffle; texts are whole.
+    headers, digests and sizes and names the conversion. A null or empty payload gives an
+    empty conversion, a null uri, date or header text leaves its line out; pages of any
+    length are taken whole. Equal responses give equal records, no rows give no records.
+    Columns of ``keep`` that have a name of the list (in any case) are replaced by it.
+    One scan, no shuffle.
     """
     of = lambda name: F.col(quoted(name)).cast("string")
+    kept = [c for c in keep or () if c.lower() not in RECORD_COLUMNS]
     source = responses.select(
-        *[F.col(quoted(c)) for c in keep or ()], of(record_id).alias("__id"),
+        *[F.col(quoted(c)).alias(f"__kept_{i}") for i, c in enumerate(kept)],
+        of(record_id).alias("__id"),
         of(uri).alias("__uri"), of(date).alias("__date"), of(headers).alias("__headers"),
         F.coalesce(of(payload), F.lit("")).alias("__payload"))
     source = source.withColumns({
@@ -100,29 +117,34 @@ def derive_records(
         "__conversion": record_uuid(F.lit("conversion"), F.col("__id")),
         "__metadata": record_uuid(F.lit("metadata"), F.col("__id")),
         "__text": plain_text(F.col("__payload"))})
+    source = source.withColumn("__text_digest", digest(F.col("__text")))
     facts = F.concat(header_lines(
         ("source-record", F.col("__id")), ("source-payload-digest", F.col("__digest")),
         ("source-payload-bytes", F.octet_length("__payload")),
         ("conversion-record", F.col("__conversion")),
-        ("conversion-digest", digest(F.col("__text"))),
+        ("conversion-digest", F.col("__text_digest")),
         ("conversion-chars", F.length("__text"))), F.lit("\r\n"),
         F.coalesce(F.concat("__headers", F.lit("\r\n")), F.lit("")))
-    record = lambda kind, own, other, content, block: F.struct(
+    source = source.withColumn("__facts", facts)
+    record = lambda kind, own, other, content, block, sum_: F.struct(
         F.lit(kind).alias("record_type"), F.col(own).alias("record_id"),
         F.col(other).alias("linked_id"), F.lit(content).alias("content_type"),
-        block.alias("block"))
+        F.col(block).alias("block"), sum_.alias("block_digest"))
     two = F.array(record("metadata", "__metadata", "__conversion", "application/warc-fields",
-                         facts),
+                         "__facts", digest(F.col("__facts"))),
                   record("conversion", "__conversion", "__metadata",
-                         "text/plain; charset=utf-8", F.col("__text")))
+                         "text/plain; charset=utf-8", "__text", F.col("__text_digest")))
+    made = {
+        "record_type": F.col("__record.record_type"), "record_id": F.col("__record.record_id"),
+        "refers_to": F.col("__id"), "refers_to_date": F.col("__date"),
+        "target_uri": F.col("__uri"), "linked_id": F.col("__record.linked_id"),
+        "source_headers": F.col("__headers"), "source_digest": F.col("__digest"),
+        "content_type": F.col("__record.content_type"), "block": F.col("__record.block"),
+        "content_length": F.octet_length("__record.block").cast("long"),
+        "block_digest": F.col("__record.block_digest")}
     return source.withColumn("__record", F.explode(two)).select(
-        *[F.col(quoted(c)) for c in keep or ()], "__record.record_type", "__record.record_id",
-        F.col("__id").alias("refers_to"), F.col("__date").alias("refers_to_date"),
-        F.col("__uri").alias("target_uri"), "__record.linked_id",
-        F.col("__headers").alias("source_headers"), F.col("__digest").alias("source_digest"),
-        "__record.content_type", "__record.block",
-        F.octet_length("__record.block").cast("long").alias("content_length"),
-        digest(F.col("__record.block")).alias("block_digest"))
+        *[F.col(f"__kept_{i}").alias(c) for i, c in enumerate(kept)],
+        *[made[name].alias(name) for name in RECORD_COLUMNS])
 
 
 def record_text(records: DataFrame, made: str) -> Column:

@@ -114,6 +114,18 @@ def test_plain_text(spark):
     assert got == html.unescape(names)
 
 
+def test_kept_columns_do_not_clash(spark):
+    rows = [("urn:uuid:1", "u", "d", "h", "<p>x</p>" * 20_000, "c")] * 2
+    source = responses(spark, rows).selectExpr("*", "5 AS `odd.name`", "6 AS Content_Type")
+    records = warc.derive_records(source, "id", "uri", "date", "headers", "html",
+                                  ["block", "odd.name", "Content_Type", "id"])
+    assert records.columns == ["odd.name", "id", *warc.RECORD_COLUMNS]
+    found = records.filter("record_type = 'conversion'").select("block", "`odd.name`").collect()
+    assert len(found) == 2 and found[0] == found[1] and found[0].block == "\n".join(["x"] * 20_000)
+    none = warc.derive_records(source.limit(0), "id", "uri", "date", "headers", "html")
+    assert none.count() == 0 and none.columns == warc.RECORD_COLUMNS
+
+
 def test_derivatives_are_linked(spark):
     rows = [("urn:uuid:1", "http://a/", "2024-01-01T00:00:00Z", "X: 1\r\nY: 2", PAGE, "c"),
             ("urn:uuid:2", None, None, None, None, "c"), ("urn:uuid:3", "u", "d", "", "", None)]
