@@ -23,7 +23,12 @@ MOST_LANGUAGES = 1000  # the most frequent ones are learned
 SPARE = 4  # a language's documents are thinned by hash to so many times the sample first
 STEPS, BATCH, RATE = 500, 128, 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # signs such as ² and Ⅷ too, which are no letters
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter in the sense of Unicode, as ``\\p{L}`` has in training."""
+    return any(found[0].isalpha() for found in _LETTER.finditer(text))
 
 
 @dataclass
@@ -175,7 +180,7 @@ def predict_languages(df: DataFrame, text: str, net: ByteNet,
 
     def make():
         def compute(texts):
-            known = [i for i, t in enumerate(texts) if t and net.languages and _LETTER.search(t)]
+            known = [i for i, t in enumerate(texts) if t and net.languages and has_letter(t)]
             out = {"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts)}
             if not known:
                 return out

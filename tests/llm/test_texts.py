@@ -177,6 +177,11 @@ def test_language_edges(odd, nothing, spark):
     assert language.predict_languages(nothing, "text", net).count() == 0
 
 
+def test_letters_are_those_of_unicode():
+    assert not any(map(language.has_letter, ["", "² ½", "Ⅷ ①", "12_3", "😀 ٣"]))
+    assert all(map(language.has_letter, ["a", "1é", "² ½ß", "漢", "ª", "ʰ"]))
+
+
 def test_training_is_bounded_and_spread(spark):
     df = spark.createDataFrame([(i, "x" * 3000 + str(i), "en") for i in range(50)],
                                "doc_id long, text string, lang string")
