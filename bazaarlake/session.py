@@ -37,11 +37,14 @@ def write_and_read(df: DataFrame, name: str, folder: str | None = None) -> DataF
     """Write once as parquet in the shared folder and go on from the files.
 
     Cuts the lineage: what follows reads pruned columns, and a lost executor
-    costs a re-read of its files and not a second parse of the raw feeds.
+    costs a re-read of its files and not a second parse of the raw feeds. The files
+    are removed when the driver ends, as frames may read them until then.
     """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
