@@ -111,3 +111,51 @@ def test_language_stage_uses_no_labels(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     net = language.fit_languages(docs, "text", "lang", "doc_id")
     assert language.predict_languages(docs.drop("lang"), "text", net).count() == docs.count()
+
+
+def test_sharding_query_over_the_whole_table(spark):
+    """Sizes, checksums and the law `rows`, next to a plain reading of the table."""
+    import zlib
+    from collections import defaultdict
+
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in queries.table(spark, folder, "documents").collect()}
+    rows = queries.op4_sharding(spark, folder).collect()
+    raw = {i: (t or "").encode() for i, t in texts.items()}
+    assert {r.doc_id: (r.size, r.text_crc32, r.law, r.grown_shard) for r in rows} == {
+        i: (len(b) + 1, zlib.crc32(b), "rows", None) for i, b in raw.items()}
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert len(rows) == len(texts) and set(slots) == set(range(queries.SHARDS))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_quality_query_over_the_whole_table(spark):
+    """`kept` by compressing every text and chunk here, with the bounds the corpus gives."""
+    import zstandard
+
+    folder = "/root/testdata/sf0.01"
+    docs = queries.table(spark, folder, "documents")
+    whole, chunks = compression.learn_bands(docs, "text")
+    assert whole != compression.WHOLE_BANDS
+
+    def within(raw, bands):
+        low, high = [x[1:] for x in bands if len(raw) >= x[0]][-1]
+        packed = zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw)
+        return low <= len(raw) / len(packed) <= high
+
+    want = {}
+    for row in docs.collect():
+        words, raw = re.findall(r"[^\x20\x09-\x0D]+", row.text or ""), (row.text or "").encode()
+        windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+        many = {w for w in windows if windows.count(w) > 1} if len(set(windows)) < len(windows) else ()
+        hit = {i + k for i, w in enumerate(windows) if w in many for k in range(5)}
+        failed = len(words) < 10 or 100 * len(hit) > 20 * len(words)
+        parts = [raw[i:i + 4096] for i in range(0, len(raw), 4096)] if len(raw) > 4096 else []
+        want[row.doc_id] = (len(words), len(hit), failed, not failed and within(raw, whole)
+                            and all(within(p, chunks) for p in parts))
+    got = {r.doc_id: (r.n_words, r.n_repeat_words, r.base_failed, r.kept)
+           for r in queries.op10_quality_rules(spark, folder).collect()}
+    assert got == want and {kept for *_, kept in got.values()} == {True, False}
