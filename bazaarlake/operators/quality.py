@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from bazaarlake.functions.names import FEED_COPIES, FEED_POSITION
 from bazaarlake.operators.dedupe import check_duplicates
 from bazaarlake.operators.quantiles import exact_quantiles, number
+from bazaarlake.session import write_and_read
 
 _REPORT = ("table_name", "section", "column_name", "metric", "value")
 
@@ -150,9 +151,13 @@ def amount_profile(df: DataFrame, amount_columns: Sequence[str]) -> DataFrame:
     """Per amount column: negatives, outliers beyond 1.5 quartile ranges, mean, spread.
 
     Amounts are compared as doubles. The quartiles are found at once, by a few jobs whose
-    results are as small as the list of columns; the rest is one aggregate.
+    results are as small as the list of columns; the rest is one aggregate. These passes
+    read the columns from a copy, so that what makes the rows (joins, removal of
+    duplicates) runs once.
     """
     wanted = [c for c in amount_columns if c in df.columns]
+    if wanted:
+        df = write_and_read(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(wanted)]), "amounts")
     quartiles = _quartiles(df, wanted)
     return _by_column(df, {c: _amount_metrics(c, quartiles[c]) for c in wanted})
 

@@ -3,8 +3,10 @@
 from frames import rows
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.names import snake
+from bazaarlake.functions.names import FEED_POSITION, snake
+from bazaarlake.operators.dedupe import keep_first
 from bazaarlake.operators.explode import explode_items
+from bazaarlake.operators.quality import amount_profile
 from bazaarlake.plans import facts
 from bazaarlake.sources import feeds
 from checks import registry
@@ -44,3 +46,10 @@ def test_lists_without_rows_and_single_work(spark):
     out = explode_items(made, "items", ["id"])
     assert plan(out).count("sha2(") == 3  # one per branch of the union
     assert [r.parent_id for r in out.collect()] == [1]
+
+
+def test_profile_passes_read_a_copy(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 9.0), ("b", 3, 7.0), ("c", 4, None)],
+                               f"k string, {FEED_POSITION} int, amount double")
+    profile = amount_profile(keep_first(df, ["k"]), ["amount", "amount", "absent"])
+    assert "Window" not in plan(profile) and profile.first()["median"] == 6.0
