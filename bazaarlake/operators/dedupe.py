@@ -51,13 +51,18 @@ def keep_first_counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keep_first`` with ``FEED_COPIES``, the number of rows that the key had.
 
     The first row and the count are one aggregate, merged map-side, so removal and count
-    take one exchange, and a hot key sends one row per map task.
+    take one exchange, and a hot key sends one row per map task. Keys and position are sent
+    once, not in the row again; a caller that drops the position has it in the order alone.
     """
     placed = with_position(df)
-    row = F.struct(*[F.col(f"`{c}`") for c in placed.columns])
+    rest = [c for c in placed.columns if c not in (*keys, FEED_POSITION)]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
+    first = [F.min_by(row, FEED_POSITION).alias("_row")] if rest else []
     found = placed.groupBy(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
-        F.min_by(row, FEED_POSITION).alias("_row"), F.count(F.lit(1)).alias(FEED_COPIES))
-    return found.select("_row.*", FEED_COPIES)
+        *first, F.min(FEED_POSITION).alias("_at"), F.count(F.lit(1)).alias(FEED_COPIES))
+    places = {**{c: f"_row.c{i}" for i, c in enumerate(rest)}, FEED_POSITION: "_at",
+              **{k: f"_key_{i}" for i, k in enumerate(keys)}}
+    return found.select(*[F.col(places[c]).alias(c) for c in placed.columns], FEED_COPIES)
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:

@@ -1,10 +1,11 @@
 """Work that must be done once: plans that repeated it would grow with the rows."""
 
+import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.names import FEED_POSITION, snake
-from bazaarlake.operators.dedupe import keep_first
+from bazaarlake.functions.names import FEED_COPIES, FEED_POSITION, snake
+from bazaarlake.operators.dedupe import keep_first, keep_first_counted
 from bazaarlake.operators.explode import explode_items
 from bazaarlake.operators.quality import amount_profile
 from bazaarlake.plans import facts
@@ -53,3 +54,38 @@ def test_profile_passes_read_a_copy(spark):
                                f"k string, {FEED_POSITION} int, amount double")
     profile = amount_profile(keep_first(df, ["k"]), ["amount", "amount", "absent"])
     assert "Window" not in plan(profile) and profile.first()["median"] == 6.0
+
+
+def test_counted_rows_send_keys_and_places_once(spark):
+    df = spark.createDataFrame(
+        [("x", 2, "a", 2), ("w", 1, "a", 1), ("y", 3, None, 3), ("z", 4, None, 4)],
+        f"v string, {FEED_POSITION} int, `k` string, n int")
+    found = keep_first_counted(df, ["k"])
+    assert found.columns == ["v", FEED_POSITION, "k", "n", FEED_COPIES]
+    assert rows(found) == sorted([("w", 1, "a", 1, 2), ("y", 3, None, 3, 2)], key=repr)
+    short = plan(found.drop(FEED_POSITION))
+    assert f"min({FEED_POSITION}" not in short and f"struct(v, v#" not in short
+    assert rows(keep_first_counted(df.select("k", FEED_POSITION), ["k"])) == sorted(
+        [("a", 1, 2), (None, 3, 2)], key=repr)
+
+
+def test_report_takes_bounds_from_written_facts(spark, tmp_path, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    class Source:
+        def raw(self):
+            return {}
+
+        def new_root(self):
+            return str(tmp_path)
+
+    def dims(raw, made, **options):
+        assert all(df.inputFiles() for df in made.values())
+        raise Stop
+
+    monkeypatch.setattr(registry.facts, "build_facts",
+                        lambda raw, counted: {"fact_orders": spark.range(3)})
+    monkeypatch.setattr(registry.dimensions, "build_dimensions", dims)
+    with pytest.raises(Stop):
+        registry.quality_report(Source())
