@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 from pyspark.sql import DataFrame
 
-from bazaarlake.llm.batches import with_text_columns
+from bazaarlake.llm.batches import runs, with_text_columns
 
 # A chunk is a run of word marks (a space, or the mark itself) and what follows.
 _CHUNK = re.compile("[ ▁]+[^ ▁]*")
 # Distinct chunks a task remembers (by characters held); then the table starts anew.
 TABLE_CHARS = 8_000_000
+# Texts are cut into chunks in parts of about this many characters.
+PART_CHARS = 500_000
 
 
 def check_model(model: bytes) -> None:
@@ -63,6 +66,11 @@ class ChunkTable:
         self.learn(set(chain.from_iterable(split)))
         return split
 
+    def encode_in_parts(self, texts: list[str | None]) -> Iterator[list[str]]:
+        """The same in turn, as few texts' chunks at a time as ``PART_CHARS`` hold."""
+        for start, end in runs(texts, PART_CHARS):
+            yield from self.encode(texts[start:end])
+
 
 def encode_texts(df: DataFrame, text: str, model_path: str, with_ids: bool = False,
                  keep: list[str] | None = None) -> DataFrame:
@@ -86,7 +94,7 @@ def encode_texts(df: DataFrame, text: str, model_path: str, with_ids: bool = Fal
 
         def compute(texts):
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
-            for chunks in table.encode(texts):
+            for chunks in table.encode_in_parts(texts):
                 ids = list(chain.from_iterable(map(table.ids.__getitem__, chunks)))
                 ids.append(table.end)
                 line = " ".join([*map(table.shown.__getitem__, chunks), last])
